@@ -1,0 +1,2 @@
+"""No streaming operators: the row-wise operators (label splits, tag maps, training examples,
+scored pairs) use only column expressions, so they accept ``readStream`` DataFrames unchanged."""
