@@ -8,6 +8,8 @@ is read once and joined with the positions wanted, never sorted or shuffled as a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,23 +17,20 @@ from pyspark.sql import types as T
 
 from .positions import ROWS_PER_BUCKET, with_position
 
-#: Uses of one row that travel together. A row used a million times is split over 245 tasks.
+#: Uses of one row that travel together. A row used a million times is split over 245 slots.
 USES_PER_SLOT = 4096
 BROADCAST_BYTES = 128 * 1024 * 1024
-BYTES_PER_USE = 48
+#: Tables up to this many rows are measured, to see whether they can be broadcast whole.
+MEASURED_ROWS = 1_000_000
 
 
-def row_bytes(df: DataFrame, columns: Sequence[str]) -> int:
-    """Upper bound on the bytes of one row of ``columns``; strings are measured."""
-    fixed, measured = 16, []
-    for c in columns:
-        if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType)):
-            measured.append(F.max(F.octet_length(c)))
-        else:
-            fixed += 8
-    if not measured:
-        return fixed
-    return fixed + sum(v or 0 for v in df.agg(*[m.alias(f"w{i}") for i, m in enumerate(measured)]).first())
+def row_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Aggregate: an upper bound on the bytes that any row of ``columns`` takes."""
+    strings = [c for c in columns if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    bound = F.lit(48 + 8 * len(columns))
+    for c in strings:
+        bound = bound + F.coalesce(F.max(F.octet_length(c)), F.lit(0))
+    return bound
 
 
 def small(df: DataFrame, byte_bound: int) -> DataFrame:
@@ -39,36 +38,76 @@ def small(df: DataFrame, byte_bound: int) -> DataFrame:
     return F.broadcast(df) if byte_bound <= BROADCAST_BYTES else df
 
 
+def _payload_bytes(df: DataFrame, columns: Sequence[str]) -> int:
+    """Bytes of all rows of ``columns``, nested values by the length of their JSON."""
+    per_row = F.lit(48)
+    for c in columns:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            per_row = per_row + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+            per_row = per_row + 8 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            per_row = per_row + 8
+    return df.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0))).first()[0]
+
+
 def gather_pairs(
     df: DataFrame,
-    uses: DataFrame,
-    use_count: int,
+    pairs: DataFrame,
+    pair_count: int,
     order_by: str | Sequence[str],
-    pair_id: Sequence[str],
     payload: dict[str, Column],
     sides: Sequence[str],
     group_by: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    total: int | None = None,
+    key_bytes: int | None = None,
 ) -> DataFrame:
-    """One row per pair with a struct of ``payload`` columns per side.
+    """``pairs`` with a struct of ``payload`` columns per side, named like the side.
 
-    ``uses`` says which row stands where: ``group_by`` columns and ``idx`` (a position), ``slot``
-    (spreads the uses of one row), the ``pair_id`` columns and ``side``. ``use_count`` is an upper
-    bound on its rows. ``order_by`` columns are unique in a group and not null.
+    For each side ``s``, ``pairs`` says which row stands there: ``s_idx`` (a position), ``s_<g>``
+    for each group column, and ``s_slot``, which splits the uses of one row. ``pair_count`` bounds
+    its rows. ``order_by`` columns are unique in a group and not null. ``total`` (rows of ``df``)
+    and ``key_bytes`` (:func:`row_bytes` of its group and key columns) are measured if not given.
     """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     groups = list(group_by)
-    byte_bound = use_count * (BYTES_PER_USE + row_bytes(df, [*groups, *keys]))
-    wanted = uses.groupBy(*groups, "idx", "slot").agg(
-        F.collect_list(F.struct(*pair_id, "side")).alias("_uses")
-    )
-    here = with_position(df.select(*groups, *keys), keys, groups, "idx", rows_per_bucket)
-    placed = here.join(small(wanted, byte_bound), [*groups, "idx"]).select(*groups, *keys, "slot", "_uses")
-    wide = df.select(*groups, *keys, F.struct(*[c.alias(k) for k, c in payload.items()]).alias("_row"))
-    # A fixed partition count: rows are few and large after the explode, which AQE cannot foresee.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fetched = wide.join(small(placed, byte_bound), [*groups, *keys]).repartition(tasks, *groups, *keys, "slot")
-    used = fetched.select(F.explode("_uses").alias("_use"), "_row").select("_use.*", "_row")
-    return used.groupBy(*pair_id).agg(
-        *[F.first(F.when(F.col("side") == s, F.col("_row")), ignorenulls=True).alias(s) for s in sides]
+    if total is None or key_bytes is None:
+        total, key_bytes = df.agg(F.count("*"), row_bytes(df, [*groups, *keys])).first()
+    columns = df.select(*groups, *keys, *[c.alias(f"_p_{k}") for k, c in payload.items()])
+    row = F.struct(*[F.col(f"_p_{k}").alias(k) for k in payload]).alias("_row")
+    if total <= MEASURED_ROWS and _payload_bytes(columns, columns.columns) <= BROADCAST_BYTES:
+        placed = with_position(columns, keys, groups, "idx", rows_per_bucket, total)
+        at = [*groups, "idx"]
+        rows = F.broadcast(placed.select(*[F.col(c).alias(f"_{c}") for c in at], row))
+    else:
+        at = [*groups, "idx", "slot"]
+        rows = _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, rows_per_bucket, total, key_bytes)
+    met = pairs
+    for s in sides:
+        met = met.join(
+            rows.alias(f"{s}_side"),
+            reduce(and_, [F.col(f"{s}_{c}") == F.col(f"{s}_side._{c}") for c in at]),
+        ).select(*met.columns, F.col(f"{s}_side._row").alias(s))
+    return met
+
+
+def _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, rows_per_bucket, total, key_bytes) -> DataFrame:
+    """The rows that ``pairs`` asks for, keyed by position and slot.
+
+    The final repartition makes one exchange that the joins of all sides reuse, so the wide table
+    is read once.
+    """
+    at = [*groups, "idx", "slot"]
+    uses = pairs.select(
+        F.explode(F.array(*[F.struct(*[F.col(f"{s}_{c}").alias(c) for c in at]) for s in sides])).alias("use")
     )
+    wanted = uses.select("use.*").distinct()
+    byte_bound = pair_count * len(sides) * (key_bytes + 16)
+    here = with_position(columns.select(*groups, *keys), keys, groups, "idx", rows_per_bucket, total)
+    placed = here.join(small(wanted, byte_bound), [*groups, "idx"]).select(*at, *keys)
+    rows = columns.select(*groups, *keys, row).join(small(placed, byte_bound), [*groups, *keys])
+    tasks = int(columns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = rows.select(*[F.col(c).alias(f"_{c}") for c in at], "_row")
+    return named.repartition(tasks, *[f"_{c}" for c in at])

@@ -89,14 +89,16 @@ def with_position(
     group_by: Sequence[str] = (),
     name: str = "idx",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    total: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row in its group, in the order of ``order_by``.
 
     ``order_by`` must be unique inside a group and sorts ascending, nulls first. Counts the input
-    when called; larger inputs also have their keys sampled.
+    when called, unless ``total`` says how many rows it has; larger inputs also have their keys
+    sampled.
     """
     order = as_columns(order_by)
-    total = df.count()
+    total = df.count() if total is None else total
     buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
     if buckets <= 1:
         w = Window.partitionBy(*group_by).orderBy(*order)

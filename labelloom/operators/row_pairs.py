@@ -19,7 +19,7 @@ from ..functions.draw import draw
 from ..functions.labels import OUTSIDE, entity_ids, entity_sentences, label_names, same_tag_at_same_position
 from ..functions.tokens import sentence
 from .entity_pairs import NOT_SIMILAR, SIMILAR
-from .gather import USES_PER_SLOT, gather_pairs
+from .gather import USES_PER_SLOT, gather_pairs, row_bytes
 from .lineage import cut_lineage
 from .positions import ROWS_PER_BUCKET, first_in_order
 
@@ -50,7 +50,9 @@ def pair_page(
     if first < 0 or count < 0:
         raise ValueError("first and count must not be negative")
     spark = df.sparkSession
-    n = df.count()
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    measured = tuple(df.agg(F.count("*"), row_bytes(df, keys)).first())
+    n = measured[0]
     stop = min(first + count, n * (n - 1) // 2)
     if first >= stop:
         anchors, offset, i0 = spark.range(0), 0, 0
@@ -67,7 +69,7 @@ def pair_page(
     pairs = (
         anchors.select(
             (d + i0).alias("i"),
-            F.floor(d / USES_PER_SLOT).alias("block"),
+            F.expr(f"id div {USES_PER_SLOT}").alias("block"),
             F.greatest(F.lit(0), offset - begin).alias("lo"),
             F.least(n - 1 - i0 - d, offset + count - begin).alias("hi"),
         )
@@ -84,10 +86,16 @@ def pair_page(
             ),
         )
     )
-    uses = pairs.select(F.col("i").alias("idx"), "slot", "i", "j", F.lit("a").alias("side")).unionByName(
-        pairs.select(F.col("j").alias("idx"), F.col("block").alias("slot"), "i", "j", F.lit("b").alias("side"))
+    placed = pairs.select(
+        "i",
+        "j",
+        F.col("i").alias("a_idx"),
+        F.col("slot").alias("a_slot"),
+        F.col("j").alias("b_idx"),
+        F.col("block").alias("b_slot"),
     )
-    return gather_pairs(df, uses, 2 * count, order_by, ["i", "j"], payload, ["a", "b"], (), rows_per_bucket)
+    met = gather_pairs(df, placed, count, order_by, payload, ["a", "b"], (), rows_per_bucket, *measured)
+    return met.select("i", "j", "a", "b")
 
 
 def _tagged_rows(df, order_by, first, count, names, tokens, tags, rows_per_bucket) -> DataFrame:
@@ -264,7 +272,7 @@ def random_dissimilar_pairs(
     while True:
         numbered = spark.range(draws).withColumnRenamed("id", "c")
         drawn = _drawn_rows(numbered, n, seed)
-        met = _gather_drawn(df, drawn, 2 * draws, order_by, {"ids": entity_ids(F.col(tags), names)}, rows_per_bucket)
+        met = _gather_drawn(df, n, drawn, draws, order_by, {"ids": entity_ids(F.col(tags), names)}, rows_per_bucket)
         share = F.arrays_overlap(F.col("a.ids"), F.col("b.ids"))
         # Draw numbers only; written once because they are counted, ordered and joined.
         kept = cut_lineage(met.where(~F.coalesce(share, F.lit(False))).select("c"))
@@ -274,7 +282,7 @@ def random_dissimilar_pairs(
             raise ValueError(f"{draws} draws gave fewer than {num_pairs} dissimilar pairs")
         draws *= 4
     chosen = _drawn_rows(first_in_order(kept, "c", num_pairs, rows_per_bucket), n, seed)
-    out = _gather_drawn(df, chosen, 2 * num_pairs, order_by, {"sentence": sentence(F.col(tokens))}, rows_per_bucket)
+    out = _gather_drawn(df, n, chosen, num_pairs, order_by, {"sentence": sentence(F.col(tokens))}, rows_per_bucket)
     return out.select(
         F.col("a.sentence").alias("sentence1"),
         F.col("b.sentence").alias("sentence2"),
@@ -290,9 +298,10 @@ def _drawn_rows(numbered: DataFrame, n: int, seed: int) -> DataFrame:
     )
 
 
-def _gather_drawn(df, drawn, use_count, order_by, payload, rows_per_bucket) -> DataFrame:
-    slot = F.floor(F.col("c") / USES_PER_SLOT).alias("slot")
-    uses = drawn.select(F.col("i").alias("idx"), slot, "c", F.lit("a").alias("side")).unionByName(
-        drawn.select(F.col("j").alias("idx"), slot, "c", F.lit("b").alias("side"))
+def _gather_drawn(df, n, drawn, pair_count, order_by, payload, rows_per_bucket) -> DataFrame:
+    """Draws spread evenly over the rows, so slots only matter if the rows are a handful."""
+    slot = F.expr(f"c div {USES_PER_SLOT} div {max(1, n)}")
+    placed = drawn.select(
+        "c", F.col("i").alias("a_idx"), slot.alias("a_slot"), F.col("j").alias("b_idx"), slot.alias("b_slot")
     )
-    return gather_pairs(df, uses, use_count, order_by, ["c"], payload, ["a", "b"], (), rows_per_bucket)
+    return gather_pairs(df, placed, pair_count, order_by, payload, ["a", "b"], (), rows_per_bucket)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draw import draw
@@ -26,13 +26,17 @@ DISSIMILAR = "dissimilar"
 MAX_DATASET_SIZE = 1_000_000
 
 
-def label_counts(df: DataFrame, label: str = "label", by: Sequence[str] = ()) -> DataFrame:
-    """Rows per label: one map-side combined pass instead of a scan per label."""
-    return df.where(F.col(label).isNotNull()).groupBy(*by, label).agg(F.count("*").alias("n_examples"))
+def label_counts(df: DataFrame, label: str = "label", by: Sequence[str] = (), *more: Column) -> DataFrame:
+    """Rows per label (and ``more`` aggregates): one map-side combined pass, not a scan per label."""
+    return df.where(F.col(label).isNotNull()).groupBy(*by, label).agg(F.count("*").alias("n_examples"), *more)
 
 
 def pair_plan(
-    df: DataFrame, max_dataset_size: int = MAX_DATASET_SIZE, label: str = "label", by: Sequence[str] = ()
+    df: DataFrame,
+    max_dataset_size: int = MAX_DATASET_SIZE,
+    label: str = "label",
+    by: Sequence[str] = (),
+    *more: Column,
 ) -> DataFrame:
     """Per label: rows, number of labels, cap and planned pairs (as many dissimilar ones follow).
 
@@ -42,7 +46,7 @@ def pair_plan(
     ranked = Window.partitionBy(*by).orderBy(label)
     n = F.col("n_examples")
     return (
-        label_counts(df, label, by)
+        label_counts(df, label, by, *more)
         .withColumn("n_labels", F.count("*").over(whole))
         .withColumn("label_rank", (F.row_number().over(ranked) - 1).cast("long"))
         .withColumn("cap", F.expr(f"{int(max_dataset_size)}L div (2 * n_labels)"))
@@ -73,59 +77,53 @@ def text_pairs(
     by = [split] if split else []
     rows = df.where(F.col(label).isNotNull())
     plan = pair_plan(rows, max_dataset_size, label, by)
-    facts = plan.agg(
-        F.coalesce(F.sum("num_pairs"), F.lit(0)).alias("pairs"),
-        F.count("*").alias("labels"),
-        F.count(F.when((F.col("n_labels") == 1) & (F.col("num_pairs") > 0), 1)).alias("alone"),
-    ).first()
+    widths = row_bytes(rows, [*by, label, order_by]).alias("bytes")
+    facts = (
+        pair_plan(rows, max_dataset_size, label, by, widths)
+        .agg(
+            F.coalesce(F.sum("num_pairs"), F.lit(0)).alias("pairs"),
+            F.coalesce(F.sum("n_examples"), F.lit(0)).alias("rows"),
+            F.count("*").alias("labels"),
+            F.count(F.when((F.col("n_labels") == 1) & (F.col("num_pairs") > 0), 1)).alias("alone"),
+            F.coalesce(F.max("bytes"), F.lit(0)).alias("bytes"),
+        )
+        .first()
+    )
     if DISSIMILAR in kinds and facts["alone"]:
         raise ValueError("dissimilar pairs need at least two labels")
-    plan_bytes = facts["labels"] * (64 + row_bytes(rows, [*by, label]))
+    plan_bytes = facts["labels"] * (64 + facts["bytes"])
 
     pairs = _pair_numbers(plan, by)
-    q_slot = F.expr(f"q div {USES_PER_SLOT}")
-    places = [(F.col(label), F.col("i"), F.col("slot"), "a")]
+    sides = ["a"]
+    place = {"a": (F.col(label), F.col("i"), F.col("slot"))}
     if SIMILAR in kinds:
+        sides.append("b")
         j = F.col("r") + (F.col("r") >= F.col("i")).cast("long")
-        places.append((F.col(label), j, F.expr(f"i div {USES_PER_SLOT}"), "b"))
+        place["b"] = (F.col(label), j, F.expr(f"i div {USES_PER_SLOT}"))
     if DISSIMILAR in kinds:
-        others = plan.select(
-            *by,
-            F.col("label_rank").alias("other"),
-            F.col(label).alias("other_label"),
-            F.col("n_examples").alias("other_n"),
-        )
-        drawn = draw(seed, "d", F.col(label), F.col("q")) % (F.col("n_labels") - 1)
-        pairs = (
-            pairs.withColumn("other", drawn)
-            .withColumn("other", F.col("other") + F.when(F.col("other") >= F.col("label_rank"), 1).otherwise(0))
-            .join(small(others, plan_bytes), [*by, "other"])
-        )
-        pick = draw(seed, "r", F.col(label), F.col("q")) % F.col("other_n")
-        places.append((F.col("other_label"), pick, q_slot, "c"))
-    sides = [side for *_, side in places]
-    use = F.explode(
-        F.array(
-            *[
-                F.struct(at.alias(label), idx.alias("idx"), slot.alias("slot"), F.lit(side).alias("side"))
-                for at, idx, slot, side in places
-            ]
-        )
-    )
-    pair_id = [*[f"_{c}" for c in by], "label_rank", "q"]
-    uses = pairs.select(*by, *[F.col(c).alias(f"_{c}") for c in by], "label_rank", "q", use.alias("_use")).select(
-        *by, *pair_id, "_use.*"
+        sides.append("c")
+        pairs = _draw_other_label(pairs, plan, plan_bytes, by, label, seed)
+        pick = draw(seed, "r", F.col(label), F.col("q"))
+        place["c"] = (F.col("other_label"), pick % F.col("other_n"), F.col("q") % F.col("other_slots"))
+    placed = pairs.select(
+        *by,
+        *[
+            column.alias(f"{s}_{name}")
+            for s in sides
+            for name, column in [*[(c, F.col(c)) for c in by], *zip((label, "idx", "slot"), place[s])]
+        ],
     )
     met = gather_pairs(
         rows,
-        uses,
-        facts["pairs"] * len(sides),
+        placed,
+        facts["pairs"],
         order_by,
-        pair_id,
         {"text": F.col(text)},
         sides,
         [*by, label],
         rows_per_bucket,
+        facts["rows"],
+        facts["bytes"],
     )
     made = []
     if SIMILAR in kinds:
@@ -133,12 +131,36 @@ def text_pairs(
     if DISSIMILAR in kinds:
         made.append(F.struct(F.col("c.text").alias("sentence2"), F.lit(DISSIMILAR).alias("label")))
     return met.select(
-        *[F.col(f"_{c}").alias(c) for c in by],
+        *by,
         F.col("a.text").alias("sentence1"),
         F.explode(F.array(*made)).alias("_pair"),
     ).select(*by, "sentence1", "_pair.*")
 
 
+def _draw_other_label(
+    pairs: DataFrame, plan: DataFrame, plan_bytes: int, by: list[str], label: str, seed: int
+) -> DataFrame:
+    """Add a random other label per pair: ``other_label``, its rows ``other_n`` and ``other_slots``.
+
+    Labels are drawn evenly, so the few rows of a small label are drawn often; ``other_slots``
+    splits the uses of such rows.
+    """
+    draws = F.sum("num_pairs").over(Window.partitionBy(*by)) / F.greatest(F.col("n_labels") - 1, F.lit(1))
+    others = plan.select(
+        *by,
+        F.col("label_rank").alias("other"),
+        F.col(label).alias("other_label"),
+        F.col("n_examples").alias("other_n"),
+        F.ceil(draws / F.col("n_examples") / USES_PER_SLOT).alias("other_slots"),
+    )
+    drawn = draw(seed, "d", F.col(label), F.col("q")) % (F.col("n_labels") - 1)
+    return (
+        pairs.withColumn("other", drawn)
+        .withColumn("other", F.col("other") + F.when(F.col("other") >= F.col("label_rank"), 1).otherwise(0))
+        .join(small(others, plan_bytes), [*by, "other"])
+    )
+
+
 def _pair_numbers(plan: DataFrame, by: list[str]) -> DataFrame:
     """Every pair number q of every label with its anchor i and partner rank r.
 
