@@ -6,19 +6,20 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import cosine
 from .lineage import cut_lineage
+from .positions import ROWS_PER_BUCKET, with_position
 from .sampling import sample_up_to
 
 TARGET_DIMS = (256, 128, 64, 48, 32, 16)
 PCA_ROWS = 100_000
+HOT_SHARES = 1000
 
 
 def encode(
@@ -74,12 +75,45 @@ def pearson(df: DataFrame, x: str | Column, y: str | Column, name: str = "pearso
     return df.agg(F.corr(x, y).alias(name))
 
 
-def spearman(df: DataFrame, x: str, y: str, name: str = "spearman") -> DataFrame:
-    """Rank correlation with average ranks, by Spark ML's distributed ranking."""
-    both = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    vectors = VectorAssembler(inputCols=["x", "y"], outputCol="xy").transform(both)
-    matrix = Correlation.corr(vectors, "xy", "spearman").first()[0].toArray()
-    return df.sparkSession.createDataFrame([(float(matrix[0, 1]),)], f"{name} double")
+def spearman(
+    df: DataFrame, x: str, y: str, name: str = "spearman", rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """Rank correlation with average ranks for ties.
+
+    Ranks come from counts per distinct value, so a value that many rows share (a 0/1 gold label)
+    is one counted row, never a sorted group.
+    """
+    rows = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    # Written once: the counted points are read for the total, for both rankings and for the sum.
+    points = cut_lineage(rows.groupBy("x", "y").agg(F.count("*").alias("n")))
+    total = points.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranked = points
+    for axis in ("x", "y"):
+        values = points.groupBy(axis).agg(F.sum("n").alias("_m"))
+        placed = with_position(values, axis, name="_less", rows_per_bucket=rows_per_bucket, weight="_m")
+        ranks = placed.select(
+            F.col(axis).alias("_value"), "_m", (F.col("_less") + (F.col("_m") + 1) / 2).alias(f"r{axis}")
+        )
+        ranked = _with_ranks(ranked, ranks, axis, total)
+    dx, dy = F.col("rx") - (total + 1) / 2, F.col("ry") - (total + 1) / 2
+    n = F.col("n")
+    return ranked.agg(
+        F.try_divide(F.sum(n * dx * dy), F.sqrt(F.sum(n * dx * dx) * F.sum(n * dy * dy))).alias(name)
+    )
+
+
+def _with_ranks(points: DataFrame, ranks: DataFrame, axis: str, total: int) -> DataFrame:
+    """Join points with the rank of one axis, values of many rows apart from the others.
+
+    At most HOT_SHARES values can hold 1/HOT_SHARES of all rows each, which bounds the broadcast.
+    """
+    is_hot = F.col("_m") * HOT_SHARES >= F.lit(total)
+    hot = F.broadcast(ranks.where(is_hot).drop("_m"))
+    cold = ranks.where(~is_hot).drop("_m")
+    met = points.join(hot, points[axis] == hot["_value"], "left")
+    found = met.where(F.col("_value").isNotNull()).drop("_value")
+    rest = met.where(F.col("_value").isNull()).drop("_value", f"r{axis}")
+    return found.unionByName(rest.join(cold, rest[axis] == cold["_value"]).drop("_value"))
 
 
 def cosine_loss(df: DataFrame, cos: str = "cosine", label: str = "label", name: str = "loss") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import entity_ids, entity_sentences, id_to_name, label_names, strip_iob
 from ..functions.tokens import lowercase_some, sentence
-from .gather import small
+from .gather import row_bytes, small
 from .positions import ROWS_PER_BUCKET
 from .sampling import flag_every_kth
 
@@ -41,12 +41,14 @@ def similar_entity_pairs(
     """One pair per distinct tag of the row; ``B-x`` and ``I-x`` in one row give two equal pairs."""
     names = _names(df, tags, names)
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    return df.select(
-        *by,
-        sentence(tokens).alias("sentence1"),
-        F.explode(entity_sentences(F.col(tags), names)).alias("sentence2"),
-        F.lit(SIMILAR).alias("label"),
-    )
+    entities = entity_sentences(F.col(tags), names)
+    return _exploded(df, by, sentence(tokens), entities, SIMILAR)
+
+
+def _exploded(df: DataFrame, by: Sequence[str], said: Column, entities: Column, label: str) -> DataFrame:
+    """The sentence is made in a projection of its own: once per row, not once per pair."""
+    rows = df.select(*by, said.alias("sentence1"), entities.alias("_entities"))
+    return rows.select(*by, "sentence1", F.explode("_entities").alias("sentence2"), F.lit(label).alias("label"))
 
 
 def dissimilar_entity_pairs(
@@ -65,18 +67,15 @@ def dissimilar_entity_pairs(
             .groupBy(*[F.col(c).alias(f"_v_{c}") for c in by])
             .agg(F.collect_list("entity").alias("_vocabulary"))
         )
-        byte_bound = vocabulary.count() * (256 + sum(16 + len(n.encode()) for n in names))
+        splits, split_bytes = df.select(*by).distinct().agg(F.count("*"), row_bytes(df, by)).first()
+        byte_bound = splits * (split_bytes + sum(16 + len(n.encode()) for n in names))
         same_split = [F.col(c).eqNullSafe(F.col(f"_v_{c}")) for c in by]
         joined, words = df.join(small(vocabulary, byte_bound), same_split), F.col("_vocabulary")
     else:
         seen = [r["entity"] for r in entity_vocabulary(df, names, tags).collect()]
         joined, words = df, F.array(*[F.lit(e) for e in seen]).cast("array<string>")
-    return joined.select(
-        *by,
-        sentence(F.col(tokens)).alias("sentence1"),
-        F.explode(F.array_except(words, entity_sentences(F.col(tags), names))).alias("sentence2"),
-        F.lit(NOT_SIMILAR).alias("label"),
-    )
+    others = F.array_except(words, entity_sentences(F.col(tags), names))
+    return _exploded(joined, by, sentence(F.col(tokens)), others, NOT_SIMILAR)
 
 
 def entity_pairs(

@@ -16,9 +16,10 @@ def is_token_tag(df: DataFrame, tags: str = TAGS) -> bool:
 
 
 def _label_in(label: Column, wanted: Iterable) -> Column:
+    """Plain predicates, so that they are pushed into the scan; null labels fall out of a filter."""
     wanted = list(wanted)
     values = [w for w in wanted if w is not None]
-    hit = F.coalesce(label.isin(values), F.lit(False)) if values else F.lit(False)
+    hit = label.isin(values) if values else F.lit(False)
     return hit | label.isNull() if None in wanted else hit
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,11 +62,18 @@ def _range_bucket(df: DataFrame, key: Column, total: int, buckets: int) -> Colum
 
 
 def _from_buckets(
-    df: DataFrame, bucket: Column, order: list[Column], group_by: Sequence[str], name: str, buckets: int
+    df: DataFrame,
+    bucket: Column,
+    order: list[Column],
+    group_by: Sequence[str],
+    name: str,
+    buckets: int,
+    weight: str | None = None,
 ) -> DataFrame:
     keyed = df.withColumn("_bucket", bucket)
     here = [*group_by, "_bucket"]
-    sizes = keyed.groupBy(*here).agg(F.count("*").alias("_n"))
+    size = F.count("*") if weight is None else F.sum(weight)
+    sizes = keyed.groupBy(*here).agg(size.cast("long").alias("_n"))
     # One row per (group, bucket), at most MAX_BUCKETS rows in any one group.
     earlier = Window.partitionBy(*group_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -76,13 +83,23 @@ def _from_buckets(
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if buckets > shuffle:
         keyed = keyed.repartition(buckets, *here)
-    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy(*here).orderBy(*order)))
+    inside = _before(Window.partitionBy(*here).orderBy(*order), weight)
     match = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in here]
-    return ranked.join(offsets, match).select(
-        *df.columns, (F.col("_offset") + F.col("_rank") - 1).cast("long").alias(name)
+    return (
+        keyed.withColumn("_inside", inside)
+        .join(offsets, match)
+        .select(*df.columns, (F.col("_offset") + F.col("_inside")).alias(name))
     )
 
 
+def _before(ordered: WindowSpec, weight: str | None) -> Column:
+    """Rows, or their total weight, before the current row of a window."""
+    if weight is None:
+        return (F.row_number().over(ordered) - 1).cast("long")
+    rows = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(weight).over(rows), F.lit(0)).cast("long")
+
+
 def with_position(
     df: DataFrame,
     order_by: str | Column | Sequence[str | Column],
@@ -90,22 +107,22 @@ def with_position(
     name: str = "idx",
     rows_per_bucket: int = ROWS_PER_BUCKET,
     total: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row in its group, in the order of ``order_by``.
 
-    ``order_by`` must be unique inside a group and sorts ascending, nulls first. Counts the input
-    when called, unless ``total`` says how many rows it has; larger inputs also have their keys
-    sampled.
+    ``order_by`` must be unique inside a group and sorts ascending, nulls first. With a ``weight``
+    column the position is the total weight of the rows before. Counts the input when called,
+    unless ``total`` says how many rows it has; larger inputs also have their keys sampled.
     """
     order = as_columns(order_by)
     total = df.count() if total is None else total
     buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
     if buckets <= 1:
-        w = Window.partitionBy(*group_by).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
+        return df.withColumn(name, _before(Window.partitionBy(*group_by).orderBy(*order), weight))
     key = order[0] if len(order) == 1 else F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     bucket = _range_bucket(df, key, total, buckets)
-    return _from_buckets(df, bucket, order, group_by, name, buckets)
+    return _from_buckets(df, bucket, order, group_by, name, buckets, weight)
 
 
 def with_shuffled_position(
@@ -127,8 +144,7 @@ def with_shuffled_position(
     hashed = df.withColumn("_h", shuffle_hash(seed, *keys))
     order = [F.col("_h"), *keys]
     if digits == 0:
-        w = Window.partitionBy().orderBy(*order)
-        ranked = hashed.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
+        ranked = hashed.withColumn(name, _before(Window.partitionBy().orderBy(*order), None))
     else:
         ranked = _from_buckets(hashed, F.substring("_h", 1, digits), order, (), name, 16**digits)
     return ranked.select(*df.columns, name)

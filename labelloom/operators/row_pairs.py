@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.draw import draw
 from ..functions.labels import OUTSIDE, entity_ids, entity_sentences, label_names, same_tag_at_same_position
 from ..functions.tokens import sentence
-from .entity_pairs import NOT_SIMILAR, SIMILAR
+from .entity_pairs import NOT_SIMILAR, SIMILAR, similar_entity_pairs
 from .gather import USES_PER_SLOT, gather_pairs, row_bytes
 from .lineage import cut_lineage
 from .positions import ROWS_PER_BUCKET, first_in_order
@@ -193,13 +193,8 @@ def entity_pair_copies(
     copies = df.count() - 1
     if copies < 1:
         df = df.limit(0)
-    return df.select(
-        order_by,
-        sentence(F.col(tokens)).alias("sentence1"),
-        F.explode(entity_sentences(F.col(tags), names)).alias("sentence2"),
-        F.lit(SIMILAR).alias("label"),
-        F.lit(copies).cast("long").alias("n_copies"),
-    )
+    pairs = similar_entity_pairs(df, names, tokens, tags, [order_by])
+    return pairs.withColumn("n_copies", F.lit(copies).cast("long"))
 
 
 def dissimilar_from_pairs(

@@ -172,6 +172,9 @@ def concatenate(datasets: Sequence[DataFrame]) -> DataFrame:
 
 
 def row_counts(datasets: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """``dataset, n_rows``."""
-    counted = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("dataset"), "n_rows") for name, df in datasets]
-    return concatenate(counted)
+    """``dataset, n_rows``; one shuffle for all datasets, empty ones included."""
+    spark = datasets[0][1].sparkSession
+    counted = spark.createDataFrame([(name, 0) for name, _ in datasets], "dataset string, one long")
+    for name, df in datasets:
+        counted = counted.unionByName(df.select(F.lit(name).alias("dataset"), F.lit(1).cast("long").alias("one")))
+    return counted.groupBy("dataset").agg(F.sum("one").alias("n_rows"))
