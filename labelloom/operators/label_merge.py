@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,10 +20,10 @@ from ..functions.labels import (
     to_iob_name,
     with_label_names,
 )
-from .positions import ROWS_PER_BUCKET, with_position
+from .positions import ROWS_PER_BUCKET, largest_group, with_position
 from .schemas import cast_to_schema, concatenate, require_same_features, token_tag_schema
 
-INT32_ROWS = 2**31
+COPIES_PER_CHUNK = 4096
 
 
 def merged_vocabulary(vocabularies: Sequence[Sequence[str]]) -> list[str]:
@@ -58,9 +58,8 @@ def common_labels(catalog: DataFrame) -> DataFrame:
 
 
 def label_union(catalog: DataFrame) -> DataFrame:
-    """Distinct names with their position in sorted order. The window sees one row per name."""
-    w = Window.partitionBy().orderBy("name")
-    return catalog.select("name").distinct().select((F.row_number().over(w) - 1).alias("id"), "name")
+    """Distinct names with their position in sorted order."""
+    return with_position(catalog.select("name").distinct(), "name", name="id").select("id", "name")
 
 
 def label_inventory(labels: DataFrame) -> DataFrame:
@@ -79,11 +78,9 @@ def iob_check(catalog: DataFrame) -> DataFrame:
 
 def iob_names(labels: DataFrame) -> DataFrame:
     """``id, name`` -> ``id, iob_name``: names as they are if all are IOB, else ``B-`` added."""
-    whole = Window.partitionBy()
-    all_iob = F.bool_and(is_iob_name(F.col("name"))).over(whole)
-    return labels.select(
-        "id", F.when(all_iob, F.col("name")).otherwise(to_iob_name(F.col("name"))).alias("iob_name")
-    )
+    all_iob = labels.agg(F.bool_and(is_iob_name(F.col("name")))).first()[0]
+    name = F.col("name") if all_iob else to_iob_name(F.col("name"))
+    return labels.select("id", name.alias("iob_name"))
 
 
 def update_tags(df: DataFrame, names: Sequence[str], tags: str = "ner_tags") -> DataFrame:
@@ -110,26 +107,40 @@ def sorted_concat(
 ) -> DataFrame:
     """Datasets one after the other, each sorted by ``sort_by`` (nulls last), which is renumbered.
 
-    ``tiebreak`` columns order rows of equal ``sort_by``; without them a hash of the whole row does.
+    Rows of equal ``sort_by`` go by ``tiebreak`` columns, then by a hash of the row. If so many
+    rows share one value that it would fill a task (many null ids, many copies), equal rows are
+    first counted and then numbered together.
     """
     columns = datasets[0].columns
-    parts = []
-    for number, df in enumerate(datasets):
-        ties = [F.col(c) for c in tiebreak] or [F.md5(F.to_json(F.struct(*columns)))]
-        parts.append(
-            df.select(
-                *columns,
-                F.lit(number).alias("_part"),
-                F.col(sort_by).isNull().alias("_last"),
-                *[t.alias(f"_tie{i}") for i, t in enumerate(ties)],
-            )
-        )
-    merged = concatenate(parts)
-    order = ["_part", "_last", sort_by, *[c for c in merged.columns if c.startswith("_tie")]]
-    placed = with_position(merged, order, name="_pos", rows_per_bucket=rows_per_bucket)
+    merged = concatenate(
+        [
+            df.select(*columns, F.lit(number).alias("_part"), F.col(sort_by).isNull().alias("_last"))
+            for number, df in enumerate(datasets)
+        ]
+    )
+    lead = ["_part", "_last", sort_by, *tiebreak]
+    order = [*lead, F.xxhash64(*columns)]
+    total = merged.count()
+    if total <= rows_per_bucket or largest_group(merged, lead, rows_per_bucket) <= rows_per_bucket:
+        placed = with_position(merged, order, name="_pos", rows_per_bucket=rows_per_bucket, total=total, bucket_by=lead)
+    else:
+        counted = merged.groupBy(*merged.columns).agg(F.count("*").alias("_copies"))
+        first = with_position(counted, order, name="_first", rows_per_bucket=rows_per_bucket, weight="_copies")
+        placed = _numbered_copies(first)
     return placed.select(*[F.col("_pos").alias(c) if c == sort_by else F.col(c) for c in columns])
 
 
+def _numbered_copies(first: DataFrame) -> DataFrame:
+    """``_copies`` rows of each, numbered from ``_first``; chunks of copies are spread over tasks."""
+    tasks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = first.withColumn("_chunk", F.expr(f"explode(sequence(0L, (_copies - 1) div {COPIES_PER_CHUNK}))"))
+    copies = F.expr(
+        f"explode(sequence(_first + _chunk * {COPIES_PER_CHUNK},"
+        f" _first + least(_copies, (_chunk + 1) * {COPIES_PER_CHUNK}) - 1))"
+    )
+    return chunks.repartition(tasks, "_first", "_chunk").withColumn("_pos", copies)
+
+
 def merge_reindexed(
     datasets: Sequence[DataFrame],
     tiebreak: Sequence[str] = (),

@@ -108,19 +108,23 @@ def with_position(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     total: int | None = None,
     weight: str | None = None,
+    bucket_by: Sequence[str] = (),
 ) -> DataFrame:
     """Add the 0-based position of each row in its group, in the order of ``order_by``.
 
     ``order_by`` must be unique inside a group and sorts ascending, nulls first. With a ``weight``
     column the position is the total weight of the rows before. Counts the input when called,
     unless ``total`` says how many rows it has; larger inputs also have their keys sampled.
+    ``bucket_by`` may name the leading order columns to make buckets of, if the others are costly
+    and no value of the leading ones has many rows.
     """
     order = as_columns(order_by)
     total = df.count() if total is None else total
     buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
     if buckets <= 1:
         return df.withColumn(name, _before(Window.partitionBy(*group_by).orderBy(*order), weight))
-    key = order[0] if len(order) == 1 else F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    lead = as_columns(bucket_by) or order
+    key = lead[0] if len(lead) == 1 else F.struct(*[c.alias(f"k{i}") for i, c in enumerate(lead)])
     bucket = _range_bucket(df, key, total, buckets)
     return _from_buckets(df, bucket, order, group_by, name, buckets, weight)
 
@@ -150,6 +154,13 @@ def with_shuffled_position(
     return ranked.select(*df.columns, name)
 
 
+def largest_group(df: DataFrame, by: Sequence[str], about: int) -> int:
+    """Estimated rows of the largest group, good enough to tell groups of ``about`` rows."""
+    fraction = min(1.0, 1000 / about)
+    found = df.select(*by).sample(fraction, seed=7).groupBy(*by).count().agg(F.max("count")).first()[0]
+    return int((found or 0) / fraction)
+
+
 def first_in_order(
     df: DataFrame, order_by: str | Column | Sequence[str | Column], n: int, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:

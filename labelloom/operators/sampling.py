@@ -2,7 +2,8 @@
 
 Splits and samples need no shuffle of the data: the rank where a cut falls is turned into the
 (hash, key) value of the row at that rank, and every row is then compared with that value where it
-is read.
+is read. Finding the value reads the key column a few times, so the input should be a stored table
+(or one whose keys are cheap), not the result of a long job.
 """
 
 from __future__ import annotations

@@ -68,10 +68,12 @@ def text_pairs(
     seed: int = 42,
     kinds: Sequence[str] = (SIMILAR, DISSIMILAR),
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    pair_key: str | None = None,
 ) -> DataFrame:
     """``(split,) sentence1, sentence2, label`` pairs, at most ``max_dataset_size`` per split.
 
-    Rows without a label are left out. A label that needs dissimilar pairs but has no other label
+    ``pair_key`` names a further column, unique per pair of a split, for sampling the pairs and
+    batching them. Rows without a label are left out. A label that needs dissimilar pairs but has no other label
     to draw from is an error.
     """
     by = [split] if split else []
@@ -107,6 +109,7 @@ def text_pairs(
         place["c"] = (F.col("other_label"), pick % F.col("other_n"), F.col("q") % F.col("other_slots"))
     placed = pairs.select(
         *by,
+        F.concat_ws("-", "label_rank", "q").alias("_number"),
         *[
             column.alias(f"{s}_{name}")
             for s in sides
@@ -130,11 +133,13 @@ def text_pairs(
         made.append(F.struct(F.col("b.text").alias("sentence2"), F.lit(SIMILAR).alias("label")))
     if DISSIMILAR in kinds:
         made.append(F.struct(F.col("c.text").alias("sentence2"), F.lit(DISSIMILAR).alias("label")))
+    keyed = [F.concat_ws("-", "_number", "_pair.label").alias(pair_key)] if pair_key else []
     return met.select(
         *by,
+        "_number",
         F.col("a.text").alias("sentence1"),
         F.explode(F.array(*made)).alias("_pair"),
-    ).select(*by, "sentence1", "_pair.*")
+    ).select(*by, *keyed, "sentence1", "_pair.*")
 
 
 def _draw_other_label(

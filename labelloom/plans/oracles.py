@@ -46,6 +46,13 @@ def _pair_base(source: str, limit: int) -> str:
     similar_pairs as (select y.split, a.text as sentence1, b.text as sentence2, 'similar' as label from y
           join t a on a.split=y.split and a.label=y.label and a.idx=y.i
           join t b on b.split=y.split and b.label=y.label and b.idx=y.j),
+    numbered as (select y.lr||'-'||y.q||'-similar' as pair, a.text as s1, b.text as s2, 1.0 as label from y
+          join t a on a.split=y.split and a.label=y.label and a.idx=y.i
+          join t b on b.split=y.split and b.label=y.label and b.idx=y.j
+          union all select y.lr||'-'||y.q||'-dissimilar', a.text, b.text, 0.0 from y
+          join t a on a.split=y.split and a.label=y.label and a.idx=y.i
+          join s so on so.split=y.split and so.lr=y.o
+          join t b on b.split=so.split and b.label=so.label and b.idx=y.pick%so.n),
     dissimilar_pairs as (select y.split, a.text as sentence1, b.text as sentence2, 'dissimilar' as label from y
           join t a on a.split=y.split and a.label=y.label and a.idx=y.i
           join s so on so.split=y.split and so.lr=y.o
@@ -257,6 +264,10 @@ ORACLES: dict[str, str] = {
     "split_80_10_10": _split("select doc_id, lang from documents", "doc_id", "0.2"),
     "random_examples": "select doc_id, text from documents order by md5('42|s|'||doc_id), doc_id limit 20",
     "shuffled_sample": "select o_orderkey, o_custkey from orders order by md5('42|s|'||o_orderkey), o_orderkey limit 10000",
+    "sampled_sentences": f"""select sentence from (select sentence1 as sentence from ({_NEXT}) union select sentence2 from ({_NEXT}))
+        order by md5('42|s|'||sentence), sentence limit 300""",
+    "sampled_training_examples": f"""with {_DOC_PAIRS} select pair, s1||' || '||s2 as texts, label::double as label from numbered
+        order by md5('42|s|'||pair), pair limit 20""",
     "shuffled_batches": """select doc_id, lang, r//32 as batch_id, r%32 as batch_pos from
         (select doc_id, lang, row_number() over (order by md5('42|s|'||doc_id), doc_id)-1 as r from documents)""",
     "every_fifth_row": "select doc_id, lang, (row_number() over (partition by lang order by doc_id)-1)%5=0 as flagged from documents",

@@ -415,6 +415,20 @@ def shuffled_sample(spark, sf_dir):
     return S.sample_up_to(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 10_000)
 
 
+def sampled_sentences(spark, sf_dir):
+    """Distinct sentences of a pair table, then a random sample of them."""
+    return S.sample_up_to(TR.distinct_sentences(next_turns(spark, sf_dir)), "sentence", 300)
+
+
+def sampled_training_examples(spark, sf_dir):
+    """Saved text pairs, read back as training examples, of which 20 are drawn for evaluation."""
+    pairs = TP.text_pairs(text_class(spark, sf_dir), "doc_id", max_dataset_size=TEXT_PAIR_LIMIT, pair_key="pair")
+    path = scratch_path(spark, "pairs")
+    tables.write_dataset(pairs.withColumn(tables.SPLIT, F.lit("train")), path)
+    drawn = S.sample_exactly(jobs.read_training_examples(spark, path, "train"), "pair", 20)
+    return drawn.select("pair", F.array_join("texts", " || ").alias("texts"), "label")
+
+
 def shuffled_batches(spark, sf_dir):
     return S.shuffled_batches(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 32)
 
@@ -650,6 +664,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         random_dissimilar_pairs, remapped_tags,
         entity_vocabulary, common_labels, label_union, distinct_sentences, row_counts, label_inventory,
         sorted_and_renumbered, split_70_15_15, split_80_10_10, random_examples, shuffled_sample,
+        sampled_sentences, sampled_training_examples,
         shuffled_batches, every_fifth_row,
         concatenated, merged_two, merged_three, merged_strict, merged_strict_keep_ids,
         compatible_tables, mergeable_groups, wanted_tags,

@@ -131,3 +131,15 @@ def test_catalog_queries(spark):
     assert {r.iob_name for r in M.iob_names(iob).collect()} == {"O", "B-a"}
     plain = rows.where("model = 'm2' and id < 2").select("id", F.col("label").alias("name"))
     assert {r.iob_name for r in M.iob_names(plain).collect()} == {"O", "B-b"}
+
+
+def test_many_copies_and_null_ids_are_counted_then_numbered(spark):
+    """Groups larger than a bucket: half the rows are copies without an id."""
+    rows = [(["copy"], [0], None)] * 60 + [([f"t{i}"], [0], None) for i in range(20)] + [([f"u{i}"], [1], i) for i in range(40)]
+    df = dataset(spark, rows, ["O", "a"])
+    small = {(r.document_id, r.tokens[0]) for r in M.merge_reindexed([df]).collect()}
+    for parts in (1, 7):
+        got = {(r.document_id, r.tokens[0]) for r in M.merge_reindexed([df.repartition(parts)], rows_per_bucket=10).collect()}
+        assert got == small
+    assert sorted(i for i, _ in small) == list(range(120))
+    assert {t for i, t in small if i < 40} == {f"u{i}" for i in range(40)}

@@ -86,13 +86,14 @@ def test_whole_row_pairs(rows, path):
     assert got == want
 
 
-@pytest.mark.parametrize("size", [1, 4, 7])
+@pytest.mark.parametrize("size", [4])
 def test_pages_make_up_the_whole(rows, path, size):
     total = Counter()
     for first in range(0, 15, size):
         page = R.row_pairs(rows, "document_id", first, size, rows_per_bucket=2)
-        assert page.count() == min(size, 15 - first)
-        total += bag(page)
+        got = bag(page)
+        assert sum(got.values()) == min(size, 15 - first)
+        total += got
     assert total == bag(R.row_pairs(rows, "document_id", 0, 15))
     assert R.row_pairs(rows, "document_id", 15, 5).count() == 0
     with pytest.raises(ValueError):
@@ -121,8 +122,8 @@ def test_pairs_of_pairs(spark, path):
     want = Counter(brute_pairs([p[1:] for p in pairs]))
     assert bag(R.dissimilar_from_pairs(df, "k", 0, 1000)) == want
     pages = Counter()
-    for first in range(0, 36, 5):
-        pages += bag(R.dissimilar_from_pairs(df, "k", first, 5))
+    for first in range(0, 36, 13):
+        pages += bag(R.dissimilar_from_pairs(df, "k", first, 13))
     assert pages == want
 
 

@@ -125,3 +125,9 @@ def test_wide_text_is_scanned_once(spark, tmp_path, path):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     scans = [line for line in plan.splitlines() if "FileScan" in line and "text#" in line]
     assert len(scans) == 1, plan
+
+
+def test_pair_key_is_unique(spark, path):
+    df = spark.createDataFrame(rows_of({"a": 6, "b": 4}), "key long, text string, label string")
+    got = TP.text_pairs(df, "key", pair_key="pair").collect()
+    assert len({r.pair for r in got}) == len(got) == 42
