@@ -284,6 +284,17 @@ ORACLES: dict[str, str] = {
     "compatible_tables": f"""with catalog as ({_catalog()}), counts as ({_counts()}), {_FITS}
         select dataset_1, dataset_2, a.n_rows+b.n_rows as n_rows from fits
         join counts a on a.dataset=dataset_1 join counts b on b.dataset=dataset_2""",
+    "mergeable_groups": f"""with recursive catalog as ({_catalog()}), counts as ({_counts()}), {_FITS},
+        later as (select k.pos as p, coalesce(list(f.p2 order by f.p2) filter (f.p2 is not null), []) as l
+            from kinds k left join fits f on f.p1=k.pos and f.p2>k.pos group by k.pos),
+        walk as (select -1 as p, []::integer[] as seen, false as opens union all
+            select l.p, case when list_contains(w.seen, l.p) then w.seen else list_concat(w.seen, l.l) end, not list_contains(w.seen, l.p)
+            from walk w join later l on l.p=w.p+1),
+        opened as (select row_number() over (order by w.p) as group_id, list_concat([w.p], l.l) as ps
+            from walk w join later l on l.p=w.p where w.opens),
+        member as (select group_id, unnest(ps) as p from opened)
+        select cast(group_id as integer) as group_id, string_agg(k.dataset, ',' order by m.p) as datasets, cast(sum(c.n_rows) as bigint) as n_rows
+        from member m join kinds k on k.pos=m.p join counts c on c.dataset=k.dataset group by group_id""",
     "wanted_tags": f"""select document_id, {_text("list_sort(list_intersect(list_distinct(ner_tags), [1,2,3,4]))")} as tags from ({PLAIN})""",
     "sentences": f"select document_id, array_to_string(tokens,' ') as sentence from ({PLAIN})",
     "lowercased_tokens": f"""select document_id, array_to_string(list_transform(tokens, lambda t, i:
@@ -314,3 +325,24 @@ ORACLES: dict[str, str] = {
     "encoded_sentences": """select doc_id, length(text)-length(replace(text,'a','')) as e0, length(text)-length(replace(text,'e','')) as e1,
         length(text)-length(replace(text,' ','')) as e2 from documents""",
 }
+
+# Integer widths as the queries return them.
+_WIDTHS = {
+    "merged_and_saved": {"sum_id": "bigint", "n_tokens": "bigint"},
+    "text_chunks": {"line": "integer"},
+    "text_files_written": {"file_index": "integer", "n_chars": "bigint"},
+    "text_columns": {"n_chars": "bigint"},
+    "declared_schema": {"document_id": "integer"},
+    "remapped_tags": {"document_id": "integer"},
+    "shuffled_batches": {"batch_pos": "integer"},
+    "concatenated": {"document_id": "integer"},
+    "merged_two": {"document_id": "integer"},
+    "merged_three": {"document_id": "integer"},
+    "merged_strict": {"document_id": "integer"},
+    "merged_strict_keep_ids": {"document_id": "integer"},
+    "label_map": {"id": "integer"},
+    "dimension_sweep_full": {"k": "integer"},
+}
+for _name, _columns in _WIDTHS.items():
+    _casts = ", ".join(f"cast({c} as {t}) as {c}" for c, t in _columns.items())
+    ORACLES[_name] = f"select * replace ({_casts}) from ({ORACLES[_name]})"
