@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 
 
 def _dot(u: Column, v: Column) -> Column:
-    return F.aggregate(F.zip_with(u, v, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    products = F.zip_with(u, v, lambda a, b: a.cast("double") * b.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+
+def _length(u: Column) -> Column:
+    return F.sqrt(F.aggregate(u, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
 
 
 def cosine(u: Column, v: Column) -> Column:
-    """Cosine similarity in double precision; null if either vector has length zero."""
-    u, v = u.cast("array<double>"), v.cast("array<double>")
-    norms = F.sqrt(_dot(u, u)) * F.sqrt(_dot(v, v))
-    return F.when(norms > 0, _dot(u, v) / norms)
+    """Cosine similarity in double precision; null if either vector has length zero.
+
+    Each part occurs once in the expression: higher-order functions are not shared by codegen.
+    """
+    return F.try_divide(_dot(u, v), _length(u) * _length(v))
 
 
 def unit_score(score: Column, top: float = 5.0) -> Column:
