@@ -7,6 +7,7 @@ then remapped by one literal lookup in a projection.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,16 +119,25 @@ def sorted_concat(
             for number, df in enumerate(datasets)
         ]
     )
+    sizes = {r["_part"]: r["count"] for r in merged.groupBy("_part").count().collect()}
     lead = ["_part", "_last", sort_by, *tiebreak]
-    order = [*lead, F.xxhash64(*columns)]
-    total = merged.count()
-    if total <= rows_per_bucket or largest_group(merged, lead, rows_per_bucket) <= rows_per_bucket:
-        placed = with_position(merged, order, name="_pos", rows_per_bucket=rows_per_bucket, total=total, bucket_by=lead)
+    order = [*lead[1:], F.xxhash64(*columns)]
+    place = partial(with_position, group_by=["_part"], name="_first", rows_per_bucket=rows_per_bucket)
+    if isinstance(merged.schema[sort_by].dataType, T.IntegralType):
+        plain = [F.coalesce(F.col(sort_by).cast("long"), F.lit(2**63 - 1))]
+    else:
+        plain = lead[1:3]
+    total = sum(sizes.values())
+    if total <= rows_per_bucket or largest_group(merged, lead[:3], rows_per_bucket) <= rows_per_bucket:
+        placed = place(merged, order, total=total, bucket_by=plain)
+    elif tiebreak and largest_group(merged, lead, rows_per_bucket) <= rows_per_bucket:
+        placed = place(merged, order, total=total, bucket_by=lead[1:])
     else:
         counted = merged.groupBy(*merged.columns).agg(F.count("*").alias("_copies"))
-        first = with_position(counted, order, name="_first", rows_per_bucket=rows_per_bucket, weight="_copies")
-        placed = _numbered_copies(first)
-    return placed.select(*[F.col("_pos").alias(c) if c == sort_by else F.col(c) for c in columns])
+        placed = _numbered_copies(place(counted, order, weight="_copies"))
+    before = [sum(sizes.get(p, 0) for p in range(number)) for number in range(len(datasets))]
+    position = F.col("_first") + F.element_at(F.array(*[F.lit(n).cast("long") for n in before]), F.col("_part") + 1)
+    return placed.select(*[position.alias(c) if c == sort_by else F.col(c) for c in columns])
 
 
 def _numbered_copies(first: DataFrame) -> DataFrame:
@@ -138,7 +148,7 @@ def _numbered_copies(first: DataFrame) -> DataFrame:
         f"explode(sequence(_first + _chunk * {COPIES_PER_CHUNK},"
         f" _first + least(_copies, (_chunk + 1) * {COPIES_PER_CHUNK}) - 1))"
     )
-    return chunks.repartition(tasks, "_first", "_chunk").withColumn("_pos", copies)
+    return chunks.repartition(tasks, "_first", "_chunk").withColumn("_first", copies)
 
 
 def merge_reindexed(

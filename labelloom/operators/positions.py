@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.draw import shuffle_hash
+from .lineage import cut_lineage
 
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 65_536
 SAMPLES_PER_BUCKET = 16
+EXACT_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def as_columns(cols: str | Column | Sequence[str | Column]) -> list[Column]:
@@ -33,32 +35,39 @@ def as_columns(cols: str | Column | Sequence[str | Column]) -> list[Column]:
 
 
 def _range_bucket(df: DataFrame, key: Column, total: int, buckets: int) -> Column:
-    """Bucket number of a key: the count of boundaries not above it.
+    """Bucket number of a key, by quantiles of a sample of keys.
 
-    Boundaries are quantiles of a sample of keys. They decide balance only; any boundaries give
-    the same positions. Two levels of about sqrt(buckets) boundaries keep the per-row search
-    short.
+    The boundaries decide balance only; any boundaries give the same positions.
     """
     wanted = buckets * SAMPLES_PER_BUCKET
-    width = max(1, math.isqrt(buckets))
     sample = df.select(key.alias("k")).where(
         F.pmod(F.xxhash64("k"), F.lit(max(1, total // wanted))) == 0
     )
     sampled = sample.agg(F.array_sort(F.collect_list("k")).alias("keys"))
     step = F.greatest(F.lit(1), F.floor(F.size("keys") / F.lit(buckets)).cast("int"))
-    bounds = sampled.select(F.filter("keys", lambda k, i: (i > 0) & (i % step == 0)).alias("bounds"))
-    starts = F.filter(F.sequence(F.lit(0), F.size("bounds")), lambda i: (i % width == 0) & (i < F.size("bounds")))
+    return _bucket_of(sampled.select(F.filter("keys", lambda k, i: (i > 0) & (i % step == 0)).alias("bounds")), key)
+
+
+def _bucket_of(bounds: DataFrame, key: Column) -> Column:
+    """Number of ``bounds`` (one row, a sorted array) not above a key.
+
+    Two levels of about sqrt(n) boundaries keep the per-row search short.
+    """
+    key_type = bounds.schema["bounds"].dataType
+    n = F.size("bounds")
+    width = F.greatest(F.lit(1), F.floor(F.sqrt(n)).cast("int"))
+    starts = F.filter(F.sequence(F.lit(0), n), lambda i: (i % width == 0) & (i < n))
     row = bounds.select(
-        F.to_json(F.filter("bounds", lambda _, i: i % width == 0)).alias("heads"),
-        F.to_json(F.transform(starts, lambda i: F.slice("bounds", i + 1, width))).alias("blocks"),
+        width.alias("width"),
+        F.to_json(F.filter("bounds", lambda _, i: i % width == 0), EXACT_JSON).alias("heads"),
+        F.to_json(F.transform(starts, lambda i: F.slice("bounds", i + 1, width)), EXACT_JSON).alias("blocks"),
     ).first()
     # JSON literals of a foldable expression: parsed once, by the optimizer.
-    key_type = df.select(key.alias("k")).schema["k"].dataType
-    heads = F.from_json(F.lit(row["heads"]), T.ArrayType(key_type))
-    blocks = F.from_json(F.lit(row["blocks"]), T.ArrayType(T.ArrayType(key_type)))
+    heads = F.from_json(F.lit(row["heads"]), key_type, EXACT_JSON)
+    blocks = F.from_json(F.lit(row["blocks"]), T.ArrayType(key_type), EXACT_JSON)
     block = F.size(F.filter(heads, lambda b: b <= key))
     inside = F.size(F.filter(F.get(blocks, block - 1), lambda b: b <= key))
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * width + inside)
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * row["width"] + inside)
 
 
 def _from_buckets(
@@ -108,15 +117,15 @@ def with_position(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     total: int | None = None,
     weight: str | None = None,
-    bucket_by: Sequence[str] = (),
+    bucket_by: Sequence[str | Column] = (),
 ) -> DataFrame:
     """Add the 0-based position of each row in its group, in the order of ``order_by``.
 
     ``order_by`` must be unique inside a group and sorts ascending, nulls first. With a ``weight``
     column the position is the total weight of the rows before. Counts the input when called,
     unless ``total`` says how many rows it has; larger inputs also have their keys sampled.
-    ``bucket_by`` may name the leading order columns to make buckets of, if the others are costly
-    and no value of the leading ones has many rows.
+    ``bucket_by`` may give leading order columns, or something that rises with them, to make
+    buckets of, if the full key is costly and no value of the leading part has many rows.
     """
     order = as_columns(order_by)
     total = df.count() if total is None else total
@@ -129,6 +138,30 @@ def with_position(
     return _from_buckets(df, bucket, order, group_by, name, buckets, weight)
 
 
+def with_position_in_runs(
+    df: DataFrame, key: str, run: int, name: str = "idx", rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """Positions in key order, with each ``run`` of consecutive rows in one partition.
+
+    Positions are first found on the keys alone, which are written once so that filters on the
+    wide columns are not repeated. The keys at multiples of a whole number of runs then bound the
+    buckets, so that the wide rows are read once more and shuffled once, straight to where their
+    run is put together.
+    """
+    keys = cut_lineage(df.select(key))
+    total = keys.count()
+    if total <= rows_per_bucket:
+        return with_position(df, key, name=name, rows_per_bucket=rows_per_bucket, total=total)
+    stride = -(-max(rows_per_bucket, total // MAX_BUCKETS) // run) * run
+    narrow = with_position(keys, key, name="_pos", rows_per_bucket=rows_per_bucket, total=total)
+    starts = narrow.where((F.col("_pos") % stride == 0) & (F.col("_pos") > 0))
+    bounds = starts.agg(F.array_sort(F.collect_list(key)).alias("bounds"))
+    keyed = df.withColumn("_bucket", _bucket_of(bounds, F.col(key)).cast("long"))
+    spread = keyed.repartition(-(-total // stride), "_bucket")
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
+    return spread.select(*df.columns, (F.col("_bucket") * stride + rank).alias(name))
+
+
 def with_shuffled_position(
     df: DataFrame,
     key: str | Sequence[str],

@@ -40,15 +40,13 @@ def pair_plan(
 ) -> DataFrame:
     """Per label: rows, number of labels, cap and planned pairs (as many dissimilar ones follow).
 
-    The windows run over one row per label.
+    The window counts one row per label.
     """
     whole = Window.partitionBy(*by)
-    ranked = Window.partitionBy(*by).orderBy(label)
     n = F.col("n_examples")
     return (
         label_counts(df, label, by, *more)
         .withColumn("n_labels", F.count("*").over(whole))
-        .withColumn("label_rank", (F.row_number().over(ranked) - 1).cast("long"))
         .withColumn("cap", F.expr(f"{int(max_dataset_size)}L div (2 * n_labels)"))
         # n * (n - 1) would overflow for such n, whose pairs exceed any cap.
         .withColumn(
@@ -78,21 +76,37 @@ def text_pairs(
     """
     by = [split] if split else []
     rows = df.where(F.col(label).isNotNull())
-    plan = pair_plan(rows, max_dataset_size, label, by)
-    widths = row_bytes(rows, [*by, label, order_by]).alias("bytes")
-    facts = (
-        pair_plan(rows, max_dataset_size, label, by, widths)
+    per_split = (
+        label_counts(rows, label, by, row_bytes(rows, [*by, label, order_by]).alias("bytes"))
+        .groupBy(*by)
         .agg(
-            F.coalesce(F.sum("num_pairs"), F.lit(0)).alias("pairs"),
-            F.coalesce(F.sum("n_examples"), F.lit(0)).alias("rows"),
             F.count("*").alias("labels"),
-            F.count(F.when((F.col("n_labels") == 1) & (F.col("num_pairs") > 0), 1)).alias("alone"),
-            F.coalesce(F.max("bytes"), F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum("n_examples"), F.lit(0)).alias("rows"),
+            F.max("n_examples").alias("largest"),
+            F.max("bytes").alias("bytes"),
         )
-        .first()
     )
+    can_pair = (F.col("largest") > 1) & (F.lit(max_dataset_size) >= 2 * F.col("labels"))
+    facts = per_split.agg(
+        F.count(F.when(can_pair, 1)).alias("splits"),
+        F.coalesce(F.sum("labels"), F.lit(0)).alias("labels"),
+        F.coalesce(F.max("labels"), F.lit(0)).alias("most_labels"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.count(F.when(can_pair & (F.col("labels") == 1), 1)).alias("alone"),
+        F.coalesce(F.max("bytes"), F.lit(0)).alias("bytes"),
+    ).first()
     if DISSIMILAR in kinds and facts["alone"]:
         raise ValueError("dissimilar pairs need at least two labels")
+    planned = rows
+    if 2 * facts["most_labels"] > max_dataset_size:
+        # Splits of so many labels have a cap of no pairs. Without them, at most
+        # max_dataset_size / 2 labels of a split are ranked below.
+        paired = per_split.where(can_pair).select(*by)
+        planned = rows.join(paired, by, "left_semi") if by else rows.limit(0)
+    plan = pair_plan(planned, max_dataset_size, label, by).withColumn(
+        "label_rank", (F.row_number().over(Window.partitionBy(*by).orderBy(label)) - 1).cast("long")
+    )
+    pair_bound = facts["splits"] * (max_dataset_size // 2)
     plan_bytes = facts["labels"] * (64 + facts["bytes"])
 
     pairs = _pair_numbers(plan, by)
@@ -119,7 +133,7 @@ def text_pairs(
     met = gather_pairs(
         rows,
         placed,
-        facts["pairs"],
+        pair_bound,
         order_by,
         {"text": F.col(text)},
         sides,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.positions import ROWS_PER_BUCKET, with_position
+from ..operators.positions import ROWS_PER_BUCKET, with_position_in_runs
 from ..operators.schemas import drop_empty_text, text_column, text_of
 
 LINES_PER_FILE = 500
@@ -22,7 +22,7 @@ def text_chunks(
 ) -> DataFrame:
     """``file_index, line, value``: non-empty texts in key order, ``lines_per_file`` to a file.
 
-    One row is one line, also if its text holds newlines.
+    One row is one line, also if its text holds newlines. The rows of a file are in one partition.
     """
     if lines_per_file <= 0:
         raise ValueError("lines_per_file must be positive")
@@ -30,7 +30,7 @@ def text_chunks(
     if column is None:
         raise ValueError(f"no text column among {df.columns}")
     lines = drop_empty_text(df.select(F.col(order_by).alias("_key"), text_of(df, column).alias("value")), "value")
-    placed = with_position(lines, "_key", name="_pos", rows_per_bucket=rows_per_bucket)
+    placed = with_position_in_runs(lines, "_key", lines_per_file, "_pos", rows_per_bucket)
     return placed.select(
         F.floor(F.col("_pos") / lines_per_file).cast("long").alias("file_index"),
         (F.col("_pos") % lines_per_file).cast("int").alias("line"),
@@ -56,8 +56,7 @@ def write_text_files(
     for more in parts[1:]:
         lines = lines.unionByName(more)
     (
-        lines.repartition("dataset", "file_index")
-        .sortWithinPartitions("dataset", "file_index", "line")
+        lines.sortWithinPartitions("dataset", "file_index", "line")
         .select("dataset", "file_index", "value")
         .write.mode("errorifexists")
         .partitionBy("dataset", "file_index")

@@ -143,3 +143,17 @@ def test_many_copies_and_null_ids_are_counted_then_numbered(spark):
         assert got == small
     assert sorted(i for i, _ in small) == list(range(120))
     assert {t for i, t in small if i < 40} == {f"u{i}" for i in range(40)}
+
+
+def test_tiebreak_and_string_ids(spark):
+    rows = [([f"t{i}"], [0], None if i % 2 else 5, i) for i in range(40)]
+    df = with_label_names(
+        spark.createDataFrame(rows, "tokens array<string>, ner_tags array<int>, document_id int, line int"), "ner_tags", ["O"]
+    )
+    for per_bucket in (6, 1000):
+        got = M.sorted_concat([df, df], "document_id", ["line"], rows_per_bucket=per_bucket).collect()
+        want = [r[0][0] for r in sorted(rows, key=lambda r: (r[2] is None, r[3]))] * 2
+        assert [r.tokens[0] for r in sorted(got, key=lambda r: r.document_id)] == want
+    named = spark.createDataFrame([(f"k{i:02d}", i) for i in range(30)] + [(None, 99)], "name string, v int")
+    got = M.sorted_concat([named.repartition(4)], "name", rows_per_bucket=5).collect()
+    assert [r.v for r in sorted(got, key=lambda r: r.name)] == [*range(30), 99]

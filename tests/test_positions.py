@@ -89,3 +89,26 @@ def test_large_input_has_no_single_task_sort(spark):
     assert all("_bucket" in w for w in windows)
     # Boundaries are literals: nothing parses JSON or slices the list per row.
     assert "from_json" not in plan and "slice(" not in plan
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "timestamp", "double"])
+def test_runs_stay_in_one_partition(spark, kind):
+    from labelloom.operators.positions import with_position_in_runs
+
+    key = {
+        "long": F.col("id") * 7919 % 1009,
+        "string": F.concat(F.lit('k"é'), F.lpad((F.col("id") * 7919 % 1009).cast("string"), 5, "0")),
+        "timestamp": F.timestamp_micros(F.col("id") * 7919 % 1009 + 1_700_000_000_000_000),
+        "double": (F.col("id") * 7919 % 1009) / 7.0,
+    }[kind]
+    df = spark.range(1000).select("id", key.alias("k")).repartition(5)
+    for per_bucket in (40, 10_000):
+        placed = with_position_in_runs(df, "k", 7, "pos", per_bucket).withColumn("part", F.spark_partition_id())
+        rows = placed.collect()
+        ordered = sorted(rows, key=lambda r: r.k)
+        assert [r.pos for r in ordered] == list(range(1000))
+        homes = {}
+        for r in rows:
+            homes.setdefault(r.pos // 7, set()).add(r.part)
+        assert all(len(h) == 1 for h in homes.values())
+    assert len({r.part for r in with_position_in_runs(df, "k", 7, "pos", 40).withColumn("part", F.spark_partition_id()).collect()}) > 5

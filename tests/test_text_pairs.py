@@ -131,3 +131,14 @@ def test_pair_key_is_unique(spark, path):
     df = spark.createDataFrame(rows_of({"a": 6, "b": 4}), "key long, text string, label string")
     got = TP.text_pairs(df, "key", pair_key="pair").collect()
     assert len({r.pair for r in got}) == len(got) == 42
+
+
+def test_split_with_too_many_labels_makes_no_pairs(spark, path):
+    """Such a split has a cap of no pairs; the others keep theirs."""
+    many = [(k, f"x{k}", f"m{k // 2}", "many") for k in range(60)]
+    few = [(1000 + k, f"y{k}", "ab"[k % 2], "few") for k in range(8)]
+    df = spark.createDataFrame(many + few, "key long, text string, label string, split string")
+    got = TP.text_pairs(df, "key", split="split", max_dataset_size=20).collect()
+    assert {r.split for r in got} == {"few"}
+    assert Counter((r.sentence1, r.sentence2, r.label) for r in got) == brute([r[:3] for r in few], 20)
+    assert TP.text_pairs(df.where("split = 'many'"), "key", max_dataset_size=20).count() == 0
