@@ -16,13 +16,11 @@ def shared_folder(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    folder = folder or sc.getCheckpointDir()
     if not folder:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="labelloom-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
@@ -32,6 +30,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write an intermediate result once, so that later jobs read it instead of repeating it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write an intermediate result once as a table, so that later jobs read it, not repeat it.
+
+    Parquet in the shared folder survives lost executors, reads single columns, and tells the
+    planner its size.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
