@@ -8,20 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _configured_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or the one set on the Spark context.
 
-    A folder of our own is made only in local mode with the setting absent: on a cluster a
+    A folder of our own is made only in local mode with neither given: on a cluster a
     machine-local folder would be lost with its machine.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="labelloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    folder = _configured_folder(spark) or sc.getCheckpointDir()
+    if folder:
+        return folder
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="labelloom-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
