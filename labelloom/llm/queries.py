@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import prefix_tree, read_back
+from .lines import dedup_lines
 from .mixing import mix
+from .packing import pack
+from .pii import pseudonymize
 from .quality import judge_quality
 from .sharding import shard_plan
 from .shared import table
+from .topk import top_k
 from .url_rules import judge_urls
 
 
@@ -27,6 +32,32 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "broken_rules")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "n_values")
+
+
+#: A conversation that speaks the template's own control strings.
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
+    return read_back(*prefix_tree(turns.unionByName(more)))
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = shard_plan(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
     return plan.select(
@@ -44,5 +75,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_url_rules": op2_url_rules,
     "op3_quality_rules": op3_quality_rules,
+    "op4_pii": op4_pii,
+    "op6_chat_format": op6_chat_format,
+    "op7_line_dedup": op7_line_dedup,
     "op8_sharding": op8_sharding,
+    "op9_top_k": op9_top_k,
+    "op10_packing": op10_packing,
 }
