@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitmaps import bitmap, holds
-from .shared import cut, small
+from .shared import cut, only, small
 
 LEAST_WORDS = 3
 LEAST_NEAR_WORDS = 10
@@ -245,5 +245,5 @@ def dedup_lines(
 def left_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with what is left of their texts, without those of which nothing but short lines is left."""
     wrapped = docs.select(F.struct("*").alias("row"), F.col(key).alias("k"), F.col(text).alias("t"))
-    left = dedup_lines(wrapped, "k", "t").where("NOT emptied")
-    return left.select(*[(F.col("t") if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
+    columns = [(F.col("t") if c == text else F.col("row")[c]).alias(c) for c in docs.columns]
+    return only(dedup_lines(wrapped, "k", "t"), ~F.col("emptied"), F.struct(*columns))

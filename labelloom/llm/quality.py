@@ -22,7 +22,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import words
+from .shared import only, words
 
 # Symbols, and frequent function words of English, French, German and Spanish.
 SYMBOLS = "[#*$%&|<>]"
@@ -172,11 +172,4 @@ def judge_quality(
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows that pass, with their own columns and nothing else."""
-    judged = text_counts(df, text).where(_all(BASE_RULES) & _all(RULES))
-    return judged.select(*[F.col("_row")[c].alias(c) for c in df.columns])
-
-
-def judged_documents(docs: DataFrame) -> DataFrame:
-    return judge_quality(docs.select("doc_id", "text")).drop("text")
-
-
+    return only(text_counts(df, text), _all(BASE_RULES) & _all(RULES), F.col("_row"))

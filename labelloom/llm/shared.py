@@ -54,6 +54,16 @@ def replace_columns(df: DataFrame, **new: Column) -> DataFrame:
     return df.select(*kept, *[c.alias(n) for n, c in new.items()])
 
 
+def only(df: DataFrame, condition: Column, row: Column) -> DataFrame:
+    """The fields of ``row`` where ``condition`` holds.
+
+    A plain filter would be pushed down with all that its condition is made of put in place, even
+    inside of lambdas, and work it out again for every use; behind a generator it is not.
+    """
+    found = df.select(F.explode_outer(F.when(condition, F.array(row))).alias("_only"))
+    return found.where(F.col("_only").isNotNull()).select("_only.*")
+
+
 def tasks(df: DataFrame) -> int:
     """Partitions for a shuffle, as the session is set."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
