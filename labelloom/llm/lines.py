@@ -31,7 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitmaps import bitmap, holds
+from .sharding import prefix_sums
 from .shared import cut, only, small
+from .shingles import BASE, U, mixed, powers
 
 LEAST_WORDS = 3
 LEAST_NEAR_WORDS = 10
@@ -122,18 +124,42 @@ def _candidate_lines(bits, least_near_words: int):
     return read
 
 
-def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(variant, place, h1, h2)``: the line itself with place -1, and without the word at each place."""
-    schema = pa.schema([("variant", pa.int64()), ("place", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())])
-    for batch in batches:
-        for h1, h2, text in zip(*(c.to_pylist() for c in batch.columns)):
-            words = text.encode().split(b" ")
-            rows = [(_hash(text.encode()), -1, h1, h2)]
-            for i in range(len(words)):
+def variant_hashes(hashes: np.ndarray) -> tuple[int, np.ndarray]:
+    """Hash of a line from those of its words, and of the line without each of its words."""
+    n = len(hashes)
+    terms = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(hashes * powers(BASE, n), out=terms[1:])
+    # What stands behind the word left out moves one place to the front.
+    without = terms[:-1] + (terms[-1] - terms[1:]) * U(pow(BASE, -1, 1 << 64))
+    return int(mixed(terms[-1:] + U(n))[0]), mixed(without + U(n - 1))
+
+
+def _variants(bits):
+    """``(variant, place, rank)``: the line itself with place -1, and without the word at each place.
+
+    With ``bits`` only variants that may be in that bitmap.
+    """
+    schema = pa.schema([("variant", pa.int64()), ("place", pa.int32()), ("rank", pa.int64())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for rank, text in zip(*(c.to_pylist() for c in batch.columns)):
+                words = text.encode("utf-8", "surrogatepass").split(b" ")
+                hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+                whole, without = variant_hashes(hashes)
                 # The same word twice in a row gives one variant, under its first place.
-                if i == 0 or words[i] != words[i - 1]:
-                    rows.append((_hash(b" ".join(words[:i] + words[i + 1 :])), i, h1, h2))
-            yield _table(rows, schema)
+                places = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+                variants = np.concatenate([np.array([whole], np.uint64), without[places]]).view(np.int64)
+                places = np.concatenate([[-1], places]).astype(np.int32)
+                if bits is not None:
+                    hit = holds(bits.value, variants)
+                    variants, places = variants[hit], places[hit]
+                found.append((variants, places, np.full(len(places), rank, np.int64)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], schema=schema)
+
+    return read
 
 
 def within_one(a: list[str], b: list[str]) -> bool:
@@ -148,8 +174,8 @@ def within_one(a: list[str], b: list[str]) -> bool:
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        h1, h2, own, other = (c.to_pylist() for c in batch.columns)
-        good = [i for i in range(len(h1)) if within_one(own[i].split(" "), other[i].split(" "))]
+        _, _, own, other = (c.to_pylist() for c in batch.columns)
+        good = [i for i in range(len(own)) if within_one(own[i].split(" "), other[i].split(" "))]
         if good:
             yield batch.select([0, 1]).take(pa.array(good))
 
@@ -186,28 +212,25 @@ def _near_lines(bare: DataFrame, distinct: DataFrame, parts: list[str], least_ne
     bits = bitmap(candidates, "h1")
     hits = bare.mapInArrow(_candidate_lines(bits, least_near_words), "h1 long, h2 long, words string")
     worded = hits.groupBy("h1", "h2").agg(F.first("words").alias("words"))
-    known = cut(worded.join(candidates, ["h1", "h2"]).join(distinct.select("h1", "h2", "first"), ["h1", "h2"]))
-    made = known.select("h1", "h2", "words").mapInArrow(_variants, "variant long, place int, h1 long, h2 long")
-    # Variants of a single line meet nothing.
-    variants = made.join(known.select("h1", "h2", "first"), ["h1", "h2"])
-    sets = cut(
-        variants.groupBy("variant", "place").agg(
-            F.min(F.struct("first", "h1", "h2")).alias("least"), F.max(F.struct("first", "h1", "h2")).alias("most"), F.count("*").alias("n")
-        )
-    )
+    known = worded.join(candidates, ["h1", "h2"]).join(distinct.select("h1", "h2", "first"), ["h1", "h2"])
+    # A line's number in the order of first places: it stands for the line, and tells which is earlier.
+    ranked = cut(prefix_sums(known, [F.col("first")], F.lit(1)).select(F.col("_rows_before").alias("rank"), "h1", "h2", "words"))
+    emitted = "variant long, place int, rank long"
+    texts = ranked.select("rank", "words")
+    twice = texts.mapInArrow(_variants(None), emitted).groupBy("variant").count().where("count > 1")
+    # Variants that a single line makes meet nothing; they are not shuffled as rows.
+    variants = cut(texts.mapInArrow(_variants(bitmap(twice, "variant")), emitted))
     # Another word at the same place: the earliest line of the set is a neighbour of all others.
-    several = sets.where("n > 1 AND place >= 0").select("variant", "place", "least")
-    swapped = variants.join(several, ["variant", "place"]).select("h1", "h2", "first", F.col("least").alias("other"))
-    # A word more or less: a line (all of its set are equal) and the lines of which it is a variant.
-    whole = sets.where("place = -1").select("variant", F.col("least").alias("line"))
-    around = sets.where("place >= 0").groupBy("variant").agg(F.min("least").alias("least"))
-    shorter = whole.join(around, "variant").select("line.h1", "line.h2", "line.first", F.col("least").alias("other"))
-    holding = whole.join(variants.where("place >= 0"), "variant").select("h1", "h2", "first", F.col("line").alias("other"))
-    links = swapped.unionByName(shorter).unionByName(holding).where(F.col("other.first") < F.col("first"))
-    nearest = links.groupBy("h1", "h2").agg(F.min("other").alias("other"))
-    pairs = nearest.join(known.select("h1", "h2", F.col("words").alias("own")), ["h1", "h2"]).join(
-        known.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("words").alias("others")),
-        (F.col("other.h1") == F.col("o1")) & (F.col("other.h2") == F.col("o2")),
+    several = variants.where("place >= 0").groupBy("variant", "place").agg(F.min("rank").alias("other"), F.count("*").alias("n"))
+    swapped = variants.join(several.where("n > 1"), ["variant", "place"]).select("rank", "other")
+    # A word more or less: a line and the lines of which it is a variant.
+    whole = variants.where("place = -1").select("variant", F.col("rank").alias("whole"))
+    longer = variants.where("place >= 0").join(whole, "variant")
+    first_longer = longer.groupBy("whole").agg(F.min("rank").alias("other"))
+    links = swapped.unionAll(longer.select("rank", F.col("whole").alias("other"))).unionAll(first_longer.select("whole", "other"))
+    nearest = links.where("other < rank").groupBy("rank").agg(F.min("other").alias("other"))
+    pairs = nearest.join(ranked.withColumnRenamed("words", "own"), "rank").join(
+        ranked.select(F.col("rank").alias("other"), F.col("words").alias("others")), "other"
     )
     return pairs.select("h1", "h2", "own", "others").mapInArrow(_verified, "h1 long, h2 long")
 
