@@ -148,10 +148,9 @@ def _variants(bits):
                 words = text.encode("utf-8", "surrogatepass").split(b" ")
                 hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
                 whole, without = variant_hashes(hashes)
-                # The same word twice in a row gives one variant, under its first place.
-                places = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-                variants = np.concatenate([np.array([whole], np.uint64), without[places]]).view(np.int64)
-                places = np.concatenate([[-1], places]).astype(np.int32)
+                # All places, also in a run of one word: a neighbour may differ in any of them.
+                variants = np.concatenate([np.array([whole], np.uint64), without]).view(np.int64)
+                places = np.arange(-1, len(words), dtype=np.int32)
                 if bits is not None:
                     hit = holds(bits.value, variants)
                     variants, places = variants[hit], places[hit]
