@@ -15,10 +15,7 @@ from pyspark.sql import types as T
 from ..functions.vectors import cosine
 from .lineage import cut_lineage
 from .positions import ROWS_PER_BUCKET, with_position
-from .sampling import sample_up_to
 
-TARGET_DIMS = (256, 128, 64, 48, 32, 16)
-PCA_ROWS = 100_000
 HOT_SHARES = 1000
 
 
@@ -36,21 +33,13 @@ def encode(
     return df.mapInPandas(run, schema)
 
 
-def fit_reducer(
-    df: DataFrame,
-    k: int,
-    key: str,
-    embedding: str = "embedding",
-    rows: int = PCA_ROWS,
-    seed: int = 42,
-) -> PCAModel:
-    """Principal components of a random sample of at most ``rows`` embeddings.
+def fit_reducer(df: DataFrame, k: int, embedding: str = "embedding") -> PCAModel:
+    """Principal components of all embeddings.
 
-    The sample is written once, since the fit reads it several times. What reaches the driver is
-    one matrix of dimension x dimension.
+    They are written once, since the fit reads them several times; the covariance is summed up by
+    the tasks, and what reaches the driver is one matrix of dimension x dimension.
     """
-    sample = sample_up_to(df.select(key, embedding), key, rows, seed)
-    vectors = cut_lineage(sample.select(array_to_vector(F.col(embedding).cast("array<double>")).alias("v")))
+    vectors = cut_lineage(df.select(array_to_vector(F.col(embedding).cast("array<double>")).alias("v")).where("v IS NOT NULL"))
     head = vectors.select(F.size(vector_to_array("v")).alias("d")).first()
     if head is None or k > head["d"]:
         raise ValueError(f"cannot reduce to {k} dimensions from {head['d'] if head else 'no rows'}")

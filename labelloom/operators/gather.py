@@ -20,8 +20,6 @@ from .positions import ROWS_PER_BUCKET, with_position
 #: Uses of one row that travel together. A row used a million times is split over 245 slots.
 USES_PER_SLOT = 4096
 BROADCAST_BYTES = 128 * 1024 * 1024
-#: Tables up to this many rows are measured, to see whether they can be broadcast whole.
-MEASURED_ROWS = 1_000_000
 
 
 def row_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -38,20 +36,6 @@ def small(df: DataFrame, byte_bound: int) -> DataFrame:
     return F.broadcast(df) if byte_bound <= BROADCAST_BYTES else df
 
 
-def _payload_bytes(df: DataFrame, columns: Sequence[str]) -> int:
-    """Bytes of all rows of ``columns``, nested values by the length of their JSON."""
-    per_row = F.lit(48)
-    for c in columns:
-        kind = df.schema[c].dataType
-        if isinstance(kind, (T.StringType, T.BinaryType)):
-            per_row = per_row + F.coalesce(F.octet_length(c), F.lit(0))
-        elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
-            per_row = per_row + 8 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
-        else:
-            per_row = per_row + 8
-    return df.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0))).first()[0]
-
-
 def gather_pairs(
     df: DataFrame,
     pairs: DataFrame,
@@ -77,13 +61,8 @@ def gather_pairs(
         total, key_bytes = df.agg(F.count("*"), row_bytes(df, [*groups, *keys])).first()
     columns = df.select(*groups, *keys, *[c.alias(f"_p_{k}") for k, c in payload.items()])
     row = F.struct(*[F.col(f"_p_{k}").alias(k) for k in payload]).alias("_row")
-    if total <= MEASURED_ROWS and _payload_bytes(columns, columns.columns) <= BROADCAST_BYTES:
-        placed = with_position(columns, keys, groups, "idx", rows_per_bucket, total)
-        at = [*groups, "idx"]
-        rows = F.broadcast(placed.select(*[F.col(c).alias(f"_{c}") for c in at], row))
-    else:
-        at = [*groups, "idx", "slot"]
-        rows = _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, rows_per_bucket, total, key_bytes)
+    at = [*groups, "idx", "slot"]
+    rows = _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, rows_per_bucket, total, key_bytes)
     met = pairs
     for s in sides:
         met = met.join(
@@ -105,7 +84,7 @@ def _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, rows_per_
     )
     wanted = uses.select("use.*").distinct()
     byte_bound = pair_count * len(sides) * (key_bytes + 16)
-    here = with_position(columns.select(*groups, *keys), keys, groups, "idx", rows_per_bucket, total)
+    here = with_position(columns.select(*groups, *keys), keys, groups, "idx", rows_per_bucket, total, unique=True)
     placed = here.join(small(wanted, byte_bound), [*groups, "idx"]).select(*at, *keys)
     rows = columns.select(*groups, *keys, row).join(small(placed, byte_bound), [*groups, *keys])
     tasks = int(columns.sparkSession.conf.get("spark.sql.shuffle.partitions"))

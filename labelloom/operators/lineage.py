@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +14,10 @@ def _configured_folder(spark: SparkSession) -> str | None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or the one set on the Spark context.
 
-    A folder of our own is made only in local mode with neither given: on a cluster a
-    machine-local folder would be lost with its machine.
+    With neither given, a folder in the warehouse, which a cluster shares as well.
     """
-    sc = spark.sparkContext
-    folder = _configured_folder(spark) or sc.getCheckpointDir()
-    if folder:
-        return folder
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="labelloom-"))
-    return sc.getCheckpointDir()
+    folder = _configured_folder(spark) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_labelloom"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

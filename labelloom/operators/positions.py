@@ -12,7 +12,6 @@ time, gives the same position. Hot groups are spread over all buckets.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -78,6 +77,7 @@ def _from_buckets(
     name: str,
     buckets: int,
     weight: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     keyed = df.withColumn("_bucket", bucket)
     here = [*group_by, "_bucket"]
@@ -92,7 +92,8 @@ def _from_buckets(
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if buckets > shuffle:
         keyed = keyed.repartition(buckets, *here)
-    inside = _before(Window.partitionBy(*here).orderBy(*order), weight)
+    # Equal keys are in one bucket, so a repeated key follows its like.
+    inside = _before(Window.partitionBy(*here).orderBy(*order), weight, order if unique else ())
     match = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in here]
     return (
         keyed.withColumn("_inside", inside)
@@ -101,10 +102,17 @@ def _from_buckets(
     )
 
 
-def _before(ordered: WindowSpec, weight: str | None) -> Column:
-    """Rows, or their total weight, before the current row of a window."""
+def _before(ordered: WindowSpec, weight: str | None, unique: Sequence[Column] = ()) -> Column:
+    """Rows, or their total weight, before the current row of a window; ``unique`` columns are checked."""
     if weight is None:
-        return (F.row_number().over(ordered) - 1).cast("long")
+        number = F.row_number().over(ordered)
+        if unique:
+            key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(unique)])
+            wrong = F.coalesce(F.lag(key).over(ordered) == key, F.lit(False))
+            for c in unique:
+                wrong = wrong | c.isNull()
+            number = F.when(wrong, F.raise_error("keys must be unique and not null").cast("int")).otherwise(number)
+        return (number - 1).cast("long")
     rows = ordered.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(weight).over(rows), F.lit(0)).cast("long")
 
@@ -118,6 +126,7 @@ def with_position(
     total: int | None = None,
     weight: str | None = None,
     bucket_by: Sequence[str | Column] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Add the 0-based position of each row in its group, in the order of ``order_by``.
 
@@ -126,16 +135,17 @@ def with_position(
     unless ``total`` says how many rows it has; larger inputs also have their keys sampled.
     ``bucket_by`` may give leading order columns, or something that rises with them, to make
     buckets of, if the full key is costly and no value of the leading part has many rows.
+    With ``unique`` a null or repeated key is an error when the rows are read.
     """
     order = as_columns(order_by)
     total = df.count() if total is None else total
     buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
     if buckets <= 1:
-        return df.withColumn(name, _before(Window.partitionBy(*group_by).orderBy(*order), weight))
+        return df.withColumn(name, _before(Window.partitionBy(*group_by).orderBy(*order), weight, order if unique else ()))
     lead = as_columns(bucket_by) or order
     key = lead[0] if len(lead) == 1 else F.struct(*[c.alias(f"k{i}") for i, c in enumerate(lead)])
     bucket = _range_bucket(df, key, total, buckets)
-    return _from_buckets(df, bucket, order, group_by, name, buckets, weight)
+    return _from_buckets(df, bucket, order, group_by, name, buckets, weight, unique)
 
 
 def with_position_in_runs(

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from .positions import ROWS_PER_BUCKET, as_columns, with_position, with_shuffled
 
 PREFIX_DIGITS = 3  # 4,096 counters per level reach the driver
 ROWS_TO_SORT = 10_000
+HASH_DIGITS = 32
 
 SPLIT_70_15_15 = {"train": 0.70, "validation": 0.15, "test": 0.15}
 SPLIT_80_10_10 = {"train": 0.80, "validation": 0.10, "test": 0.10}
@@ -32,6 +35,8 @@ class _ShuffleOrder:
         self.hash = shuffle_hash(seed, *self.keys)
         self.rows = df.select(self.hash.alias("h"), *[k.alias(f"k{i}") for i, k in enumerate(self.keys)])
         self._histograms: dict[str, list[tuple[str, int]]] = {}
+        if self.rows.where(reduce(or_, [F.col(f"k{i}").isNull() for i in range(len(self.keys))])).take(1):
+            raise ValueError("sampling keys must not be null")
         self.total = sum(n for _, n in self._histogram(""))
 
     def _histogram(self, prefix: str) -> list[tuple[str, int]]:
@@ -58,7 +63,13 @@ class _ShuffleOrder:
                 return self.hash < F.lit(prefix)
             if n <= ROWS_TO_SORT:
                 break
-        cut = self.rows.where(F.col("h").startswith(prefix)).orderBy(*self.rows.columns).limit(left + 1).collect()[-1]
+            if len(prefix) >= HASH_DIGITS:
+                raise ValueError("sampling keys must be unique")
+        around = self.rows.where(F.col("h").startswith(prefix)).orderBy(*self.rows.columns).limit(left + 1).collect()
+        cut = around[-1]
+        # Rows equal to the one at the cut would all fall on one side of it.
+        if around[left - 1] == cut:
+            raise ValueError("sampling keys must be unique")
         below = F.lit(False)
         for i, key in reversed(list(enumerate(self.keys))):
             value = F.lit(cut[f"k{i}"])

@@ -1,13 +1,10 @@
 """Similar and dissimilar sentence pairs from text-class rows.
 
-A label with n rows gives p = min(n * (n - 1) / 2, max_dataset_size / (2 * labels)) similar pairs:
-the first p ordered pairs (i, j), i != j, i outer and j inner, in the order of the key. Pair number
-q is computed directly,
-
-    i = q div (n - 1),   r = q mod (n - 1),   j = r + (r >= i),
-
-so nothing quadratic exists at any time. Each similar pair brings one dissimilar pair: its first
-sentence with a random row of a random other label.
+In the order of the key, the row at position i of a label with n rows meets the rows at positions
+i + 1, ..., i + k (mod n), where k is ``partners`` or n - 1 if that is less. So every row of a label
+with two rows or more is the first sentence of a pair, the output grows with the rows, and no row is
+in more than 2 k similar pairs. Each similar pair brings one dissimilar pair: its first sentence with
+a random row of a random other label.
 """
 
 from __future__ import annotations
@@ -19,11 +16,12 @@ from pyspark.sql import functions as F
 
 from ..functions.draw import draw
 from .gather import USES_PER_SLOT, gather_pairs, row_bytes, small
-from .positions import ROWS_PER_BUCKET
+from .lineage import cut_lineage
+from .positions import ROWS_PER_BUCKET, with_position
 
 SIMILAR = "similar"
 DISSIMILAR = "dissimilar"
-MAX_DATASET_SIZE = 1_000_000
+PARTNERS = 1
 
 
 def label_counts(df: DataFrame, label: str = "label", by: Sequence[str] = (), *more: Column) -> DataFrame:
@@ -32,28 +30,14 @@ def label_counts(df: DataFrame, label: str = "label", by: Sequence[str] = (), *m
 
 
 def pair_plan(
-    df: DataFrame,
-    max_dataset_size: int = MAX_DATASET_SIZE,
-    label: str = "label",
-    by: Sequence[str] = (),
-    *more: Column,
+    df: DataFrame, partners: int = PARTNERS, label: str = "label", by: Sequence[str] = (), *more: Column
 ) -> DataFrame:
-    """Per label: rows, number of labels, cap and planned pairs (as many dissimilar ones follow).
-
-    The window counts one row per label.
-    """
-    whole = Window.partitionBy(*by)
+    """Per label: rows, number of labels, and similar pairs (as many dissimilar ones follow)."""
+    counts = label_counts(df, label, by, *more)
+    labels = counts.groupBy(*by).agg(F.count("*").alias("n_labels"))
+    planned = counts.join(labels, list(by)) if by else counts.withColumn("n_labels", labels.scalar())
     n = F.col("n_examples")
-    return (
-        label_counts(df, label, by, *more)
-        .withColumn("n_labels", F.count("*").over(whole))
-        .withColumn("cap", F.expr(f"{int(max_dataset_size)}L div (2 * n_labels)"))
-        # n * (n - 1) would overflow for such n, whose pairs exceed any cap.
-        .withColumn(
-            "num_pairs",
-            F.when(n > 2**31, F.col("cap")).otherwise(F.least(F.expr("n_examples * (n_examples - 1) div 2"), "cap")),
-        )
-    )
+    return planned.withColumn("num_pairs", n * F.least(F.lit(partners).cast("long"), n - 1))
 
 
 def text_pairs(
@@ -62,66 +46,58 @@ def text_pairs(
     text: str = "text",
     label: str = "label",
     split: str | None = None,
-    max_dataset_size: int = MAX_DATASET_SIZE,
+    partners: int = PARTNERS,
     seed: int = 42,
     kinds: Sequence[str] = (SIMILAR, DISSIMILAR),
     rows_per_bucket: int = ROWS_PER_BUCKET,
     pair_key: str | None = None,
 ) -> DataFrame:
-    """``(split,) sentence1, sentence2, label`` pairs, at most ``max_dataset_size`` per split.
+    """``(split,) sentence1, sentence2, label`` pairs, ``partners`` of each kind for a row.
 
-    ``pair_key`` names a further column, unique per pair of a split, for sampling the pairs and
-    batching them. Rows without a label are left out. A label that needs dissimilar pairs but has no other label
-    to draw from is an error.
+    ``order_by`` is unique in a split and label and not null. ``pair_key`` names a further column,
+    unique per pair of a split, for sampling the pairs and batching them. Rows without a label are
+    left out. A label that needs dissimilar pairs but has no other label to draw from is an error.
     """
+    if partners < 1:
+        raise ValueError("partners must be positive")
     by = [split] if split else []
     rows = df.where(F.col(label).isNotNull())
-    per_split = (
-        label_counts(rows, label, by, row_bytes(rows, [*by, label, order_by]).alias("bytes"))
-        .groupBy(*by)
-        .agg(
-            F.count("*").alias("labels"),
-            F.coalesce(F.sum("n_examples"), F.lit(0)).alias("rows"),
-            F.max("n_examples").alias("largest"),
-            F.max("bytes").alias("bytes"),
-        )
-    )
-    can_pair = (F.col("largest") > 1) & (F.lit(max_dataset_size) >= 2 * F.col("labels"))
-    facts = per_split.agg(
-        F.count(F.when(can_pair, 1)).alias("splits"),
-        F.coalesce(F.sum("labels"), F.lit(0)).alias("labels"),
-        F.coalesce(F.max("labels"), F.lit(0)).alias("most_labels"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.count(F.when(can_pair & (F.col("labels") == 1), 1)).alias("alone"),
+    # A row for each label, read for the facts, the pairs and the draws.
+    plan = cut_lineage(pair_plan(rows, partners, label, by, row_bytes(rows, [*by, label, order_by]).alias("bytes")))
+    facts = plan.agg(
+        F.count("*").alias("labels"),
+        F.coalesce(F.sum("n_examples"), F.lit(0)).alias("rows"),
+        F.count(F.when((F.col("n_labels") == 1) & (F.col("num_pairs") > 0), 1)).alias("alone"),
         F.coalesce(F.max("bytes"), F.lit(0)).alias("bytes"),
     ).first()
     if DISSIMILAR in kinds and facts["alone"]:
         raise ValueError("dissimilar pairs need at least two labels")
-    planned = rows
-    if 2 * facts["most_labels"] > max_dataset_size:
-        # Splits of so many labels have a cap of no pairs. Without them, at most
-        # max_dataset_size / 2 labels of a split are ranked below.
-        paired = per_split.where(can_pair).select(*by)
-        planned = rows.join(paired, by, "left_semi") if by else rows.limit(0)
-    plan = pair_plan(planned, max_dataset_size, label, by).withColumn(
+    # One row for each label of a split.
+    plan = plan.drop("bytes").withColumn(
         "label_rank", (F.row_number().over(Window.partitionBy(*by).orderBy(label)) - 1).cast("long")
     )
-    pair_bound = facts["splits"] * (max_dataset_size // 2)
     plan_bytes = facts["labels"] * (64 + facts["bytes"])
-
-    pairs = _pair_numbers(plan, by)
+    placed = with_position(rows.select(*by, label, order_by), order_by, [*by, label], "i", rows_per_bucket, facts["rows"])
+    reach = F.least(F.lit(partners).cast("long"), F.col("n_examples") - 1)
+    pairs = (
+        placed.drop(order_by)
+        .join(small(plan, plan_bytes), [*by, label])
+        .where("num_pairs > 0")
+        .withColumn("step", F.explode(F.sequence(F.lit(1).cast("long"), reach)))
+        .withColumn("q", F.col("i") * reach + F.col("step") - 1)
+    )
+    slot = F.expr(f"(step - 1) div {USES_PER_SLOT}")
     sides = ["a"]
-    place = {"a": (F.col(label), F.col("i"), F.col("slot"))}
+    place = {"a": (F.col(label), F.col("i"), slot)}
     if SIMILAR in kinds:
         sides.append("b")
-        j = F.col("r") + (F.col("r") >= F.col("i")).cast("long")
-        place["b"] = (F.col(label), j, F.expr(f"i div {USES_PER_SLOT}"))
+        place["b"] = (F.col(label), (F.col("i") + F.col("step")) % F.col("n_examples"), slot)
     if DISSIMILAR in kinds:
         sides.append("c")
         pairs = _draw_other_label(pairs, plan, plan_bytes, by, label, seed)
         pick = draw(seed, "r", F.col(label), F.col("q"))
         place["c"] = (F.col("other_label"), pick % F.col("other_n"), F.col("q") % F.col("other_slots"))
-    placed = pairs.select(
+    wanted = pairs.select(
         *by,
         F.concat_ws("-", "label_rank", "q").alias("_number"),
         *[
@@ -132,8 +108,8 @@ def text_pairs(
     )
     met = gather_pairs(
         rows,
-        placed,
-        pair_bound,
+        wanted,
+        facts["rows"] * partners,
         order_by,
         {"text": F.col(text)},
         sides,
@@ -178,29 +154,3 @@ def _draw_other_label(
         .withColumn("other", F.col("other") + F.when(F.col("other") >= F.col("label_rank"), 1).otherwise(0))
         .join(small(others, plan_bytes), [*by, "other"])
     )
-
-
-def _pair_numbers(plan: DataFrame, by: list[str]) -> DataFrame:
-    """Every pair number q of every label with its anchor i and partner rank r.
-
-    Anchors are expanded first, then chunks of their partners, which are spread over tasks before
-    the last expansion: neither a huge label nor a huge anchor becomes one task or one array.
-    """
-    partners = F.least(F.col("n_examples") - 1, F.col("num_pairs") - F.col("i") * (F.col("n_examples") - 1))
-    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    label = [c for c in plan.columns if c not in (*by, "n_examples", "n_labels", "label_rank", "cap", "num_pairs")]
-    return (
-        plan.where("num_pairs > 0")
-        .withColumn("i", F.expr("explode(sequence(0L, (num_pairs - 1) div (n_examples - 1)))"))
-        .withColumn("partners", partners)
-        .withColumn("slot", F.expr(f"explode(sequence(0L, (partners - 1) div {USES_PER_SLOT}))"))
-        .repartition(tasks, *by, "label_rank", "i", "slot")
-        .withColumn(
-            "r",
-            F.expr(
-                f"explode(sequence(slot * {USES_PER_SLOT}, least(partners, (slot + 1) * {USES_PER_SLOT}) - 1))"
-            ),
-        )
-        .withColumn("q", F.col("i") * (F.col("n_examples") - 1) + F.col("r"))
-        .select(*by, *label, "n_labels", "label_rank", "i", "slot", "r", "q")
-    )

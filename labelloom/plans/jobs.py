@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.entity_pairs import entity_pairs
 from ..operators.label_merge import merge_reindexed
 from ..operators.sampling import SPLIT_70_15_15, assign_splits
-from ..operators.text_pairs import MAX_DATASET_SIZE, text_pairs
+from ..operators.text_pairs import PARTNERS, text_pairs
 from ..operators.training import training_examples
 from ..sources.tables import SPLIT, read_dataset, read_split, write_dataset, write_versioned
 from ..sources.text_files import LINES_PER_FILE, write_text_files
@@ -20,12 +20,12 @@ def build_text_pairs(
     path: str,
     save_path: str,
     order_by: str,
-    max_dataset_size: int = MAX_DATASET_SIZE,
+    partners: int = PARTNERS,
     seed: int = 42,
 ) -> None:
     """Saved ``text, label`` dataset -> saved sentence pairs, split by split."""
     rows = read_dataset(spark, path)
-    write_dataset(text_pairs(rows, order_by, split=SPLIT, max_dataset_size=max_dataset_size, seed=seed), save_path)
+    write_dataset(text_pairs(rows, order_by, split=SPLIT, partners=partners, seed=seed), save_path)
 
 
 def build_entity_pairs(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import ENTITY_NAMES, IOB_NAMES, PAGE, ROLE_NAMES, TEXT_PAIR_LIMIT
+from .queries import ENTITY_NAMES, IOB_NAMES, PAGE, PARTNERS, ROLE_NAMES
 
 
 def _list(values) -> str:
@@ -33,15 +33,17 @@ def _split(source: str, key: str, held: str = "0.3", test: str = "0.5") -> str:
     from (select *, row_number() over (order by md5('42|s|'||{key}), {key})-1 as r, count(*) over () as n from ({source}))"""
 
 
-def _pair_base(source: str, limit: int) -> str:
-    """Pairs of a (split, label, key, text) relation: similar by enumeration, dissimilar by draws."""
+def _pair_base(source: str, partners: int) -> str:
+    """Pairs of a (split, label, key, text) relation: similar with the next rows, dissimilar by draws."""
     return f"""
     t as (select split, label, text, row_number() over (partition by split, label order by key)-1 as idx from ({source}) where label is not null),
     s as (select split, label, n, row_number() over (partition by split order by label)-1 as lr, count(*) over (partition by split) as nl
           from (select split, label, count(*) as n from t group by all)),
-    p as (select *, unnest(range(least(n*(n-1)//2, {limit}//(2*nl)))) as q from s),
-    x as (select *, q//(n-1) as i, q%(n-1) + case when q%(n-1) >= q//(n-1) then 1 else 0 end as j,
-          {_draw("'42|d|'||label||'|'||q")} % greatest(nl-1, 1) as o0, {_draw("'42|r|'||label||'|'||q")} as pick from p),
+    p as (select t.split, t.label, n, lr, nl, idx as i, unnest(range(1, least({partners}, n-1)+1)) as step
+          from t join s on t.split=s.split and t.label=s.label),
+    z as (select *, i*least({partners}, n-1)+step-1 as q from p),
+    x as (select *, (i+step)%n as j,
+          {_draw("'42|d|'||label||'|'||q")} % greatest(nl-1, 1) as o0, {_draw("'42|r|'||label||'|'||q")} as pick from z),
     y as (select *, o0 + case when o0 >= lr then 1 else 0 end as o from x),
     similar_pairs as (select y.split, a.text as sentence1, b.text as sentence2, 'similar' as label from y
           join t a on a.split=y.split and a.label=y.label and a.idx=y.i
@@ -59,12 +61,18 @@ def _pair_base(source: str, limit: int) -> str:
           join t b on b.split=so.split and b.label=so.label and b.idx=y.pick%so.n)"""
 
 
-_DOC_PAIRS = _pair_base("select 'all' as split, lang as label, doc_id as key, text from documents", TEXT_PAIR_LIMIT)
+_DOC_PAIRS = _pair_base("select 'all' as split, lang as label, doc_id as key, text from documents", PARTNERS)
 _TURN_PAIRS = _pair_base(
-    _split("select conv_id*1000+turn as key, text, role as label from conversations", "key"), 1_000_000
+    _split("select conv_id*1000+turn as key, text, role as label from conversations", "key"), PARTNERS
 )
 
 
+#: Embedding values with the rank of their axis by its sum of squares.
+_RANKED_AXES = """e as (select vec_id, unnest(range(len(embedding))) as d, unnest(cast(embedding as double[])) as x from embeddings),
+        axes as (select d, cast(row_number() over (order by sum(x*x) desc) - 1 as int) as component from e group by d),
+        ranked as (select vec_id, component, x from e join axes using (d))"""
+
+
 def _stripped(tag: str) -> str:
     return f"replace(replace({_list(IOB_NAMES)}[{tag}+1],'B-',''),'I-','')"
 
@@ -206,9 +214,10 @@ ORACLES: dict[str, str] = {
     "declared_schema": f"select doc_id as document_id, label, text from ({_CLASS_IDS})",
     "updated_tags": f"""select 'strings' as given, document_id, {_text("list_transform(ner_tags, lambda k: 8-k)")} as tags from ({PLAIN})
         union all select 'ids', document_id, {_text("ner_tags")} from ({PLAIN})""",
-    "pair_plan": """with s as (select lang as label, count(*) as n from documents where lang is not null group by 1)
-        select label, n as n_examples, nl as n_labels, 1000000//(2*nl) as cap, least(n*(n-1)//2, 1000000//(2*nl)) as num_pairs
-        from s, (select count(*) as nl from s)""",
+    "pair_plan": f"""with t as ({_split("select conv_id*1000+turn as key, role as label from conversations", "key")}),
+        s as (select split, label, count(*) as n from t where label is not null group by all)
+        select split, label, n as n_examples, count(*) over (partition by split) as n_labels, n*least({PARTNERS}, n-1) as num_pairs,
+          n*least({PARTNERS}, n-1) as generated, case when n > 1 then n else 0 end as firsts from s""",
     "similar_pairs": f"with {_DOC_PAIRS} select sentence1, sentence2, label from similar_pairs",
     "dissimilar_pairs": f"with {_DOC_PAIRS} select sentence1, sentence2, label from dissimilar_pairs",
     "text_pairs_by_split": f"with {_TURN_PAIRS} select * from similar_pairs union all select * from dissimilar_pairs",
@@ -318,8 +327,16 @@ ORACLES: dict[str, str] = {
         rank() over (order by cosine) + (count(*) over (partition by cosine)-1)/2.0 as ra,
         rank() over (order by gold) + (count(*) over (partition by gold)-1)/2.0 as rb from ({_COSINES}))""",
     "cosine_loss": f"select round(avg(power(cosine-gold, 2)), 6) as loss from ({_COSINES})",
-    "pca_fit": """select count(*) as n_components, round(sum(v), 4) as total_variance from
-        (select d, var_samp(x) as v from (select unnest(range(len(embedding))) as d, unnest(cast(embedding as double[])) as x from embeddings) group by d)""",
+    "pca_fit": """with e as (select vec_id, unnest(range(len(embedding))) as d, unnest(cast(embedding as double[])) as x from embeddings),
+        c as (select a.d as i, b.d as j, covar_samp(a.x, b.x) as v from e a join e b using (vec_id) group by a.d, b.d)
+        select count(*) filter (i=j) as n_components, round(sum(v) filter (i=j), 4) as total_variance,
+          round(sum(v*v), 5) as squared_variances from c""",
+    "pca_projection": f"""with {_RANKED_AXES} select vec_id, component, round(abs(x), 5) as length from ranked where component < 16""",
+    "dimension_sweep": f"""with {_RANKED_AXES},
+        cut as (select vec_id, k, list(x order by component) as v from ranked, (select unnest([48, 32, 16]) as k) where component < k group by vec_id, k)
+        select k, round(corr(list_cosine_similarity(a.v, b.v), (la.label=lb.label)::int), 5) as score
+        from cut a join cut b using (k) join embeddings la on la.vec_id=a.vec_id join embeddings lb on lb.vec_id=b.vec_id
+        where b.vec_id=a.vec_id+1 group by k""",
     "pca_projection_norms": """select vec_id, round(sqrt(list_dot_product(cast(embedding as double[]), cast(embedding as double[]))), 4) as norm from embeddings""",
     "dimension_sweep_full": f"""select (select max(len(embedding)) from embeddings) as k, round(corr(cosine, gold), 4) as score from ({_COSINES})""",
     "encoded_sentences": """select doc_id, length(text)-length(replace(text,'a','')) as e0, length(text)-length(replace(text,'e','')) as e1,

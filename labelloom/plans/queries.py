@@ -26,7 +26,7 @@ from ..operators import sampling as S
 from ..operators import schemas as C
 from ..operators import text_pairs as TP
 from ..operators import training as TR
-from ..operators.lineage import scratch_path
+from ..operators.lineage import cut_lineage, scratch_path
 from ..sources import tables, text_files, tsv
 from . import jobs
 
@@ -41,7 +41,7 @@ ROLE_NAMES = {
     "assistant": ["O", "person", "place", "art", "event", "animal", "location", "product", "food"],
     "system": ["O", "art", "food", "law", "person", "building", "animal", "event", "other"],
 }
-TEXT_PAIR_LIMIT = 20_000
+PARTNERS = 2
 PAGE = 1_000_000
 DIMS = (48, 32, 16)
 
@@ -54,6 +54,13 @@ def text_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"))
 
 
+def turn_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations with their role as label."""
+    return table(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("document_id"), "text", F.col("role").alias("label")
+    )
+
+
 def class_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents with the class id of their language."""
     names = ["de", "en", "es", "fr"]
@@ -288,23 +295,30 @@ def updated_tags(spark, sf_dir):
 
 
 def pair_plan(spark, sf_dir):
-    return TP.pair_plan(text_class(spark, sf_dir)).select("label", "n_examples", "n_labels", "cap", "num_pairs")
+    """Planned and generated similar pairs of every label and split."""
+    turns = S.assign_splits(turn_class(spark, sf_dir), "document_id")
+    plan = TP.pair_plan(turns, PARTNERS, by=["split"])
+    labelled = turns.select("document_id", "label", "split", F.concat_ws("|", "label", "document_id").alias("text"))
+    made = TP.text_pairs(labelled, "document_id", split="split", partners=PARTNERS, kinds=[TP.SIMILAR])
+    first = F.split("sentence1", "\\|")[0]
+    counted = made.groupBy("split", first.alias("label")).agg(F.count("*").alias("generated"), F.countDistinct("sentence1").alias("firsts"))
+    return plan.join(counted, ["split", "label"], "left").select(
+        "split", "label", "n_examples", "n_labels", "num_pairs", F.coalesce("generated", F.lit(0)).alias("generated"), F.coalesce("firsts", F.lit(0)).alias("firsts")
+    )
 
 
 def similar_pairs(spark, sf_dir):
-    return TP.text_pairs(text_class(spark, sf_dir), "doc_id", max_dataset_size=TEXT_PAIR_LIMIT, kinds=[TP.SIMILAR])
+    return TP.text_pairs(text_class(spark, sf_dir), "doc_id", partners=PARTNERS, kinds=[TP.SIMILAR])
 
 
 def dissimilar_pairs(spark, sf_dir):
-    return TP.text_pairs(text_class(spark, sf_dir), "doc_id", max_dataset_size=TEXT_PAIR_LIMIT, kinds=[TP.DISSIMILAR])
+    return TP.text_pairs(text_class(spark, sf_dir), "doc_id", partners=PARTNERS, kinds=[TP.DISSIMILAR])
 
 
 def text_pairs_by_split(spark, sf_dir):
-    """The text of every turn paired within and across roles, per split, at the default size."""
-    turns = table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("document_id"), "text", F.col("role").alias("label")
-    )
-    return TP.text_pairs(S.assign_splits(turns, "document_id"), "document_id", split="split")
+    """The text of every turn paired within and across roles, per split."""
+    turns = S.assign_splits(turn_class(spark, sf_dir), "document_id")
+    return TP.text_pairs(turns, "document_id", split="split", partners=PARTNERS)
 
 
 def similar_entity_pairs(spark, sf_dir):
@@ -417,12 +431,13 @@ def shuffled_sample(spark, sf_dir):
 
 def sampled_sentences(spark, sf_dir):
     """Distinct sentences of a pair table, then a random sample of them."""
-    return S.sample_up_to(TR.distinct_sentences(next_turns(spark, sf_dir)), "sentence", 300)
+    # Sampling reads its input more than once.
+    return S.sample_up_to(cut_lineage(TR.distinct_sentences(next_turns(spark, sf_dir))), "sentence", 300)
 
 
 def sampled_training_examples(spark, sf_dir):
     """Saved text pairs, read back as training examples, of which 20 are drawn for evaluation."""
-    pairs = TP.text_pairs(text_class(spark, sf_dir), "doc_id", max_dataset_size=TEXT_PAIR_LIMIT, pair_key="pair")
+    pairs = TP.text_pairs(text_class(spark, sf_dir), "doc_id", partners=PARTNERS, pair_key="pair")
     path = scratch_path(spark, "pairs")
     tables.write_dataset(pairs.withColumn(tables.SPLIT, F.lit("train")), path)
     drawn = S.sample_exactly(jobs.read_training_examples(spark, path, "train"), "pair", 20)
@@ -603,23 +618,42 @@ def cosine_loss(spark, sf_dir):
 def _full_rank(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     dim = vectors.select(F.max(F.size("embedding"))).first()[0]
-    return dim, E.fit_reducer(vectors, dim, "vec_id")
+    return dim, E.fit_reducer(vectors, dim)
+
+
+def _axis_model(spark, sf_dir, k):
+    """Components of vectors whose axes are known.
+
+    Every embedding v gives v_c and -v_c on axis c, for each c. The mean is zero and the covariance diagonal,
+    so the components are the axes, ranked by their sum of squares.
+    """
+    parts = table(spark, sf_dir, "embeddings").select(F.size("embedding").alias("n"), F.posexplode("embedding").alias("c", "x"))
+    signed = parts.select("n", "c", F.explode(F.array(F.col("x"), -F.col("x"))).alias("x"))
+    on_axis = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.when(i == F.col("c"), F.col("x").cast("double")).otherwise(0.0))
+    return E.fit_reducer(signed.select(on_axis.alias("embedding")), k)
 
 
 def pca_fit(spark, sf_dir):
-    """Total variance of all components: equal to that of the embeddings."""
+    """Variances of all components: their sum, and their sum of squares, which is that of all covariances."""
     dim, model = _full_rank(spark, sf_dir)
     reduced = E.reduce_embeddings(table(spark, sf_dir, "embeddings"), model)
     variance = reduced.select("vec_id", F.posexplode("reduced").alias("component", "x")).groupBy("component").agg(
         F.var_samp("x").alias("v")
     )
-    return variance.agg(F.count("*").alias("n_components"), F.round(F.sum("v"), 4).alias("total_variance"))
+    return variance.agg(
+        F.count("*").alias("n_components"),
+        F.round(F.sum("v"), 4).alias("total_variance"),
+        F.round(F.sum(F.col("v") * F.col("v")), 5).alias("squared_variances"),
+    )
 
 
 def pca_projection(spark, sf_dir):
-    model = E.fit_reducer(table(spark, sf_dir, "embeddings"), max(DIMS), "vec_id")
+    """Projection on the leading axes, as lengths: components have no sign."""
+    model = _axis_model(spark, sf_dir, max(DIMS))
     reduced = E.reduce_embeddings(table(spark, sf_dir, "embeddings"), model, k=min(DIMS))
-    return reduced.select("vec_id", F.posexplode("reduced").alias("component", "value"))
+    return reduced.select("vec_id", F.posexplode("reduced").alias("component", "value")).select(
+        "vec_id", "component", F.round(F.abs("value"), 5).alias("length")
+    )
 
 
 def pca_projection_norms(spark, sf_dir):
@@ -631,8 +665,8 @@ def pca_projection_norms(spark, sf_dir):
 
 
 def dimension_sweep(spark, sf_dir):
-    model = E.fit_reducer(table(spark, sf_dir, "embeddings"), max(DIMS), "vec_id")
-    return E.sweep_dimensions(embedding_pairs(spark, sf_dir), model, DIMS)
+    model = _axis_model(spark, sf_dir, max(DIMS))
+    return E.sweep_dimensions(embedding_pairs(spark, sf_dir), model, DIMS).select("k", F.round("score", 5).alias("score"))
 
 
 def dimension_sweep_full(spark, sf_dir):

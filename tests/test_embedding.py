@@ -21,7 +21,7 @@ def vectors(spark, matrix):
 
 
 def test_components_match_centred_svd(vectors, matrix):
-    model = E.fit_reducer(vectors, 4, "id")
+    model = E.fit_reducer(vectors, 4)
     got = model.pc.toArray()
     _, _, vt = np.linalg.svd(matrix - matrix.mean(axis=0), full_matrices=False)
     assert np.allclose(np.abs(got), np.abs(vt[:4].T), atol=1e-6)
@@ -29,19 +29,19 @@ def test_components_match_centred_svd(vectors, matrix):
 
 
 def test_projection_is_uncentred_and_sliced(vectors, matrix):
-    model = E.fit_reducer(vectors, 5, "id")
+    model = E.fit_reducer(vectors, 5)
     rows = E.reduce_embeddings(vectors, model, k=2).orderBy("id").collect()
     assert np.allclose(np.array([r.reduced for r in rows]), matrix @ model.pc.toArray()[:, :2])
-    small = E.fit_reducer(vectors, 2, "id")
+    small = E.fit_reducer(vectors, 2)
     assert np.allclose(np.abs(small.pc.toArray()), np.abs(model.pc.toArray()[:, :2]), atol=1e-8)
 
 
-def test_fit_uses_an_exact_sample_and_rejects_too_many_dimensions(spark, vectors):
-    assert E.fit_reducer(vectors, 2, "id", rows=30).pc.toArray().shape == (6, 2)
+def test_fit_rejects_too_many_dimensions(spark, vectors):
+    assert E.fit_reducer(vectors, 2).pc.toArray().shape == (6, 2)
     with pytest.raises(ValueError, match="cannot reduce"):
-        E.fit_reducer(vectors, 7, "id")
+        E.fit_reducer(vectors, 7)
     with pytest.raises(ValueError, match="cannot reduce"):
-        E.fit_reducer(vectors.limit(0), 2, "id")
+        E.fit_reducer(vectors.limit(0), 2)
 
 
 def pairs_of(vectors):
@@ -51,7 +51,7 @@ def pairs_of(vectors):
 
 
 def test_sweep(vectors, matrix):
-    model = E.fit_reducer(vectors, 6, "id")
+    model = E.fit_reducer(vectors, 6)
     got = {r.k: r.score for r in E.sweep_dimensions(pairs_of(vectors), model, [6, 3, 1]).collect()}
     for k, score in got.items():
         p = matrix @ model.pc.toArray()[:, :k]

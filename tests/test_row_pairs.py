@@ -56,10 +56,9 @@ def rows(spark):
     )
 
 
-@pytest.fixture(params=["measured", "wanted"], ids=["broadcast-rows", "shuffled-rows"])
+@pytest.fixture(params=["broadcast", "shuffled"])
 def path(request, monkeypatch):
-    if request.param == "wanted":
-        monkeypatch.setattr(gather, "MEASURED_ROWS", -1)
+    if request.param == "shuffled":
         monkeypatch.setattr(gather, "BROADCAST_BYTES", -1)
         monkeypatch.setattr(R, "USES_PER_SLOT", 2)
 
