@@ -76,3 +76,10 @@ def test_every_kth(spark):
     assert {r.id for r in got if r.flagged} == {i for i in range(20) if (i // 2) % 3 == 0}
     with pytest.raises(ValueError):
         S.flag_every_kth(df, "id", 0)
+
+
+@pytest.mark.parametrize("keys", [[7] * 20_000, list(range(15)) * 10, [1, 2, None]])
+def test_repeated_and_null_keys_are_errors(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "key long")
+    with pytest.raises(ValueError, match="unique|null"):
+        S.sample_exactly(df, "key", min(15, len(keys) - 1))
