@@ -1,9 +1,12 @@
 """Pairs of whole rows of a token-tag dataset, and pairs of pairs.
 
-All pairs of n rows are n * (n - 1) / 2 results, which no cluster can write for a large table. The
-pairs have a fixed order, (0,1), (0,2), ..., (1,2), ..., so these operators take a page of it:
-``first`` pair number and ``count``. Pages are exact and disjoint, together they are the whole, and
-the work of a page follows its own size: pair numbers are turned into positions in closed form,
+All pairs of n rows are n * (n - 1) / 2 results, which no cluster can write for a large table. With
+``partners`` = k the row at position i of the key order meets the rows at i + 1, ..., i + k, as far
+as there are any: every row takes part, the output grows with the rows, and k = n - 1 is the whole.
+
+Without ``partners`` the operators take a page of all pairs in the order (0,1), (0,2), ..., (1,2),
+...: ``first`` pair number and ``count``. Pages are exact and disjoint, together they are the whole,
+and the work of a page follows its own size: pair numbers are turned into positions in closed form,
 with no cross join.
 """
 
@@ -98,13 +101,57 @@ def pair_page(
     return met.select("i", "j", "a", "b")
 
 
-def _tagged_rows(df, order_by, first, count, names, tokens, tags, rows_per_bucket) -> DataFrame:
+def next_pairs(
+    df: DataFrame,
+    order_by: str | Sequence[str],
+    partners: int,
+    payload: dict[str, Column],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """Every row with its next ``partners`` rows, as ``i, j, a, b`` with a struct per row."""
+    if partners < 1:
+        raise ValueError("partners must be positive")
+    spark = df.sparkSession
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    total, key_bytes = df.agg(F.count("*"), row_bytes(df, keys)).first()
+    reach = F.least(F.lit(partners).cast("long"), total - 1 - F.col("i"))
+    pairs = (
+        spark.range(max(0, total - 1))
+        .withColumnRenamed("id", "i")
+        .withColumn("step", F.explode(F.sequence(F.lit(1).cast("long"), reach)))
+    )
+    slot = F.expr(f"(step - 1) div {USES_PER_SLOT}")
+    placed = pairs.select(
+        "i",
+        (F.col("i") + F.col("step")).alias("j"),
+        F.col("i").alias("a_idx"),
+        slot.alias("a_slot"),
+        (F.col("i") + F.col("step")).alias("b_idx"),
+        slot.alias("b_slot"),
+    )
+    met = gather_pairs(
+        df, placed, total * min(partners, total), order_by, payload, ["a", "b"], (), rows_per_bucket, total, key_bytes
+    )
+    return met.select("i", "j", "a", "b")
+
+
+def _met(df, order_by, first, count, partners, payload, rows_per_bucket) -> DataFrame:
+    if partners is not None:
+        if first is not None or count is not None:
+            raise ValueError("give either partners or first and count")
+        return next_pairs(df, order_by, partners, payload, rows_per_bucket)
+    if first is None or count is None:
+        raise ValueError("give either partners or first and count")
+    return pair_page(df, order_by, first, count, payload, rows_per_bucket)
+
+
+def _tagged_rows(df, order_by, first, count, partners, names, tokens, tags, rows_per_bucket) -> DataFrame:
     payload = {
         "tags": F.col(tags),
         "sentence": sentence(F.col(tokens)),
         "entities": entity_sentences(F.col(tags), names),
     }
-    return pair_page(df, order_by, first, count, payload, rows_per_bucket)
+    return _met(df, order_by, first, count, partners, payload, rows_per_bucket)
 
 
 def _positional_label(names: Sequence[str]) -> Column:
@@ -116,16 +163,17 @@ def _positional_label(names: Sequence[str]) -> Column:
 def row_pairs(
     df: DataFrame,
     order_by: str,
-    first: int,
-    count: int,
+    first: int | None = None,
+    count: int | None = None,
     names: Sequence[str] | None = None,
     tokens: str = "tokens",
     tags: str = "ner_tags",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    partners: int | None = None,
 ) -> DataFrame:
-    """A page of row pairs, similar if some position holds the same tag other than ``O``."""
+    """Row pairs, similar if some position holds the same tag other than ``O``."""
     names = list(names) if names is not None else label_names(df, tags)
-    met = _tagged_rows(df, order_by, first, count, names, tokens, tags, rows_per_bucket)
+    met = _tagged_rows(df, order_by, first, count, partners, names, tokens, tags, rows_per_bucket)
     return met.select(
         F.col("a.sentence").alias("sentence1"),
         F.col("b.sentence").alias("sentence2"),
@@ -136,20 +184,21 @@ def row_pairs(
 def row_pairs_with_entities(
     df: DataFrame,
     order_by: str,
-    first: int,
-    count: int,
+    first: int | None = None,
+    count: int | None = None,
     names: Sequence[str] | None = None,
     tokens: str = "tokens",
     tags: str = "ner_tags",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    partners: int | None = None,
 ) -> DataFrame:
-    """A page of row pairs, each followed by the entity pairs of both rows.
+    """Row pairs, each followed by the entity pairs of both rows.
 
     ``i, j, block, nth`` give the sequence: block 0 is the row pair, 1 and 2 the entities of the
     first and second row in name order.
     """
     names = list(names) if names is not None else label_names(df, tags)
-    met = _tagged_rows(df, order_by, first, count, names, tokens, tags, rows_per_bucket)
+    met = _tagged_rows(df, order_by, first, count, partners, names, tokens, tags, rows_per_bucket)
 
     def entities(side: str, block: int) -> Column:
         return F.transform(
@@ -200,17 +249,17 @@ def entity_pair_copies(
 def dissimilar_from_pairs(
     pairs: DataFrame,
     order_by: str | Sequence[str],
-    first: int,
-    count: int,
+    first: int | None = None,
+    count: int | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    partners: int | None = None,
 ) -> DataFrame:
-    """A page of pairs of pairs p, q (p before q): first sentence of p, second sentence of q.
+    """Pairs of pairs p, q (p before q): first sentence of p, second sentence of q.
 
-    Pair numbers count all (p, q); those whose two pairs are both similar give nothing.
+    Partners and pair numbers count all (p, q); those whose two pairs are both similar give nothing.
     """
-    met = pair_page(
-        pairs, order_by, first, count, {c: F.col(c) for c in ("sentence1", "sentence2", "label")}, rows_per_bucket
-    )
+    payload = {c: F.col(c) for c in ("sentence1", "sentence2", "label")}
+    met = _met(pairs, order_by, first, count, partners, payload, rows_per_bucket)
     both_similar = F.coalesce((F.col("a.label") == SIMILAR) & (F.col("b.label") == SIMILAR), F.lit(False))
     return met.where(~both_similar).select(
         F.col("a.sentence1").alias("sentence1"),
@@ -222,23 +271,24 @@ def dissimilar_from_pairs(
 def all_row_pairs(
     df: DataFrame,
     order_by: str,
-    row_page: tuple[int, int],
-    pair_page: tuple[int, int],
+    row_page: tuple[int | None, int | None] = (None, None),
+    pair_page: tuple[int | None, int | None] = (None, None),
     names: Sequence[str] | None = None,
     tokens: str = "tokens",
     tags: str = "ner_tags",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    partners: int | None = None,
 ) -> DataFrame:
     """Row pairs, their entity pairs, and the dissimilar pairs made from that sequence.
 
-    ``row_page`` and ``pair_page`` are ``(first, count)`` of the two levels. The sequence is
-    written once: it is counted, ordered and read twice.
+    ``partners`` holds for both levels; else ``row_page`` and ``pair_page`` are ``(first, count)`` of
+    the two. The sequence is written once: it is counted, ordered and read twice.
     """
     made = cut_lineage(
-        row_pairs_with_entities(df, order_by, *row_page, names, tokens, tags, rows_per_bucket)
+        row_pairs_with_entities(df, order_by, *row_page, names, tokens, tags, rows_per_bucket, partners)
     )
     columns = ["sentence1", "sentence2", "label"]
-    more = dissimilar_from_pairs(made, ["i", "j", "block", "nth"], *pair_page, rows_per_bucket)
+    more = dissimilar_from_pairs(made, ["i", "j", "block", "nth"], *pair_page, rows_per_bucket, partners)
     return made.select(*columns).unionByName(more)
 
 

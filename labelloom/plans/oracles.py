@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import ENTITY_NAMES, IOB_NAMES, PAGE, PARTNERS, ROLE_NAMES
+from .queries import ENTITY_NAMES, IOB_NAMES, PARTNERS, ROLE_NAMES
 
 
 def _list(values) -> str:
@@ -169,7 +169,7 @@ _ROW_PAIR_SEQUENCE = f"""
     g as (select *, row_number() over (order by document_id)-1 as idx from ({_entities(BENCH)})),
     rp as (select a.idx as i, b.idx as j, a.sentence as s1, b.sentence as s2, a.ents as e1, b.ents as e2,
         len(list_filter(list_zip(a.ner_tags, b.ner_tags, true), lambda z: z[1]=z[2] and z[1]<>0))>0 as same
-        from g a join g b on a.idx<b.idx),
+        from (select *, idx + unnest(range(1, {PARTNERS}+1)) as other from g) a join g b on b.idx=a.other),
     seq as (select i, j, 0 as block, s1 as sentence1, s2 as sentence2,
             case when same then 'similar' else 'not_similar' end as label from rp
         union all select i, j, 1, s1, unnest(e1), 'similar' from rp
@@ -230,27 +230,27 @@ ORACLES: dict[str, str] = {
         v as (select distinct split, unnest(ents) as e from g)
         select split, said as sentence1, unnest(ents) as sentence2, 'similar' as label from a
         union all select g.split, sentence, e, 'not_similar' from g join v on v.split=g.split where not list_contains(ents, e)""",
-    "row_pairs": f"""with g as (select *, row_number() over (order by document_id)-1 as idx, count(*) over () as n from ({PLAIN}))
+    "row_pairs": f"""with g as (select *, row_number() over (order by document_id)-1 as idx from ({PLAIN})),
+        f as (select *, idx + unnest(range(1, {PARTNERS}+1)) as other from g)
         select array_to_string(a.tokens,' ') as sentence1, array_to_string(b.tokens,' ') as sentence2,
           case when len(list_filter(list_zip(a.ner_tags, b.ner_tags, true), lambda z: z[1]=z[2] and z[1]<>0))>0
             then 'similar' else 'not_similar' end as label
-        from g a join g b on a.idx<b.idx where a.idx*(a.n-1)-a.idx*(a.idx-1)//2+(b.idx-a.idx-1) < {PAGE}""",
+        from f a join g b on b.idx=a.other""",
     "row_pair_entities": f"""with g as (select document_id, array_to_string(tokens,' ') as s, list_filter(list_distinct(ner_tags), lambda k: k<>0) as ids from ({IOB})),
         e as (select a.document_id, a.s, unnest(a.ids) as k from g a join g b on a.document_id<>b.document_id)
         select document_id, s as sentence1, {_stripped("k")} as sentence2, 'similar' as label, count(*) as n_copies
         from e group by document_id, s, k""",
     "row_pairs_with_entities": f"with {_ROW_PAIR_SEQUENCE} select i, j, block, sentence1, sentence2, label from seq",
-    "dissimilar_from_pairs": f"""with p as (select *, row_number() over (order by pair_id)-1 as k, count(*) over () as n from ({_NEXT}))
-        select a.sentence1, b.sentence2, 'not_similar' as label from p a join p b on a.k<b.k
-        where not (a.label='similar' and b.label='similar') and a.k*(a.n-1)-a.k*(a.k-1)//2+(b.k-a.k-1) < {PAGE}""",
+    "dissimilar_from_pairs": f"""with p as (select *, row_number() over (order by pair_id)-1 as k from ({_NEXT})),
+        f as (select *, k + unnest(range(1, {PARTNERS}+1)) as other from p)
+        select a.sentence1, b.sentence2, 'not_similar' as label from f a join p b on b.k=a.other
+        where not (a.label='similar' and b.label='similar')""",
     "all_row_pairs": f"""with {_ROW_PAIR_SEQUENCE},
-        o as (select *, row_number() over (order by i, j, block, sentence2)-1 as k, count(*) over () as n from seq),
-        first as (select *, k*(n-1)-k*(k-1)//2 as start from o),
-        cand as (select f.*, unnest(range(greatest(f.k+1, {PAGE}-f.start+f.k+1), least(f.n, {PAGE + PAGE // 5}-f.start+f.k+1))) as k2
-            from first f where f.start < {PAGE + PAGE // 5} and f.start+f.n-1-f.k > {PAGE})
+        o as (select *, row_number() over (order by i, j, block, sentence2)-1 as k from seq),
+        f as (select *, k + unnest(range(1, {PARTNERS}+1)) as other from o)
         select sentence1, sentence2, label from seq
-        union all select c.sentence1, q.sentence2, 'not_similar' from cand c join o q on q.k=c.k2
-        where not (c.label='similar' and q.label='similar')""",
+        union all select a.sentence1, b.sentence2, 'not_similar' from f a join o b on b.k=a.other
+        where not (a.label='similar' and b.label='similar')""",
     "random_dissimilar_pairs": f"""with g as (select *, row_number() over (order by document_id)-1 as idx from ({PLAIN})),
         n as (select count(*) as n from g),
         d as (select c, {_draw("'42|a|'||c")}%n as i, {_draw("'42|b|'||c")}%(n-1) as j0 from n, (select unnest(range(64000)) as c)),

@@ -42,7 +42,6 @@ ROLE_NAMES = {
     "system": ["O", "art", "food", "law", "person", "building", "animal", "event", "other"],
 }
 PARTNERS = 2
-PAGE = 1_000_000
 DIMS = (48, 32, 16)
 
 
@@ -335,7 +334,7 @@ def entity_pairs_by_split(spark, sf_dir):
 
 
 def row_pairs(spark, sf_dir):
-    return R.row_pairs(token_tags(spark, sf_dir), "document_id", 0, PAGE)
+    return R.row_pairs(token_tags(spark, sf_dir), "document_id", partners=PARTNERS)
 
 
 def row_pair_entities(spark, sf_dir):
@@ -343,18 +342,18 @@ def row_pair_entities(spark, sf_dir):
 
 
 def row_pairs_with_entities(spark, sf_dir):
-    return R.row_pairs_with_entities(benchmark_tags(spark, sf_dir), "document_id", 0, PAGE).select(
+    return R.row_pairs_with_entities(benchmark_tags(spark, sf_dir), "document_id", partners=PARTNERS).select(
         "i", "j", "block", "sentence1", "sentence2", "label"
     )
 
 
 def dissimilar_from_pairs(spark, sf_dir):
     pairs = next_turns(spark, sf_dir)
-    return R.dissimilar_from_pairs(pairs, "pair_id", 0, PAGE)
+    return R.dissimilar_from_pairs(pairs, "pair_id", partners=PARTNERS)
 
 
 def all_row_pairs(spark, sf_dir):
-    return R.all_row_pairs(benchmark_tags(spark, sf_dir), "document_id", (0, PAGE), (PAGE, PAGE // 5))
+    return R.all_row_pairs(benchmark_tags(spark, sf_dir), "document_id", partners=PARTNERS)
 
 
 def random_dissimilar_pairs(spark, sf_dir):

@@ -135,6 +135,50 @@ def test_all_row_pairs(rows):
     assert sum(got.values()) - p == p * (p - 1) // 2 - s * (s - 1) // 2
 
 
+def near(n, k):
+    return [(i, j) for i, j in itertools.combinations(range(n), 2) if j - i <= k]
+
+
+@pytest.mark.parametrize("k", [1, 2, 5, 50])
+def test_next_rows(rows, path, k):
+    made, ordered = [], sorted(ROWS)
+    for i, j in near(len(ROWS), k):
+        made += brute_rows([ordered[i], ordered[j]])
+    got = R.row_pairs_with_entities(rows, "document_id", partners=k, rows_per_bucket=2)
+    assert bag(got) == Counter(made)
+    pairs = {(r.i, r.j) for r in got.collect()}
+    # Every row takes part, and enough partners make the whole.
+    assert pairs == set(near(len(ROWS), k)) and {x for p in pairs for x in p} == set(range(len(ROWS)))
+    sentences = {" ".join(t) for _, t, _ in ROWS}
+    want = Counter(m for m in made if m[1] in sentences)
+    for df in (rows.repartition(1), rows.repartition(7)):
+        assert bag(R.row_pairs(df, "document_id", partners=k)) == want
+    if k >= len(ROWS) - 1:
+        assert want == bag(R.row_pairs(rows, "document_id", 0, 100))
+
+
+def test_next_pairs_of_pairs(spark, rows, path):
+    pairs = [(k, f"s{k}", f"t{k}", "similar" if k % 3 else "not_similar") for k in range(9)]
+    df = spark.createDataFrame(pairs, "k int, sentence1 string, sentence2 string, label string")
+    want = Counter(m for i, j in near(9, 2) for m in brute_pairs([pairs[i][1:], pairs[j][1:]]))
+    assert bag(R.dissimilar_from_pairs(df, "k", partners=2)) == want
+    ordered = sorted(ROWS)
+    made = [m for i, j in near(len(ROWS), 2) for m in brute_rows([ordered[i], ordered[j]])]
+    more = Counter(m for i, j in near(len(made), 2) for m in brute_pairs([made[i], made[j]]))
+    assert bag(R.all_row_pairs(rows, "document_id", partners=2)) == Counter(made) + more
+
+
+def test_next_rows_of_few_or_bad_rows(spark, rows):
+    for few in (rows.limit(0), rows.where("document_id = 3")):
+        assert R.row_pairs(few, "document_id", partners=2, names=NAMES).count() == 0
+    with pytest.raises(ValueError):
+        R.row_pairs(rows, "document_id", partners=0)
+    with pytest.raises(ValueError):
+        R.row_pairs(rows, "document_id")
+    with pytest.raises(ValueError):
+        R.row_pairs(rows, "document_id", 0, 5, partners=2)
+
+
 def test_random_dissimilar_pairs(rows, path):
     def at(key, n):
         return int(hashlib.md5(f"42|{key}".encode()).hexdigest()[:15], 16) % n
