@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .bitmaps import bitmap, holds
 from .components import components
-from .shared import cut, small
+from .shared import cut, first_copies, numbered, small
 from .shingles import Hasher, U, text_sets
 
 #: Similarity from which two documents link, as a fraction.
@@ -443,11 +443,18 @@ def component_ids(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 
 def first_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those that have an earlier document in their group."""
+    """One row of each group: the first document, once if several rows are equal in id and text."""
     found = similar_documents(docs, key, text)
     later = ~F.col("first_doc.id").eqNullSafe(F.col("id")) | (F.col("first_doc.text_hash") != F.col("text_hash"))
-    gone = cut(found.where(later & (F.col("n_shingles") > 0)).select("id", "text_hash").distinct())
+    counted = found.where("n_shingles > 0").groupBy("id", "text_hash", later.alias("later")).agg(F.count("*").alias("n"))
+    judged = cut(counted.where("later OR n > 1").select("id", "text_hash", "later"))
+    n_judged, n_repeated = judged.agg(F.count("*"), F.count(F.when(~F.col("later"), 1))).first()
     rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("hash"))
     same = F.col("r.key").eqNullSafe(F.col("g.id")) & (F.col("r.hash") == F.col("g.text_hash"))
-    left = rows.alias("r").join(small(gone, gone.count() * 64).alias("g"), same, "left_anti")
+    hinted = small(judged, n_judged * 64).alias("g")
+    left = rows.alias("r").join(hinted, same, "left_anti").select("row")
+    if n_repeated:
+        firsts = rows.alias("r").join(hinted, same).where("NOT g.later").select("r.row", "r.key", "r.hash")
+        copies = numbered(firsts, "row")
+        left = left.unionAll(copies.join(first_copies(copies, ["key", "hash"]), ["_look", "_number"], "left_semi").select("row"))
     return left.select("row.*")

@@ -16,8 +16,8 @@ Lines of fewer than ``least_words`` words always stay. Variants are made of line
 ``least_near_words`` words or more.
 
 Defined cases: a null text has no lines and stays null; blank lines stay; a text of any length is
-treated whole; null keys come last; rows equal in key and text count as one document and get the
-same result; an empty table gives no rows; input columns named like a result column give way to it.
+treated whole; null keys come last; of rows equal in key and text one is the first, and the others
+lose all lines that are judged; an empty table gives no rows; input columns named like a result column give way to it.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .bitmaps import bitmap, holds
 from .sharding import prefix_sums
-from .shared import cut, only, small
+from .shared import cut, first_copies, numbered, only, small
 from .shingles import BASE, U, mixed, powers
 
 LEAST_WORDS = 3
@@ -40,7 +40,7 @@ LEAST_NEAR_WORDS = 10
 #: Lengths that first and last parts may have: steps small enough that a part is a third of its line.
 PART_LENGTHS = [w * 2**e for e in range(1, 40) for w in (2, 3)]
 
-OCCURRENCE = "key long, text_hash long, line int, h1 long, h2 long, first_a long, last_a long, first_b long, last_b long"
+OCCURRENCE = "key long, text_hash long, line int, head boolean, h1 long, h2 long, first_a long, last_a long, first_b long, last_b long"
 
 
 def words_of(line: str) -> list[bytes]:
@@ -75,13 +75,15 @@ def part_keys(words: list[bytes]) -> list[int | None]:
     return keys + [None] * (4 - len(keys))
 
 
-def _lines(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, list[bytes]]]:
-    """``(key, text hash, line number, words)`` of every line that has words."""
+def _lines(batch: pa.RecordBatch, least_words: int) -> Iterator[tuple[int, int, int, bool, list[bytes]]]:
+    """``(key, text hash, line number, whether it is the row's first, words)`` of every line of ``least_words`` words or more."""
     for key, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+        head = True
         for number, line in enumerate((text.as_py() or "").split("\n")):
             words = words_of(line)
-            if words:
-                yield key, text_hash, number, words
+            if words and len(words) >= least_words:
+                yield key, text_hash, number, head, words
+                head = False
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -90,17 +92,16 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def _occurrences(least_words: int, least_near_words: int):
     schema = pa.schema(
-        [("key", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32())]
+        [("key", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("head", pa.bool_())]
         + [(n, pa.int64()) for n in ("h1", "h2", "first_a", "last_a", "first_b", "last_b")]
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, text_hash, number, words in _lines(batch):
-                if len(words) >= least_words:
-                    parts = part_keys(words) if len(words) >= least_near_words else [None] * 4
-                    rows.append((key, text_hash, number, *line_hashes(words), *parts))
+            for key, text_hash, number, head, words in _lines(batch, least_words):
+                parts = part_keys(words) if len(words) >= least_near_words else [None] * 4
+                rows.append((key, text_hash, number, head, *line_hashes(words), *parts))
             if rows:
                 yield _table(rows, schema)
 
@@ -113,7 +114,7 @@ def _candidate_lines(bits, least_near_words: int):
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(*line_hashes(words), words) for *_, words in _lines(batch) if len(words) >= least_near_words]
+            found = [(*line_hashes(words), words) for *_, words in _lines(batch, least_near_words)]
             if not found:
                 continue
             hit = holds(bits.value, np.array([h1 for h1, _, _ in found], dtype=np.int64))
@@ -186,7 +187,10 @@ def _first_of(key: str = "key") -> Column:
 def removed_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, least_near_words: int = LEAST_NEAR_WORDS
 ) -> DataFrame:
-    """``key``, ``text_hash``, ``lines`` of the documents that lose lines: the numbers of those, from 0."""
+    """``key``, ``text_hash``, ``lines``, ``judged`` of the documents that lose lines: the numbers of those, from 0.
+
+    ``judged`` is set for rows equal in key and text: what all but the first of them lose.
+    """
     bare = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     seen = cut(bare.mapInArrow(_occurrences(least_words, least_near_words), OCCURRENCE))
     parts = ["first_a", "last_a", "first_b", "last_b"]
@@ -199,7 +203,17 @@ def removed_lines(
     met = seen.select("key", "text_hash", "line", "h1", "h2").join(losing.select("h1", "h2", "first", "near"), ["h1", "h2"])
     own = F.struct(F.col("key").isNull().alias("none"), "key", "text_hash", "line")
     gone = met.where(F.coalesce("near", F.lit(False)) | ~own.eqNullSafe(F.col("first")))
-    return gone.groupBy("key", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    lost = gone.groupBy("key", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    repeated = cut(seen.where("head").groupBy("key", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1"))
+    none = F.lit(None).cast("array<int>")
+    n_repeated = repeated.count()
+    if not n_repeated:
+        return lost.select("*", none.alias("judged"))
+    same = F.col("s.key").eqNullSafe(F.col("c.key")) & (F.col("s.text_hash") == F.col("c.text_hash"))
+    copied = seen.alias("s").join(small(repeated, n_repeated * 64).alias("c"), same, "left_semi")
+    judged = copied.groupBy("key", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("judged"))
+    both = cut(lost).select("*", none.alias("judged")).unionByName(judged.select("*", none.alias("lines")))
+    return both.groupBy("key", "text_hash").agg(F.max("lines").alias("lines"), F.max("judged").alias("judged"))
 
 
 def _near_lines(bare: DataFrame, distinct: DataFrame, parts: list[str], least_near_words: int) -> DataFrame:
@@ -242,15 +256,21 @@ def dedup_lines(
     ``emptied`` is true if every line of ``least_words`` words or more has gone, and there was one.
     """
     lost = cut(removed_lines(docs, key, text, least_words, least_near_words))
-    size = int(lost.agg(F.coalesce(F.sum(F.size("lines") * 4 + 64), F.lit(0))).first()[0])
+    held = F.coalesce(F.size("lines"), F.lit(0)) + F.coalesce(F.size("judged"), F.lit(0))
+    size, repeated = lost.agg(F.coalesce(F.sum(held * 4 + 64), F.lit(0)), F.count("judged")).first()
     rows = docs.select(
         F.struct("*").alias("_row"), F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_text")
     )
     same = F.col("d.key").eqNullSafe(F.col("l.key")) & (F.col("d.text_hash") == F.col("l.text_hash"))
     # The hash table is made of the narrow side; the texts are not sorted.
-    met = rows.alias("d").join(small(lost, size).hint("shuffle_hash").alias("l"), same, "left").select(
-        "d._row", "d._text", F.split("d._text", "\n").alias("_lines"), F.col("l.lines").alias("_lost")
-    )
+    met = rows.alias("d").join(small(lost, size).hint("shuffle_hash").alias("l"), same, "left").select("d.*", "l.lines", "l.judged")
+    if repeated:
+        copies = numbered(met.where("judged IS NOT NULL"), "_row")
+        first = first_copies(copies, ["key", "text_hash"]).withColumn("_is_first", F.lit(True))
+        told = copies.join(first, ["_look", "_number"], "left")
+        told = told.withColumn("lines", F.when(F.col("_is_first"), F.col("lines")).otherwise(F.col("judged")))
+        met = met.where("judged IS NULL").unionAll(told.select(*met.columns))
+    met = met.select("_row", "_text", F.split("_text", "\n").alias("_lines"), F.col("lines").alias("_lost"))
     stays = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_lost"))
     met = met.withColumn("_left", F.when(F.col("_lost").isNotNull(), F.transform(stays, lambda i: F.get("_lines", i))))
     long_enough = F.filter("_left", lambda x: F.size(F.split(F.trim(F.regexp_replace(x, r"[\x20\x09-\x0D]+", " ")), " ")) >= least_words)

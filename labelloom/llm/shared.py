@@ -54,6 +54,20 @@ def replace_columns(df: DataFrame, **new: Column) -> DataFrame:
     return df.select(*kept, *[c.alias(n) for n, c in new.items()])
 
 
+def numbered(df: DataFrame, row: str) -> DataFrame:
+    """``df``, stored with ``_look``, a hash of the struct ``row``, and ``_number``, another for each row.
+
+    The order by both is fixed by the rows, but for rows that are equal in all columns. Numbers are
+    written before they are used, so a task that is run again does not deal them anew.
+    """
+    return cut(df.select("*", F.xxhash64(F.to_json(row)).alias("_look"), F.monotonically_increasing_id().alias("_number")))
+
+
+def first_copies(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The first row of each group of a ``numbered`` table, as ``_look`` and ``_number``; groups are not gathered."""
+    return df.groupBy(*group).agg(F.min(F.struct("_look", "_number")).alias("_first")).select("_first.*")
+
+
 def only(df: DataFrame, condition: Column, row: Column) -> DataFrame:
     """The fields of ``row`` where ``condition`` holds.
 
