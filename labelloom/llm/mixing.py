@@ -11,10 +11,11 @@ Rates become copies by systematic rounding: along the sizes of a source the runn
 rates is rounded, so what a source takes differs from its target by at most about its longest
 document. Which documents of equal source and size get the further copy is decided by a hash: the
 threshold of each (source, size) is its n-th smallest hash, found through counts of hash ranges.
+Rows that tie at the threshold are numbered, and as many of them get a copy as are left to give.
 
 Defined cases: null text: size 0; null source: a source of its own, the last in order; documents
-without words keep one copy; rows equal in key and text share one decision; an empty table gives no
-rows; input columns named like a result column give way to it.
+without words keep one copy; rows equal in key and text are told apart by their other columns, and
+rows equal in all columns are interchangeable; an empty table gives no rows; input columns named like a result column give way to it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sharding import prefix_sums
-from .shared import bytes_of, cut, small, words
+from .shared import bytes_of, cut, numbered, small, words
 
 #: Weights of the sources by their order, again and again.
 WEIGHTS = (5, 2, 1)
@@ -170,7 +171,10 @@ def _settled(bins: DataFrame) -> DataFrame:
 
 
 def _thresholds(narrow: DataFrame, bins: DataFrame, bins_bytes: int) -> DataFrame:
-    """The ``extra``-th smallest hash of each (source, size) of which some documents, not all, get a copy more."""
+    """``last_hash`` of each (source, size) of which some documents, not all, get a copy more: its ``extra``-th smallest.
+
+    ``tied`` rows have that hash, and ``share`` of them get the copy.
+    """
     wanted = bins.where("extra > 0 AND extra < n").select("source", "size", "n", "extra")
     same = _same_source("d", "b") & (F.col("d.size") == F.col("b.size"))
     rows = narrow.alias("d").join(small(wanted, bins_bytes).alias("b"), same)
@@ -185,10 +189,24 @@ def _thresholds(narrow: DataFrame, bins: DataFrame, bins_bytes: int) -> DataFram
     holding = counts.withColumn("before", before).where("before < extra AND before + m >= extra")
     match = _same_source("r", "h") & (F.col("r.size") == F.col("h.size")) & (F.col("r.range") == F.col("h.range"))
     last = rows.alias("r").join(holding.alias("h"), match).select("r.*", "h.before")
-    rank = F.row_number().over(Window.partitionBy(*here).orderBy("hash"))
-    return (
-        last.withColumn("rank", rank + F.col("before")).where("rank = extra").select("source", "size", F.col("hash").alias("last_hash"))
-    )
+    # Rows of one hash are counted, however many they are.
+    hashes = last.groupBy(*here, "hash", "extra", "before").agg(F.count("*").alias("tied"))
+    upto = F.col("before") + F.sum("tied").over(Window.partitionBy(*here).orderBy("hash"))
+    found = hashes.withColumn("upto", upto).where("upto >= extra AND upto - tied < extra")
+    return found.select("source", "size", F.col("hash").alias("last_hash"), (F.expr("extra - (upto - tied)")).alias("share"), "tied")
+
+
+def _shared_out(ties: DataFrame, bins_bytes: int) -> DataFrame:
+    """Rows of tied hashes with ``more``: 1 for the first ``share`` of each (source, size), in a range partitioned order."""
+    rows = numbered(ties, "_row")
+    order = ["source", "size", "_look", "_number"]
+    placed = prefix_sums(rows.select(*order), [F.col(c) for c in order], F.lit(1))
+    starts = placed.groupBy("source", "size").agg(F.min("_rows_before").alias("start"))
+    same = _same_source("r", "s") & (F.col("r.size") == F.col("s.size"))
+    met = placed.alias("r").join(small(starts, bins_bytes).alias("s"), same)
+    places = met.select("r._number", (F.col("r._rows_before") - F.col("s.start")).alias("_place"))
+    more = F.when(F.col("_place") < F.col("share"), 1).otherwise(0)
+    return rows.join(places, "_number").select(*ties.columns, more.alias("more"))
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -209,23 +227,29 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     bins_bytes = bytes_of(bins, ["source"], 160)
     last = _thresholds(narrow, bins, bins_bytes)
     same = _same_source("b", "l") & (F.col("b.size") == F.col("l.size"))
-    plan = cut(bins.alias("b").join(last.alias("l"), same, "left").select("b.*", "l.last_hash"))
+    plan = cut(bins.alias("b").join(last.alias("l"), same, "left").select("b.*", "l.last_hash", "l.share", "l.tied"))
     rows = docs.select(
         F.struct("*").alias("_row"), F.col(source).alias("source"), _size(text).alias("size"), _hash(key, text).alias("hash")
     )
     same = _same_source("d", "p") & (F.col("d.size") == F.col("p.size"))
-    more = F.when(F.col("p.extra") >= F.col("p.n"), 1).when(F.col("d.hash") <= F.col("p.last_hash"), 1).otherwise(0)
-    copies = (F.col("p.whole") + more).cast("long")
+    met = rows.alias("d").join(small(plan, bins_bytes).alias("p"), same).select("d._row", "d.hash", "p.*")
+    more = F.when(F.col("extra") >= F.col("n"), 1).when(F.col("hash") <= F.col("last_hash"), 1).otherwise(0)
+    torn = F.expr("coalesce(share < tied AND hash = last_hash, false)")
+    if plan.where("share < tied").take(1):
+        met = met.where(~torn).withColumn("more", more).unionAll(_shared_out(met.where(torn), bins_bytes))
+    else:
+        met = met.withColumn("more", more)
+    copies = (F.col("whole") + F.col("more")).cast("long")
     new = {
-        "size": F.col("d.size"),
-        "source_size": F.col("p.source_size"),
-        "target": F.col("p.target"),
-        "rate": F.col("p.rate"),
+        "size": F.col("size"),
+        "source_size": F.col("source_size"),
+        "target": F.col("target"),
+        "rate": F.col("rate"),
         "copies": copies,
-        "taken": copies * F.col("d.size"),
+        "taken": copies * F.col("size"),
     }
-    columns = [F.col("d._row")[c].alias(c) for c in docs.columns if c.lower() not in new]
-    return rows.alias("d").join(small(plan, bins_bytes).alias("p"), same).select(*columns, *[c.alias(n) for n, c in new.items()])
+    columns = [F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in new]
+    return met.select(*columns, *[c.alias(n) for n, c in new.items()])
 
 
 def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:

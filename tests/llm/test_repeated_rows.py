@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from labelloom.llm import jaccard, lines
+from labelloom.llm import jaccard, lines, mixing
 
 TEXT = "one two three four five six seven"
 SCHEMA = "doc_id long, text string, source string"
@@ -37,3 +37,14 @@ def test_lines_stay_once_of_repeated_rows(spark):
         (6, None, 0, 0, False): 2,
     }
     assert Counter(r["doc_id"] for r in lines.left_documents(docs).collect()) == {1: 1, None: 2, 5: 2, 6: 2}
+
+
+def test_tied_rows_share_the_further_copies(spark):
+    rows = [(None, TEXT, "a")] * 100 + [(1, TEXT, "b")] * 30 + [(i, TEXT, "b") for i in range(20)] + [(None, TEXT, None)] * 9
+    found = mixing.mix(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    assert len(found) == len(rows)
+    for source in ("a", "b", None):
+        mine = [r for r in found if r["source"] == source]
+        # All documents have seven words: what is taken can be within one of them of the target.
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 7
+        assert {r["copies"] for r in mine} <= {0, 1, 2}
