@@ -16,6 +16,7 @@ from .pii import pseudonymize
 from .quality import CASED_STOP_WORDS, judge_quality
 from .sharding import shard_plan
 from .shared import table
+from .spelling import spelling_variants
 from .topk import K, top_k
 from .url_rules import judge_urls
 
@@ -76,6 +77,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_url_rules": op2_url_rules,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_top_k": op9_top_k,
     "op10_packing": op10_packing,
+    "op11_spelling": op11_spelling,
 }
 
 # Words by the ASCII white space characters, as DuckDB spells them.
