@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import prefix_tree, read_back
+from .decontaminate import contamination
 from .jaccard import component_ids
 from .lines import LEAST_NEAR_WORDS, LEAST_WORDS, dedup_lines
 from .mixing import mix
@@ -81,6 +82,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_url_rules": op2_url_rules,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_k": op9_top_k,
     "op10_packing": op10_packing,
     "op11_spelling": op11_spelling,
+    "op13_decontamination": op13_decontamination,
 }
 
 # Words by the ASCII white space characters, as DuckDB spells them.
@@ -214,6 +220,31 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {K}
 """
 
+OP13 = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_no, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+v AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS x
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM v),
+u AS (
+  SELECT row_no, i, n, array_to_string(w[i:i + n - 1], ' ') AS x
+  FROM (SELECT row_no, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d JOIN sizes ON len(w) >= n)),
+hits AS (SELECT row_no, i, u.n, item_id FROM u JOIN v ON u.n = v.n AND u.x = v.x),
+spots AS (SELECT row_no, count(DISTINCT k) AS n_hit FROM (SELECT row_no, unnest(range(i, i + n)) AS k FROM hits) GROUP BY row_no),
+found AS (SELECT row_no, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT row_no, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY row_no)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN spots USING (row_no) LEFT JOIN found USING (row_no)
+"""
+
 #: The mix solves a dual, pseudonyms are keyed by a hash, and packing needs the vocabulary: no SQL.
 ORACLES: dict[str, str] = {
     "op2_url_rules": OP2,
@@ -222,4 +253,5 @@ ORACLES: dict[str, str] = {
     "op6_chat_format": OP6,
     "op7_line_dedup": OP7,
     "op9_top_k": OP9,
+    "op13_decontamination": OP13,
 }

@@ -43,7 +43,8 @@ def powers(base: int, n: int) -> np.ndarray:
 class Hasher:
     """Hashes of the words of many texts; keeps its tables between calls."""
 
-    def __init__(self, seed: int = 0):
+    def __init__(self, seed: int = 0, separators: np.ndarray = SPACE):
+        self.separators = separators
         self.values = mixed((np.arange(256, dtype=np.uint64) + U(1 + 256 * seed)) * U(0xD1342543DE82EF95))
         self.seed = U(seed)
         self.up = self.down = np.zeros(0, dtype=np.uint64)
@@ -53,7 +54,7 @@ class Hasher:
         n = len(data)
         if len(self.up) < n + 1:
             self.up, self.down = powers(BASE, n + 1), powers(pow(BASE, -1, 1 << 64), n + 1)
-        word = ~SPACE[data]
+        word = ~self.separators[data]
         # A word begins behind white space and at the start of a text.
         fresh = np.zeros(n + 1, dtype=bool)
         fresh[np.concatenate([[0], ends])] = True

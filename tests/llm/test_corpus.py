@@ -57,7 +57,7 @@ def words_of(text):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations", "benchmark"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(queries.ORACLES[name])
     got = queries.QUERIES[name](spark, SF)
