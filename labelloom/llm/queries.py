@@ -15,6 +15,7 @@ from .mixing import mix
 from .packing import pack
 from .pii import pseudonymize
 from .quality import CASED_STOP_WORDS, judge_quality
+from .repair import repair_report
 from .sharding import shard_plan
 from .shared import table
 from .spelling import spelling_variants
@@ -82,6 +83,23 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with the faults that op12 has to mend, dealt by a checksum of conversation and turn."""
+    space = F.lit(" ")
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    kind = F.crc32(key.cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), kind.alias("kind"))
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    times = F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 0, 0).when(F.col("kind") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("again")).drop("again")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_report(turns, damaged(turns))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -98,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_k": op9_top_k,
     "op10_packing": op10_packing,
     "op11_spelling": op11_spelling,
+    "op12_repair": op12_repair,
     "op13_decontamination": op13_decontamination,
 }
 
