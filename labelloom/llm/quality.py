@@ -164,10 +164,12 @@ def judge_quality(
         "kept": _all(base) & _all(rules),
         "broken_rules": broken,
     }
-    named = counted.select("_row", *[c.alias(f"_out_{n}") for n, c in judged.items()])
+    # Behind a generator: a filter on a result column stays above it, and no count is worked out again in its condition.
+    made = F.struct(F.col("_row"), *[c.alias(f"_out_{n}") for n, c in judged.items()])
+    named = counted.select(F.explode(F.array(made)).alias("_made"))
     taken = {n.lower() for n in judged}
-    kept = [F.col("_row")[c].alias(c) for c in df.columns if c.lower() not in taken]
-    return named.select(*kept, *[F.col(f"_out_{n}").alias(n) for n in judged])
+    kept = [F.col("_made._row")[c].alias(c) for c in df.columns if c.lower() not in taken]
+    return named.select(*kept, *[F.col(f"_made._out_{n}").alias(n) for n in judged])
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
