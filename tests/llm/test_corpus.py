@@ -343,16 +343,55 @@ def test_top_k_by_brute_force(spark):
     assert topk.top_k(df.where("vec_id IN (0, 3)")).count() == 1
 
 
-def test_top_k_leaves_candidates_out():
+def test_top_k_of_repeated_ids_and_large_numbers(spark):
+    rows = [(1, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.5, 0.5]), (50, [1.0, 1.0]), (50, [1.0, 1.0]), (100, [-1e30, 1e30]), (0, [3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("*", *[F.lit(1).alias(c) for c in ("row", "v", "d", "block", "cell")])
+    whole = [(i, [int(np.floor(x * 256)) for x in v] + [0] * (2 - len(v))) for i, v in rows]
+    want = Counter()
+    for at, (q, v) in enumerate(whole):
+        if q % 50 == 0:
+            scored = sorted((-max(min(sum(a * b for a, b in zip(v, w)), 2**63 - 1), -(2**63)), i) for j, (i, w) in enumerate(whole) if j != at)[:5]
+            want.update((q, r + 1, i, -s) for r, (s, i) in enumerate(scored))
+    assert Counter(tuple(r) for r in topk.top_k(df).collect()) == want == Counter(tuple(r) for r in topk.top_k(df.repartition(4)).collect())
+    assert want[(50, 2, 1, 131072)] == 2
+
+
+def test_top_k_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 20)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "STEP", 4)
+    rng = np.random.default_rng(9)
+    vectors = np.concatenate([rng.normal(c, 0.2, (150, 6)) for c in (0, 2, -2)]).round(1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    whole = np.floor(256 * vectors).astype(int)
+    want = []
+    for q in range(0, 450, 10):
+        scored = sorted((-int(whole[q] @ w), i) for i, w in enumerate(whole) if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    assert sorted(tuple(r) for r in topk.top_k(df.repartition(3), every=10).collect()) == want
+
+
+def test_top_k_leaves_candidates_and_blocks_out():
+    import pyarrow as pa
+
     rng = np.random.default_rng(4)
     points = np.floor(np.concatenate([rng.normal(c, 5, (200, 16)) for c in (0, 300, -300, 600)]))
     pivots = topk.choose_pivots(points, 16)
     distances = np.sqrt(((points[:, None] - pivots[None]) ** 2).sum(2))
-    found, evaluated = topk.search_block(np.array([799]), points[-1:], distances[-1:], np.arange(800), points, distances, 5)
+
+    def side(rows):
+        columns = {"row": rows, "id": rows, "v": points[rows].tolist(), "norm": (points[rows] ** 2).sum(1), "d": distances[rows].tolist()}
+        return topk.Side(pa.table(columns), 16)
+
+    found, evaluated = topk.search_block(side([799]), side(np.arange(800)), np.array([-np.inf]), 5)
     assert evaluated < 400
     scores = points @ points[-1]
     want = sorted((-s, i) for i, s in enumerate(scores) if i != 799)[:5]
-    assert found == [(799, i, int(-s)) for s, i in want]
+    assert found == [(799, 799, i, int(-s)) for s, i in want]
+    quarters = distances.reshape(4, 200, -1)
+    largest = (points**2).sum(1).reshape(4, 200).max(1)
+    bounds = topk.block_bounds((points[-1:] ** 2).sum(1), distances[-1:], quarters.min(1), quarters.max(1), largest)[0]
+    assert all(bounds[b] >= scores[200 * b : 200 * b + 200].max() for b in range(4)) and (bounds < -want[-1][0]).sum() >= 2
 
 
 def test_chat_round_trip(spark):
