@@ -7,13 +7,16 @@ are stored in prefix trees: a set that is looked up walks down the tree, counts
 all sets that share the way, and leaves a subtree as soon as the elements that remain on either side
 cannot bring the overlap up to what the least set below needs.
 
-Any fixed order gives the same links, so it may come from a sketch: shingles are counted by a slot
-of their hash, in a table of fixed size that is summed up over all documents; the four leading bits
-of an element are the level of its slot's count.
+Any fixed order gives the same links; a good one has what no other document shares in front. Of the
+shingles with the least hashes (``REGION`` of all, more than a prefix takes) it is counted exactly
+which ones two documents have. First come those that only one has, so documents that share less than
+about half of their text have nothing in their prefixes that could meet; then all beyond the region, then the shared ones. Very frequent
+shingles come last, by a count sketch of fixed size over all documents. The four leading bits of an element
+are its level in this order.
 
-What keeps hot groups linear: equal sets are one class. In a prefix element of many classes every
-class is first compared with one of them, and what that links is one component; pairs are made only
-across components, and only of lengths that allow a link. Trees are built for groups of bounded size.
+What keeps hot groups linear: equal sets are one class. In a prefix element every class is first
+compared with one of them, the least by a hash of the class alone, so that the elements of a group agree on it; what that links is
+one component. Pairs are made only across components, and only of lengths that allow a link. Trees are built for groups of bounded size.
 
 Elements are 60 bits of a hash and 4 bits of level. Equal sets are told by two 64-bit sums.
 
@@ -34,7 +37,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bitmaps import bitmap, holds
+from .bitmaps import bitmap, fitting_bits, holds
 from .components import components
 from .shared import cut, first_copies, numbered, small
 from .shingles import Hasher, U, text_sets
@@ -47,8 +50,10 @@ SLOTS, BLOCK = 1 << 22, 1 << 16
 SUMMED = 64
 #: Counts that a slot has besides noise before its shingles count as frequent.
 FREQUENT = 8
-#: Classes in a prefix element from which they are first compared with one of them.
-MANY = 64
+#: Bare hashes below this are counted exactly: a share of all that is larger than a prefix.
+REGION = int(0.35 * (1 << 60))
+#: Levels of the order: what only one document has, what was not counted, what two or more have; frequent ones follow.
+ALONE, UNCOUNTED, SHARED = range(3)
 #: Set elements in a group of a tree.
 TREE_ELEMENTS = 1 << 20
 
@@ -64,12 +69,15 @@ def prefix_length(n: int) -> int:
     return n - -(-top * n // bottom) + 1
 
 
-def ordered(hashes: np.ndarray, levels: np.ndarray | None) -> np.ndarray:
+def ordered(hashes: np.ndarray, levels: np.ndarray, shared: np.ndarray) -> np.ndarray:
     """Hashes as elements in the global order."""
     bare = hashes >> U(4)
-    if levels is not None:
-        bare |= levels[(bare & U(SLOTS - 1)).astype(np.int64)].astype(np.uint64) << U(60)
-    return np.unique(bare)
+    level = np.full(len(bare), UNCOUNTED, dtype=np.uint64)
+    counted = bare < U(REGION)
+    level[counted] = np.where(holds(shared, bare[counted]), U(SHARED), U(ALONE))
+    frequent = levels[(bare & U(SLOTS - 1)).astype(np.int64)].astype(np.uint64)
+    level = np.where(frequent > 0, U(SHARED) + np.minimum(frequent, U(15 - SHARED)), level)
+    return np.sort(bare | level << U(60))
 
 
 def _sketch(seed: int):
@@ -149,24 +157,27 @@ def fingerprint(elements: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in sums.view(np.int64))
 
 
-def _prefixes(seed: int, levels: Broadcast):
-    """The prefix elements of all texts, one row each."""
-    schema = pa.schema([("element", pa.int64())])
+def _region(seed: int):
+    """The counted shingles of all texts, and how many documents have each; exact for a stretch of texts."""
+    schema = pa.schema([("element", pa.int64()), ("n", pa.int32())])
+
+    def made(held: list[np.ndarray]) -> pa.RecordBatch:
+        distinct, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(counts.astype(np.int32))], schema=schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(seed)
         for batch in batches:
             held, size = [], 0
             for found in text_sets(batch.column(0), hasher):
-                if len(found):
-                    elements = ordered(found, levels.value)
-                    held.append(elements[: prefix_length(len(elements))])
-                    size += len(held[-1])
-                if size > 1 << 17:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], schema=schema)
+                bare = np.unique(found[found < U(REGION << 4)] >> U(4))
+                held.append(bare)
+                size += len(bare)
+                if size > 1 << 19:
+                    yield made(held)
                     held, size = [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], schema=schema)
+            if size:
+                yield made(held)
 
     return read
 
@@ -184,12 +195,14 @@ def _profiles(seed: int, levels: Broadcast, shared: Broadcast):
         for batch in batches:
             rows = []
             for found in text_sets(batch.column(2), hasher):
-                elements = ordered(found, levels.value)
+                elements = ordered(found, levels.value, shared.value)
                 if not len(elements):
                     rows.append((0, None, None, None, []))
                     continue
-                head = elements[: prefix_length(len(elements))].view(np.int64)
-                rows.append((len(elements), *fingerprint(elements), int(head[0]), head[holds(shared.value, head)]))
+                head = elements[: prefix_length(len(elements))]
+                # In front are those that no other document has.
+                open_ = head[np.searchsorted(head, U(UNCOUNTED << 60)) :].view(np.int64)
+                rows.append((len(elements), *fingerprint(elements), int(elements[:1].view(np.int64)[0]), open_))
             columns = list(zip(*rows)) or [[]] * 5
             arrays = [batch.column(0), batch.column(1), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:]))]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
@@ -197,7 +210,7 @@ def _profiles(seed: int, levels: Broadcast, shared: Broadcast):
     return read
 
 
-def _whole_sets(seed: int, levels: Broadcast, wanted: Broadcast):
+def _whole_sets(seed: int, levels: Broadcast, shared: Broadcast, wanted: Broadcast):
     """The whole sets of the classes that may be wanted, in the global order."""
     schema = pa.schema([("cid", pa.int64()), ("elements", pa.binary())])
 
@@ -208,7 +221,7 @@ def _whole_sets(seed: int, levels: Broadcast, wanted: Broadcast):
             for found in text_sets(batch.column(0), hasher):
                 if not len(found):
                     continue
-                elements = ordered(found, levels.value)
+                elements = ordered(found, levels.value, shared.value)
                 cid = fingerprint(elements)[0]
                 if cid not in rows and holds(wanted.value, np.array([cid], dtype=np.int64))[0]:
                     rows[cid] = elements.tobytes()
@@ -333,9 +346,10 @@ class _Corpus:
         while True:
             self.seed = seed
             self.levels = self.spark.sparkContext.broadcast(frequency_levels(self.texts, seed))
-            counted = self.texts.mapInArrow(_prefixes(seed, self.levels), "element long").groupBy("element").count()
-            shared = bitmap(counted.where("count > 1"), "element")
-            self.profiles = cut(rows.select("id", "text_hash", "text").mapInArrow(_profiles(seed, self.levels, shared), PROFILE))
+            counted = self.texts.mapInArrow(_region(seed), "element long, n int").groupBy("element").agg(F.sum("n").alias("n"))
+            twice = cut(counted.where("n > 1").select("element"))
+            self.shared = bitmap(twice, "element", fitting_bits(twice.count()))
+            self.profiles = cut(rows.select("id", "text_hash", "text").mapInArrow(_profiles(seed, self.levels, self.shared), PROFILE))
             classes = self.profiles.where("cid IS NOT NULL").groupBy("cid")
             self.classes = cut(
                 classes.agg(
@@ -353,7 +367,7 @@ class _Corpus:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The links ``(a, b)`` among stored ``pairs``, through prefix trees."""
         wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
-        read = self.texts.mapInArrow(_whole_sets(self.seed, self.levels, bitmap(wanted, "cid")), "cid long, elements binary")
+        read = self.texts.mapInArrow(_whole_sets(self.seed, self.levels, self.shared, bitmap(wanted, "cid", fitting_bits(wanted.count()))), "cid long, elements binary")
         # Copies of a text give its set once.
         sets = cut(read.join(wanted, "cid", "left_semi").dropDuplicates(["cid"]))
         known = self.classes.select("cid", "n", "first")
@@ -376,27 +390,35 @@ class _Corpus:
         """Links between classes that connect every component."""
         spread = self.profiles.select("cid", "n", F.explode("shared").alias("element")).distinct()
         held = cut(spread)
-        many = held.groupBy("element").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("cid", "element").alias("h"), "cid", "n")).alias("one")).where("m > 1")
+        # The same centre for all elements of a group, as far as they have it: a hash of the class alone.
+        centre = F.min(F.struct(F.xxhash64("cid").alias("h"), "cid", "n")).alias("one")
+        many = held.groupBy("element").agg(F.count("*").alias("m"), centre).where("m > 1")
         members = cut(held.join(many, "element"))
-        star = members.where((F.col("m") > MANY) & (F.col("cid") != F.col("one.cid"))).select(
+        star = members.where(F.col("cid") != F.col("one.cid")).select(
             F.col("cid").alias("a"), F.col("n").alias("na"), F.col("one.cid").alias("b"), F.col("one.n").alias("nb")
         )
         near = cut(star.where(_lengths_allow("na", "nb")).select("a", "b").distinct())
         first = cut(self.verified(near))
         labels = components(first)
-        labelled = members.select("element", "cid", "n").join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
-            "element", "cid", "n", F.coalesce("label", "cid").alias("label")
-        )
-        # An element of one component has no pair to give.
-        split = labelled.groupBy("element").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("element")
-        open_members = cut(labelled.join(split, "element", "left_semi"))
+        # Of an element with two classes nothing is left to compare, nor of one whose classes are one component.
+        larger = members.where("m > 2").select("element", "cid", "n", "m", F.col("one.cid").alias("centre"))
+        named = labels.withColumnRenamed("node", "cid")
+        told = larger.join(named, "cid").groupBy("element", "m").agg(F.count("*").alias("labelled"), F.min("label").alias("low"), F.max("label").alias("high"))
+        done = told.where("labelled = m AND low = high").select("element")
+        rest = cut(larger.join(done, "element", "left_anti"))
+        if not rest.take(1):
+            return first
+        classes = rest.select("cid").distinct().join(named, "cid", "left").select("cid", F.coalesce("label", "cid").alias("label"))
+        open_members = cut(rest.join(classes, "cid").select("element", "cid", "n", "label", "centre"))
         a, b = open_members.alias("x"), open_members.alias("y")
         across = (F.col("x.element") == F.col("y.element")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.label") != F.col("y.label"))
-        met = a.join(b, across & _lengths_allow("x.n", "y.n")).select(
+        # What was compared with the centre is known.
+        fresh = (F.col("x.cid") != F.col("x.centre")) & (F.col("y.cid") != F.col("y.centre"))
+        met = a.join(b, across & fresh & _lengths_allow("x.n", "y.n")).select(
             F.col("x.cid").alias("a"), F.col("y.cid").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")
         )
         counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
-        pairs = cut(counted.where(F.col("common") >= _least_common("na", "nb")).select("a", "b"))
+        pairs = cut(counted.where(F.col("common") >= _least_common("na", "nb")).select("a", "b").join(near, ["a", "b"], "left_anti"))
         return cut(first.unionByName(self.verified(pairs)))
 
 
