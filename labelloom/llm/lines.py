@@ -1,8 +1,9 @@
 """Removing lines that repeat, exactly or up to one word, across all documents.
 
 A line is its words, with A-Z in lower case. Of equal lines the earliest stays (by document, then
-place). Of lines within one word of each other (one word more, less, or another), those that have
-an earlier such neighbour go.
+place). Of lines within the edit bound of each other, those that have an earlier such neighbour go.
+The bound is one word more, less, or another, but no more than a third of the words: lines of one or two words are
+near only if they are equal.
 
 Neighbours are found by deletion variants: a line with one word left out, for every word. Two lines
 within one word share a variant, or one is a variant of the other; equal variants meet as equal
@@ -10,14 +11,11 @@ within one word share a variant, or one is a variant of the other; equal variant
 the same word every line needs only the earliest, so a set of any size costs one aggregation and
 yields one pair for each line. Variants are emitted only for lines that can have a neighbour: one
 edit leaves the first or the last part of a line as it is, so a line of which no other line shares
-such a part has none.
+such a part has none. Parts are looked up in a bitmap; what it lets pass wrongly meets nothing later.
 
-Lines of fewer than ``least_words`` words always stay. Variants are made of lines of
-``least_near_words`` words or more.
-
-Defined cases: a null text has no lines and stays null; blank lines stay; a text of any length is
+Defined cases: a null text has no lines and stays null; lines without a word stay; a text of any length is
 treated whole; null keys come last; of rows equal in key and text one is the first, and the others
-lose all lines that are judged; an empty table gives no rows; input columns named like a result column give way to it.
+lose all lines that have a word; an empty table gives no rows; input columns named like a result column give way to it.
 """
 
 from __future__ import annotations
@@ -30,97 +28,114 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bitmaps import bitmap, holds
+from .bitmaps import bitmap, fitting_bits, holds
 from .sharding import prefix_sums
 from .shared import cut, first_copies, numbered, only, small
-from .shingles import BASE, U, mixed, powers
+from .shingles import BASE, SPACE, Hasher, U, mixed, powers
+from .text_bytes import LOWERED, chunks, runs
 
-LEAST_WORDS = 3
-LEAST_NEAR_WORDS = 10
+#: A line may differ in one word of at least this many.
+WORDS_FOR_AN_EDIT = 3
 #: Lengths that first and last parts may have: steps small enough that a part is a third of its line.
-PART_LENGTHS = [w * 2**e for e in range(1, 40) for w in (2, 3)]
-
-OCCURRENCE = "key long, text_hash long, line int, head boolean, h1 long, h2 long, first_a long, last_a long, first_b long, last_b long"
+PART_LENGTHS = np.array([1, *(w * 2**e for e in range(40) for w in (2, 3))])
+#: Text bytes that are worked on together.
+CHUNK = 1 << 20
+#: Makes a second, independent hash of a line's words.
+SECOND = U(0xC2B2AE3D27D4EB4F)
 
 
 def words_of(line: str) -> list[bytes]:
     return line.encode("utf-8", "surrogatepass").lower().split()
 
 
-def _signed(number: int) -> int:
-    return number - (1 << 64) if number >> 63 else number
-
-
-def _hash(text: bytes, seed: int = 0) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(text, seed))
-
-
-def line_hashes(words: list[bytes]) -> tuple[int, int]:
-    whole = xxhash.xxh3_128_intdigest(b" ".join(words))
-    return _signed(whole >> 64), _signed(whole & ((1 << 64) - 1))
-
-
-def part_length(n: int) -> int:
-    """Length of the parts of a line of ``n`` words: the largest step up to half of it."""
-    return max((p for p in PART_LENGTHS if p <= n // 2), default=1)
-
-
-def part_keys(words: list[bytes]) -> list[int | None]:
-    """Hashes of the first and last part, in the lengths that this line and a neighbour can have in common."""
-    n = len(words)
-    keys: list[int | None] = []
-    lengths = sorted({part_length(n), part_length(n - 1)})
-    for m in lengths:
-        keys += [_hash(b" ".join(words[:m]), 2 * m), _hash(b" ".join(words[n - m :]), 2 * m + 1)]
-    return keys + [None] * (4 - len(keys))
-
-
-def _lines(batch: pa.RecordBatch, least_words: int) -> Iterator[tuple[int, int, int, bool, list[bytes]]]:
-    """``(key, text hash, line number, whether it is the row's first, words)`` of every line of ``least_words`` words or more."""
-    for key, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-        head = True
-        for number, line in enumerate((text.as_py() or "").split("\n")):
-            words = words_of(line)
-            if words and len(words) >= least_words:
-                yield key, text_hash, number, head, words
-                head = False
+def part_length(n: np.ndarray) -> np.ndarray:
+    """Length of the parts of lines of ``n`` words: the largest step up to half of it."""
+    return PART_LENGTHS[np.maximum(np.searchsorted(PART_LENGTHS, n // 2, side="right") - 1, 0)]
+
+
+class Lines:
+    """The lines with a word of texts laid end to end, and hashes of any stretch of their words."""
+
+    def __init__(self, hasher: Hasher, data: np.ndarray, ends: np.ndarray):
+        hashes, upto = hasher.words(data, ends)
+        self.first_byte, self.last_byte = runs(~SPACE[data], ends)
+        text = np.searchsorted(upto, np.arange(len(hashes)), side="right")
+        feeds = np.concatenate([[0], np.cumsum(data == 0x0A)])
+        number = feeds[self.first_byte] - feeds[np.concatenate([[0], ends[:-1]])][text] if len(hashes) else np.zeros(0, np.int64)
+        fresh = np.ones(len(hashes), dtype=bool)
+        fresh[1:] = (number[1:] != number[:-1]) | (text[1:] != text[:-1])
+        #: Of each line: its first word, how many it has, its text, and its number there.
+        self.at = np.flatnonzero(fresh)
+        self.n = np.diff(np.concatenate([self.at, [len(hashes)]]))
+        self.text, self.number = text[self.at], number[self.at]
+        if len(hasher.up) < len(hashes) + 1:
+            hasher.up, hasher.down = powers(BASE, len(hashes) + 1), powers(pow(BASE, -1, 1 << 64), len(hashes) + 1)
+        self.down = hasher.down
+        self.sums = [np.concatenate([[U(0)], np.cumsum(values * hasher.up[: len(hashes)])]) for values in (hashes, mixed(hashes ^ SECOND))]
+
+    def stretch(self, at: np.ndarray, n: np.ndarray, which: int = 0) -> np.ndarray:
+        """Hashes of ``n`` words from the word ``at`` on."""
+        sums = self.sums[which]
+        return mixed((sums[at + n] - sums[at]) * self.down[at] + n.astype(np.uint64))
+
+    def parts(self) -> np.ndarray:
+        """Hashes of first and last parts, in the lengths that a line and a neighbour can have in common: four rows."""
+        found = []
+        for n in (part_length(self.n), part_length(self.n - 1)):
+            found.append(mixed(self.stretch(self.at, n) ^ U(1)))
+            found.append(mixed(self.stretch(self.at + self.n - n, n) ^ U(2)))
+        return np.stack(found)
+
+
+def _line_batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, Lines]]:
+    hasher = Hasher()
+    for batch in batches:
+        for row, data, ends in chunks(batch.column(column), CHUNK):
+            yield batch, row, data, Lines(hasher, data, ends)
 
 
-def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+OCCURRENCE = "key long, text_hash long, line int, head boolean, h1 long, h2 long, parts array<long>"
 
 
-def _occurrences(least_words: int, least_near_words: int):
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line with a word; ``head`` marks the first one of its row, ``parts`` are those of lines that may have an edit."""
     schema = pa.schema(
-        [("key", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("head", pa.bool_())]
-        + [(n, pa.int64()) for n in ("h1", "h2", "first_a", "last_a", "first_b", "last_b")]
+        [("key", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("head", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int64()), ("parts", pa.list_(pa.int64()))]
     )
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for key, text_hash, number, head, words in _lines(batch, least_words):
-                parts = part_keys(words) if len(words) >= least_near_words else [None] * 4
-                rows.append((key, text_hash, number, head, *line_hashes(words), *parts))
-            if rows:
-                yield _table(rows, schema)
-
-    return read
-
-
-def _candidate_lines(bits, least_near_words: int):
-    """Words of the lines whose hash may be in the bitmap."""
+    for batch, row, _, lines in _line_batches(batches, 2):
+        if not len(lines.at):
+            continue
+        place = pa.array(row + lines.text)
+        head = np.ones(len(lines.at), dtype=bool)
+        head[1:] = lines.text[1:] != lines.text[:-1]
+        hashes = [pa.array(lines.stretch(lines.at, lines.n, which).view(np.int64)) for which in (0, 1)]
+        edits = lines.n >= WORDS_FOR_AN_EDIT
+        offsets = np.concatenate([[0], np.cumsum(4 * edits)]).astype(np.int32)
+        parts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(lines.parts()[:, edits].T.ravel().view(np.int64)))
+        columns = [batch.column(0).take(place), batch.column(1).take(place), pa.array(lines.number.astype(np.int32)), pa.array(head), *hashes, parts]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _candidate_lines(shared):
+    """Words of the lines that may have a part in common with another one."""
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("words", pa.string())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(*line_hashes(words), words) for *_, words in _lines(batch, least_near_words)]
-            if not found:
+        for _, _, data, lines in _line_batches(batches, 0):
+            hit = np.zeros(len(lines.at), dtype=bool)
+            for part in lines.parts() if len(lines.at) else ():
+                hit |= holds(shared.value, part)
+            hit &= lines.n >= WORDS_FOR_AN_EDIT
+            if not hit.any():
                 continue
-            hit = holds(bits.value, np.array([h1 for h1, _, _ in found], dtype=np.int64))
-            rows = list({(h1, h2): (h1, h2, b" ".join(w).decode("utf-8", "surrogatepass")) for (h1, h2, w), ok in zip(found, hit) if ok}.values())
-            if rows:
-                yield _table(rows, schema)
+            low = LOWERED[data]
+            h1, h2 = (lines.stretch(lines.at[hit], lines.n[hit], which).view(np.int64) for which in (0, 1))
+            # Equal lines of a stretch of texts are spelled once.
+            once = np.unique(h1, return_index=True)[1]
+            spelled = []
+            for at, n in zip(lines.at[hit][once].tolist(), lines.n[hit][once].tolist()):
+                spelled.append(b" ".join(low[a:b].tobytes() for a, b in zip(lines.first_byte[at : at + n].tolist(), lines.last_byte[at : at + n].tolist())))
+            yield pa.RecordBatch.from_arrays([pa.array(h1[once]), pa.array(h2[once]), pa.array(spelled).cast(pa.string())], schema=schema)
 
     return read
 
@@ -184,22 +199,17 @@ def _first_of(key: str = "key") -> Column:
     return F.min(F.struct(F.col(key).isNull().alias("none"), key, "text_hash", "line")).alias("first")
 
 
-def removed_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, least_near_words: int = LEAST_NEAR_WORDS
-) -> DataFrame:
+def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``text_hash``, ``lines``, ``judged`` of the documents that lose lines: the numbers of those, from 0.
 
     ``judged`` is set for rows equal in key and text: what all but the first of them lose.
     """
     bare = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    seen = cut(bare.mapInArrow(_occurrences(least_words, least_near_words), OCCURRENCE))
-    parts = ["first_a", "last_a", "first_b", "last_b"]
-    distinct = cut(
-        seen.groupBy("h1", "h2").agg(_first_of(), F.count("*").alias("n"), *[F.max(p).alias(p) for p in parts])
-    )
-    near = _near_lines(bare, distinct, parts, least_near_words)
+    seen = cut(bare.mapInArrow(_occurrences, OCCURRENCE))
+    distinct = cut(seen.groupBy("h1", "h2").agg(_first_of(), F.count("*").alias("n"), F.first("parts").alias("parts")))
+    near = _near_lines(bare, distinct)
     # Lines that have something to lose: further copies, or an earlier neighbour.
-    losing = distinct.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("n > 1 OR near")
+    losing = distinct.drop("parts").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("n > 1 OR near")
     met = seen.select("key", "text_hash", "line", "h1", "h2").join(losing.select("h1", "h2", "first", "near"), ["h1", "h2"])
     own = F.struct(F.col("key").isNull().alias("none"), "key", "text_hash", "line")
     gone = met.where(F.coalesce("near", F.lit(False)) | ~own.eqNullSafe(F.col("first")))
@@ -216,23 +226,22 @@ def removed_lines(
     return both.groupBy("key", "text_hash").agg(F.max("lines").alias("lines"), F.max("judged").alias("judged"))
 
 
-def _near_lines(bare: DataFrame, distinct: DataFrame, parts: list[str], least_near_words: int) -> DataFrame:
+def _near_lines(bare: DataFrame, distinct: DataFrame) -> DataFrame:
     """``h1``, ``h2`` of the lines that have an earlier neighbour."""
-    long_lines = distinct.where("first_a IS NOT NULL")
-    keyed = long_lines.select("h1", "h2", F.explode(F.array_distinct(F.array(*parts))).alias("part")).where("part IS NOT NULL")
-    shared = keyed.groupBy("part").count().where("count > 1").select("part")
-    candidates = cut(keyed.join(shared, "part", "left_semi").select("h1", "h2").distinct())
-    bits = bitmap(candidates, "h1")
-    hits = bare.mapInArrow(_candidate_lines(bits, least_near_words), "h1 long, h2 long, words string")
+    parts = distinct.select(F.explode(F.array_distinct("parts")).alias("part")).groupBy("part").count()
+    twice = cut(parts.where("count > 1").select("part"))
+    shared = bitmap(twice, "part", fitting_bits(twice.count()))
+    hits = bare.select("text").mapInArrow(_candidate_lines(shared), "h1 long, h2 long, words string")
     worded = hits.groupBy("h1", "h2").agg(F.first("words").alias("words"))
-    known = worded.join(candidates, ["h1", "h2"]).join(distinct.select("h1", "h2", "first"), ["h1", "h2"])
+    known = worded.join(distinct.select("h1", "h2", "first"), ["h1", "h2"])
     # A line's number in the order of first places: it stands for the line, and tells which is earlier.
     ranked = cut(prefix_sums(known, [F.col("first")], F.lit(1)).select(F.col("_rows_before").alias("rank"), "h1", "h2", "words"))
     emitted = "variant long, place int, rank long"
     texts = ranked.select("rank", "words")
     twice = texts.mapInArrow(_variants(None), emitted).groupBy("variant").count().where("count > 1")
     # Variants that a single line makes meet nothing; they are not shuffled as rows.
-    variants = cut(texts.mapInArrow(_variants(bitmap(twice, "variant")), emitted))
+    met_twice = cut(twice.select("variant"))
+    variants = cut(texts.mapInArrow(_variants(bitmap(met_twice, "variant", fitting_bits(met_twice.count()))), emitted))
     # Another word at the same place: the earliest line of the set is a neighbour of all others.
     several = variants.where("place >= 0").groupBy("variant", "place").agg(F.min("rank").alias("other"), F.count("*").alias("n"))
     swapped = variants.join(several.where("n > 1"), ["variant", "place"]).select("rank", "other")
@@ -248,44 +257,40 @@ def _near_lines(bare: DataFrame, distinct: DataFrame, parts: list[str], least_ne
     return pairs.select("h1", "h2", "own", "others").mapInArrow(_verified, "h1 long, h2 long")
 
 
-def dedup_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, least_near_words: int = LEAST_NEAR_WORDS
-) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row with the text that is left, ``n_lines``, ``n_removed``, and ``emptied``.
 
-    ``emptied`` is true if every line of ``least_words`` words or more has gone, and there was one.
+    ``emptied`` is true if there was a line with a word and every such line has gone.
     """
-    lost = cut(removed_lines(docs, key, text, least_words, least_near_words))
+    lost = cut(removed_lines(docs, key, text))
     held = F.coalesce(F.size("lines"), F.lit(0)) + F.coalesce(F.size("judged"), F.lit(0))
     size, repeated = lost.agg(F.coalesce(F.sum(held * 4 + 64), F.lit(0)), F.count("judged")).first()
-    rows = docs.select(
-        F.struct("*").alias("_row"), F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_text")
-    )
+    rows = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"))
     same = F.col("d.key").eqNullSafe(F.col("l.key")) & (F.col("d.text_hash") == F.col("l.text_hash"))
-    # The hash table is made of the narrow side; the texts are not sorted.
-    met = rows.alias("d").join(small(lost, size).hint("shuffle_hash").alias("l"), same, "left").select("d.*", "l.lines", "l.judged")
+    met = rows.alias("d").join(small(lost, size).alias("l"), same, "left").select("d.*", "l.lines", "l.judged")
     if repeated:
         copies = numbered(met.where("judged IS NOT NULL"), "_row")
         first = first_copies(copies, ["key", "text_hash"]).withColumn("_is_first", F.lit(True))
         told = copies.join(first, ["_look", "_number"], "left")
         told = told.withColumn("lines", F.when(F.col("_is_first"), F.col("lines")).otherwise(F.col("judged")))
         met = met.where("judged IS NULL").unionAll(told.select(*met.columns))
-    met = met.select("_row", "_text", F.split("_text", "\n").alias("_lines"), F.col("lines").alias("_lost"))
+    whole = F.col("_row")[text]
+    met = met.select("_row", F.split(whole, "\n").alias("_lines"), F.col("lines").alias("_lost"))
     stays = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_lost"))
     met = met.withColumn("_left", F.when(F.col("_lost").isNotNull(), F.transform(stays, lambda i: F.get("_lines", i))))
-    long_enough = F.filter("_left", lambda x: F.size(F.split(F.trim(F.regexp_replace(x, r"[\x20\x09-\x0D]+", " ")), " ")) >= least_words)
+    worded = F.exists("_left", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     new = {
-        text: F.when(F.col("_left").isNotNull(), F.array_join("_left", "\n")).otherwise(F.col("_text")),
+        text: F.when(F.col("_left").isNotNull(), F.array_join("_left", "\n")).otherwise(whole),
         "n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("long"),
         "n_removed": F.coalesce(F.size("_lost"), F.lit(0)).cast("long"),
-        "emptied": F.coalesce(F.size(long_enough) == 0, F.lit(False)),
+        "emptied": F.coalesce(~worded, F.lit(False)),
     }
     columns = [F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in new]
     return met.select(*columns, *[c.alias(n) for n, c in new.items()])
 
 
 def left_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows with what is left of their texts, without those of which nothing but short lines is left."""
+    """The rows with what is left of their texts, without those of which no line with a word is left though there was one."""
     wrapped = docs.select(F.struct("*").alias("row"), F.col(key).alias("k"), F.col(text).alias("t"))
     columns = [(F.col("t") if c == text else F.col("row")[c]).alias(c) for c in docs.columns]
     return only(dedup_lines(wrapped, "k", "t"), ~F.col("emptied"), F.struct(*columns))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .chat import prefix_tree, read_back
 from .decontaminate import contamination
 from .jaccard import component_ids
-from .lines import LEAST_NEAR_WORDS, LEAST_WORDS, dedup_lines
+from .lines import WORDS_FOR_AN_EDIT, dedup_lines
 from .mixing import mix
 from .packing import pack
 from .pii import pseudonymize
@@ -206,15 +206,15 @@ l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FRO
 w AS (
   SELECT doc_id, pos, list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM l),
-n AS (SELECT doc_id, pos, w, array_to_string(w, ' ') AS norm FROM w WHERE len(w) >= {LEAST_WORDS}),
+n AS (SELECT doc_id, pos, w, array_to_string(w, ' ') AS norm FROM w WHERE len(w) > 0),
 u AS (SELECT norm, any_value(w) AS w, min((doc_id, pos)) AS first FROM n GROUP BY norm),
 v AS (
   SELECT norm, first, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS variant
-  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM u WHERE len(w) >= {LEAST_NEAR_WORDS})),
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM u WHERE len(w) >= {WORDS_FOR_AN_EDIT})),
 near AS (
   SELECT norm FROM (SELECT norm, first, min(first) OVER (PARTITION BY i, variant) AS least FROM v) WHERE least < first
-  UNION SELECT v.norm FROM v JOIN u ON v.variant = u.norm WHERE u.first < v.first AND len(u.w) >= {LEAST_NEAR_WORDS}
-  UNION SELECT u.norm FROM v JOIN u ON v.variant = u.norm WHERE v.first < u.first AND len(u.w) >= {LEAST_NEAR_WORDS}),
+  UNION SELECT v.norm FROM v JOIN u ON v.variant = u.norm WHERE u.first < v.first AND len(u.w) >= {WORDS_FOR_AN_EDIT}
+  UNION SELECT u.norm FROM v JOIN u ON v.variant = u.norm WHERE v.first < u.first AND len(u.w) >= {WORDS_FOR_AN_EDIT}),
 gone AS (
   SELECT doc_id, list(pos) AS lost FROM n JOIN u USING (norm)
   WHERE (doc_id, pos) <> first OR norm IN (SELECT norm FROM near) GROUP BY doc_id),
@@ -223,8 +223,7 @@ kept AS (
     list_filter(lines, lambda x, i: NOT list_contains(coalesce(lost, []), i - 1)) AS rest FROM d LEFT JOIN gone USING (doc_id))
 SELECT doc_id, CASE WHEN len(lost) = 0 THEN text ELSE array_to_string(rest, chr(10)) END AS text,
   coalesce(len(lines), 0) AS n_lines, len(lost) AS n_removed,
-  len(lost) > 0 AND len(list_filter(rest, lambda x:
-    len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) >= {LEAST_WORDS})) = 0 AS emptied
+  len(lost) > 0 AND len(list_filter(rest, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) = 0 AS emptied
 FROM kept
 """
 
