@@ -173,7 +173,7 @@ def _region(seed: int):
                 bare = np.unique(found[found < U(REGION << 4)] >> U(4))
                 held.append(bare)
                 size += len(bare)
-                if size > 1 << 19:
+                if size > 1 << 17:
                     yield made(held)
                     held, size = [], 0
             if size:
@@ -226,7 +226,7 @@ def _whole_sets(seed: int, levels: Broadcast, shared: Broadcast, wanted: Broadca
                 if cid not in rows and holds(wanted.value, np.array([cid], dtype=np.int64))[0]:
                     rows[cid] = elements.tobytes()
                     size += len(rows[cid])
-                if size > 1 << 23:
+                if size > 1 << 21:
                     yield pa.RecordBatch.from_arrays([pa.array(list(rows)), pa.array(list(rows.values()), pa.binary())], schema=schema)
                     rows, size = {}, 0
             if rows:

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 WORDS = 5
 #: Text bytes that are worked on at a time; one longer text is worked on alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 U = np.uint64
 SPACE = np.zeros(256, dtype=bool)
