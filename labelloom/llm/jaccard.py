@@ -15,8 +15,9 @@ shingles come last, by a count sketch of fixed size over all documents. The four
 are its level in this order.
 
 What keeps hot groups linear: equal sets are one class. In a prefix element every class is first
-compared with one of them, the least by a hash of the class alone, so that the elements of a group agree on it; what that links is
-one component. Pairs are made only across components, and only of lengths that allow a link. Trees are built for groups of bounded size.
+compared with one of them, the one with the least share of shingles of its own, so that the elements of a group agree on it;
+what that links is one component. Pairs are made only across components, and only if lengths and places of the shared element allow a link:
+in front of it stands what the other set has not. Trees are built for groups of bounded size.
 
 Elements are 60 bits of a hash and 4 bits of level. Equal sets are told by two 64-bit sums.
 
@@ -182,12 +183,12 @@ def _region(seed: int):
     return read
 
 
-PROFILE = "id long, text_hash long, n int, cid long, second long, first long, shared array<long>"
+PROFILE = "id long, text_hash long, n int, cid long, second long, first long, own int, shared array<long>"
 
 
 def _profiles(seed: int, levels: Broadcast, shared: Broadcast):
-    """For each text its set's size and fingerprint, and the prefix elements that others may share."""
-    names = [("id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int32()), ("cid", pa.int64()), ("second", pa.int64()), ("first", pa.int64())]
+    """For each text its set's size and fingerprint, and the prefix elements that others may share, behind ``own`` that none has."""
+    names = [("id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int32()), ("cid", pa.int64()), ("second", pa.int64()), ("first", pa.int64()), ("own", pa.int32())]
     schema = pa.schema([*names, ("shared", pa.list_(pa.int64()))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,13 +198,13 @@ def _profiles(seed: int, levels: Broadcast, shared: Broadcast):
             for found in text_sets(batch.column(2), hasher):
                 elements = ordered(found, levels.value, shared.value)
                 if not len(elements):
-                    rows.append((0, None, None, None, []))
+                    rows.append((0, None, None, None, None, []))
                     continue
                 head = elements[: prefix_length(len(elements))]
                 # In front are those that no other document has.
-                open_ = head[np.searchsorted(head, U(UNCOUNTED << 60)) :].view(np.int64)
-                rows.append((len(elements), *fingerprint(elements), int(elements[:1].view(np.int64)[0]), open_))
-            columns = list(zip(*rows)) or [[]] * 5
+                own = int(np.searchsorted(head, U(UNCOUNTED << 60)))
+                rows.append((len(elements), *fingerprint(elements), int(elements[:1].view(np.int64)[0]), own, head[own:].view(np.int64)))
+            columns = list(zip(*rows)) or [[]] * 6
             arrays = [batch.column(0), batch.column(1), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:]))]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
@@ -388,20 +389,18 @@ class _Corpus:
 
     def links(self) -> DataFrame:
         """Links between classes that connect every component."""
-        spread = self.profiles.select("cid", "n", F.explode("shared").alias("element")).distinct()
-        held = cut(spread)
-        # The same centre for all elements of a group, as far as they have it: a hash of the class alone.
-        centre = F.min(F.struct(F.xxhash64("cid").alias("h"), "cid", "n")).alias("one")
+        spread = self.profiles.select("cid", "n", "own", F.posexplode("shared").alias("i", "element")).distinct()
+        held = cut(spread.select("cid", "n", "element", (F.col("own") + F.col("i")).alias("at"), (F.col("own") / F.col("n")).alias("apart")))
+        # The same centre for all elements of a group, as far as they have it: the class that has least of its own.
+        centre = F.min(F.struct("apart", F.xxhash64("cid").alias("h"), "cid", "n", "at")).alias("one")
         many = held.groupBy("element").agg(F.count("*").alias("m"), centre).where("m > 1")
-        members = cut(held.join(many, "element"))
-        star = members.where(F.col("cid") != F.col("one.cid")).select(
-            F.col("cid").alias("a"), F.col("n").alias("na"), F.col("one.cid").alias("b"), F.col("one.n").alias("nb")
-        )
-        near = cut(star.where(_lengths_allow("na", "nb")).select("a", "b").distinct())
+        members = cut(held.drop("apart").join(many, "element"))
+        star = members.where((F.col("cid") != F.col("one.cid")) & _may_link("n", "at", "one.n", "one.at"))
+        near = cut(star.select(F.col("cid").alias("a"), F.col("one.cid").alias("b")).distinct())
         first = cut(self.verified(near))
         labels = components(first)
         # Of an element with two classes nothing is left to compare, nor of one whose classes are one component.
-        larger = members.where("m > 2").select("element", "cid", "n", "m", F.col("one.cid").alias("centre"))
+        larger = members.where("m > 2").select("element", "cid", "n", "at", "m", F.col("one.cid").alias("centre"))
         named = labels.withColumnRenamed("node", "cid")
         told = larger.join(named, "cid").groupBy("element", "m").agg(F.count("*").alias("labelled"), F.min("label").alias("low"), F.max("label").alias("high"))
         done = told.where("labelled = m AND low = high").select("element")
@@ -409,34 +408,25 @@ class _Corpus:
         if not rest.take(1):
             return first
         classes = rest.select("cid").distinct().join(named, "cid", "left").select("cid", F.coalesce("label", "cid").alias("label"))
-        open_members = cut(rest.join(classes, "cid").select("element", "cid", "n", "label", "centre"))
+        open_members = cut(rest.join(classes, "cid").select("element", "cid", "n", "at", "label", "centre"))
         a, b = open_members.alias("x"), open_members.alias("y")
         across = (F.col("x.element") == F.col("y.element")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.label") != F.col("y.label"))
         # What was compared with the centre is known.
         fresh = (F.col("x.cid") != F.col("x.centre")) & (F.col("y.cid") != F.col("y.centre"))
-        met = a.join(b, across & fresh & _lengths_allow("x.n", "y.n")).select(
-            F.col("x.cid").alias("a"), F.col("y.cid").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")
-        )
-        counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
-        pairs = cut(counted.where(F.col("common") >= _least_common("na", "nb")).select("a", "b").join(near, ["a", "b"], "left_anti"))
+        met = a.join(b, across & fresh & _may_link("x.n", "x.at", "y.n", "y.at"))
+        pairs = cut(met.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct().join(near, ["a", "b"], "left_anti"))
         return cut(first.unionByName(self.verified(pairs)))
 
 
-def _lengths_allow(n: str, m: str):
-    top, bottom = LINK
-    return (F.least(n, m) * bottom >= F.greatest(n, m) * top).alias("fits")
-
-
-def _least_common(n: str, m: str):
-    """Prefix elements that a linking pair has in common, at least.
+def _may_link(n: str, i: str, m: str, j: str):
+    """Whether sets of ``n`` and ``m`` elements can link if an element at places ``i`` and ``j`` is the first that they share.
 
-    Common elements up to the end of the prefix that ends first lie in both prefixes; behind it
-    that set has no more than its rest.
+    What is before it is not common; so a linking pair passes at its first common element, if nowhere else.
     """
     top, bottom = LINK
-    need = F.ceil((F.col(n) + F.col(m)) * top / F.lit(float(top + bottom)))
-    rest = F.ceil(F.greatest(n, m) * top / F.lit(float(bottom))) - 1
-    return F.greatest(need - rest, F.lit(1))
+    left = F.least(F.col(n) - F.col(i), F.col(m) - F.col(j))
+    lengths = F.least(n, m) * bottom >= F.greatest(n, m) * top
+    return lengths & (left * (top + bottom) >= (F.col(n) + F.col(m)) * top)
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
