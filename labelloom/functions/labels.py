@@ -7,6 +7,8 @@ left side's. Every operator that changes labels therefore re-attaches them with
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -73,17 +75,35 @@ def remap_ids(tags: Column, new_ids: Sequence[int]) -> Column:
     return F.transform(tags, _lookup([int(i) for i in new_ids], "label id"))
 
 
+def _hash_table(names: Sequence[str]) -> Column:
+    """``names`` with their ids as an array of small maps, by CRC-32 of the name: a literal that is parsed once."""
+    buckets: list[dict[str, int]] = [{} for _ in range(max(1, len(names)))]
+    for i, n in enumerate(names):
+        buckets[zlib.crc32(n.encode("utf-8")) % len(buckets)].setdefault(n, i)
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+
+
+def _named(names: Sequence[str]):
+    """Function from a name column to its id that raises on unknown or null names; a lookup reads one bucket."""
+    table, n = _hash_table(names), max(1, len(names))
+
+    def at(name: Column) -> Column:
+        bucket = F.get(table, (F.crc32(name.cast("binary")) % n).cast("int"))
+        return F.coalesce(
+            F.try_element_at(bucket, name),
+            F.raise_error(F.concat(F.lit("unknown label: "), F.coalesce(name, F.lit("null")))).cast("int"),
+        )
+
+    return at
+
+
 def name_to_id(name: Column, names: Sequence[str]) -> Column:
     """Name -> id; an unknown name is an error."""
-    table = F.array(*[F.lit(n) for n in names])
-    position = F.array_position(table, name)
-    return F.when(position > 0, (position - 1).cast("int")).otherwise(
-        F.raise_error(F.concat(F.lit("unknown label: "), F.coalesce(name, F.lit("null"))))
-    )
+    return _named(names)(name)
 
 
 def names_to_ids(tags: Column, names: Sequence[str]) -> Column:
-    return F.transform(tags, lambda t: name_to_id(t, names))
+    return F.transform(tags, _named(names))
 
 
 def strip_iob(name: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.vectors import cosine
 from .lineage import cut_lineage
-from .positions import ROWS_PER_BUCKET, with_position
+from .positions import with_position
 
 HOT_SHARES = 1000
 
@@ -64,9 +64,7 @@ def pearson(df: DataFrame, x: str | Column, y: str | Column, name: str = "pearso
     return df.agg(F.corr(x, y).alias(name))
 
 
-def spearman(
-    df: DataFrame, x: str, y: str, name: str = "spearman", rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def spearman(df: DataFrame, x: str, y: str, name: str = "spearman", tasks: int | None = None) -> DataFrame:
     """Rank correlation with average ranks for ties.
 
     Ranks come from counts per distinct value, so a value that many rows share (a 0/1 gold label)
@@ -79,7 +77,7 @@ def spearman(
     ranked = points
     for axis in ("x", "y"):
         values = points.groupBy(axis).agg(F.sum("n").alias("_m"))
-        placed = with_position(values, axis, name="_less", rows_per_bucket=rows_per_bucket, weight="_m")
+        placed = with_position(values, axis, name="_less", weight="_m", tasks=tasks)
         ranks = placed.select(
             F.col(axis).alias("_value"), "_m", (F.col("_less") + (F.col("_m") + 1) / 2).alias(f"r{axis}")
         )
@@ -127,11 +125,32 @@ def sweep_dimensions(
     if max(dims) > largest:
         raise ValueError(f"the model has {largest} components, {max(dims)} asked for")
     both = reduce_embeddings(reduce_embeddings(pairs, model, u, "_ru"), model, v, "_rv")
-    scores = [
-        F.corr(cosine(F.slice("_ru", 1, k), F.slice("_rv", 1, k)), F.col(gold).cast("double")).alias(f"k{k}")
-        for k in dims
-    ]
-    wide = both.agg(*scores)
+    scored = running_cosines(both.select("_ru", "_rv", F.col(gold).cast("double").alias("_gold")), "_ru", "_rv", dims)
+    wide = scored.agg(*[F.corr(f"_c{k}", "_gold").alias(f"k{k}") for k in dims])
     return wide.select(
         F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("score")) for k in dims])).alias("s")
     ).select("s.*")
+
+
+def running_cosines(df: DataFrame, u: str, v: str, dims: Sequence[int]) -> DataFrame:
+    """Adds ``_c<k>``, the cosine of the leading ``k`` components, for every k of ``dims``.
+
+    Products are summed up between one k and the next, so each component is read once for all of them.
+    """
+    cuts = sorted(set(dims))
+    products = F.zip_with(u, v, lambda x, y: F.struct((x * y).alias("d"), (x * x).alias("a"), (y * y).alias("b")))
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in "dab"])
+
+    def part(start: int, stop: int) -> Column:
+        return F.aggregate(
+            F.slice("_products", start + 1, stop - start), zero, lambda s, x: F.struct(*[(s[c] + x[c]).alias(c) for c in "dab"])
+        )
+
+    # One projection after the other: what is used several times is worked out once.
+    parts = df.withColumn("_products", products).select(
+        *df.columns, *[part(start, stop).alias(f"_to{stop}") for start, stop in zip([0, *cuts], cuts)]
+    )
+    sums = {k: {c: sum((F.col(f"_to{x}")[c] for x in cuts if x <= k), F.lit(0.0)) for c in "dab"} for k in cuts}
+    return parts.select(
+        *df.columns, *[F.try_divide(sums[k]["d"], F.sqrt(sums[k]["a"]) * F.sqrt(sums[k]["b"])).alias(f"_c{k}") for k in cuts]
+    )

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import entity_ids, entity_sentences, id_to_name, label_names, strip_iob
 from ..functions.tokens import lowercase_some, sentence
-from .gather import row_bytes, small
-from .positions import ROWS_PER_BUCKET
+from .gather import row_bytes
+from .positions import small
 from .sampling import flag_every_kth
 
 SIMILAR = "similar"
@@ -87,7 +87,6 @@ def entity_pairs(
     split: str | None = None,
     augment_lower_case: int = 5,
     seed: int = 42,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Similar and not-similar pairs per split.
 
@@ -96,9 +95,8 @@ def entity_pairs(
     """
     by = [split] if split else []
     names = _names(df, tags, names)
-    flagged = flag_every_kth(
-        df.select(*by, order_by, tokens, tags), order_by, augment_lower_case, by, "_flag", rows_per_bucket
-    )
+    # Only the keys are ranked; tokens and tags are read where their pairs are made.
+    flagged = flag_every_kth(df.select(*by, order_by, tokens, tags), order_by, augment_lower_case, by, "_flag")
     augmented = F.when(
         F.col("_flag"), lowercase_some(F.col(tokens), seed, F.col(order_by))
     ).otherwise(F.col(tokens))

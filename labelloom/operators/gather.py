@@ -15,11 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .positions import ROWS_PER_BUCKET, with_position
+from .positions import shuffle_tasks, small, with_position
 
 #: Uses of one row that travel together. A row used a million times is split over 245 slots.
 USES_PER_SLOT = 4096
-BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def row_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -31,11 +30,6 @@ def row_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
     return bound
 
 
-def small(df: DataFrame, byte_bound: int) -> DataFrame:
-    """Broadcast only under a proven bound; beyond it Spark shuffles both sides."""
-    return F.broadcast(df) if byte_bound <= BROADCAST_BYTES else df
-
-
 def gather_pairs(
     df: DataFrame,
     pairs: DataFrame,
@@ -44,25 +38,27 @@ def gather_pairs(
     payload: dict[str, Column],
     sides: Sequence[str],
     group_by: Sequence[str] = (),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    total: int | None = None,
     key_bytes: int | None = None,
+    positions: DataFrame | None = None,
 ) -> DataFrame:
     """``pairs`` with a struct of ``payload`` columns per side, named like the side.
 
     For each side ``s``, ``pairs`` says which row stands there: ``s_idx`` (a position), ``s_<g>``
     for each group column, and ``s_slot``, which splits the uses of one row. ``pair_count`` bounds
-    its rows. ``order_by`` columns are unique in a group and not null. ``total`` (rows of ``df``)
-    and ``key_bytes`` (:func:`row_bytes` of its group and key columns) are measured if not given.
+    its rows. ``order_by`` columns are unique in a group and not null. ``key_bytes``
+    (:func:`row_bytes` of the group and key columns) is measured if not given, and ``positions`` (group
+    columns, key columns, ``idx``) are worked out.
     """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     groups = list(group_by)
-    if total is None or key_bytes is None:
-        total, key_bytes = df.agg(F.count("*"), row_bytes(df, [*groups, *keys])).first()
+    if key_bytes is None:
+        key_bytes = df.agg(row_bytes(df, [*groups, *keys])).first()[0]
+    if positions is None:
+        positions = with_position(df.select(*groups, *keys), keys, groups, "idx", unique=True)
     columns = df.select(*groups, *keys, *[c.alias(f"_p_{k}") for k, c in payload.items()])
     row = F.struct(*[F.col(f"_p_{k}").alias(k) for k in payload]).alias("_row")
     at = [*groups, "idx", "slot"]
-    rows = _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, rows_per_bucket, total, key_bytes)
+    rows = _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, positions, key_bytes)
     met = pairs
     for s in sides:
         met = met.join(
@@ -72,7 +68,7 @@ def gather_pairs(
     return met
 
 
-def _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, rows_per_bucket, total, key_bytes) -> DataFrame:
+def _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, positions, key_bytes) -> DataFrame:
     """The rows that ``pairs`` asks for, keyed by position and slot.
 
     The final repartition makes one exchange that the joins of all sides reuse, so the wide table
@@ -84,9 +80,7 @@ def _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, rows_per_
     )
     wanted = uses.select("use.*").distinct()
     byte_bound = pair_count * len(sides) * (key_bytes + 16)
-    here = with_position(columns.select(*groups, *keys), keys, groups, "idx", rows_per_bucket, total, unique=True)
-    placed = here.join(small(wanted, byte_bound), [*groups, "idx"]).select(*at, *keys)
+    placed = positions.join(small(wanted, byte_bound), [*groups, "idx"]).select(*at, *keys)
     rows = columns.select(*groups, *keys, row).join(small(placed, byte_bound), [*groups, *keys])
-    tasks = int(columns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = rows.select(*[F.col(c).alias(f"_{c}") for c in at], "_row")
-    return named.repartition(tasks, *[f"_{c}" for c in at])
+    return named.repartition(shuffle_tasks(columns), *[f"_{c}" for c in at])

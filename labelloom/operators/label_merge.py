@@ -7,7 +7,6 @@ then remapped by one literal lookup in a projection.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +20,10 @@ from ..functions.labels import (
     to_iob_name,
     with_label_names,
 )
-from .positions import ROWS_PER_BUCKET, largest_group, with_position
+from .lineage import cut_lineage
+from .positions import with_position, with_position_of_key
 from .schemas import cast_to_schema, concatenate, require_same_features, token_tag_schema
 
-COPIES_PER_CHUNK = 4096
-
 
 def merged_vocabulary(vocabularies: Sequence[Sequence[str]]) -> list[str]:
     """Names by new id: labels of all datasets sorted, then each dataset's others in its own order.
@@ -64,12 +62,13 @@ def label_union(catalog: DataFrame) -> DataFrame:
 
 
 def label_inventory(labels: DataFrame) -> DataFrame:
-    """Over ``model, id, label`` rows: how many distinct labels all models have, and which."""
-    return (
-        labels.select("label")
-        .distinct()
-        .agg(F.count("label").alias("n_labels"), F.array_sort(F.collect_list("label")).alias("labels"))
+    """Over ``model, id, label`` rows: every label with the models that have it and the ids it has there, and how many labels there are."""
+    found = (
+        labels.where(F.col("label").isNotNull())
+        .groupBy("label")
+        .agg(F.countDistinct("model").alias("n_models"), F.count("*").alias("n_ids"))
     )
+    return found.withColumn("n_labels", found.agg(F.count("*")).scalar())
 
 
 def iob_check(catalog: DataFrame) -> DataFrame:
@@ -104,13 +103,13 @@ def sorted_concat(
     datasets: Sequence[DataFrame],
     sort_by: str,
     tiebreak: Sequence[str] = (),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Datasets one after the other, each sorted by ``sort_by`` (nulls last), which is renumbered.
 
-    Rows of equal ``sort_by`` go by ``tiebreak`` columns, then by a hash of the row. If so many
-    rows share one value that it would fill a task (many null ids, many copies), equal rows are
-    first counted and then numbered together.
+    Rows of equal ``sort_by`` go by ``tiebreak`` columns, then by a hash of the row; rows that are equal in
+    everything are interchangeable. A stored number stands for each row, so that any number of copies or null ids is
+    spread over tasks. Whole rows are written once and get their place by that number; only keys are sorted.
     """
     columns = datasets[0].columns
     merged = concatenate(
@@ -119,46 +118,18 @@ def sorted_concat(
             for number, df in enumerate(datasets)
         ]
     )
-    sizes = {r["_part"]: r["count"] for r in merged.groupBy("_part").count().collect()}
-    lead = ["_part", "_last", sort_by, *tiebreak]
-    order = [*lead[1:], F.xxhash64(*columns)]
-    place = partial(with_position, group_by=["_part"], name="_first", rows_per_bucket=rows_per_bucket)
-    if isinstance(merged.schema[sort_by].dataType, T.IntegralType):
-        plain = [F.coalesce(F.col(sort_by).cast("long"), F.lit(2**63 - 1))]
-    else:
-        plain = lead[1:3]
-    total = sum(sizes.values())
-    if total <= rows_per_bucket or largest_group(merged, lead[:3], rows_per_bucket) <= rows_per_bucket:
-        placed = place(merged, order, total=total, bucket_by=plain)
-    elif tiebreak and largest_group(merged, lead, rows_per_bucket) <= rows_per_bucket:
-        placed = place(merged, order, total=total, bucket_by=lead[1:])
-    else:
-        counted = merged.groupBy(*merged.columns).agg(F.count("*").alias("_copies"))
-        placed = _numbered_copies(place(counted, order, weight="_copies"))
-    before = [sum(sizes.get(p, 0) for p in range(number)) for number in range(len(datasets))]
-    position = F.col("_first") + F.element_at(F.array(*[F.lit(n).cast("long") for n in before]), F.col("_part") + 1)
-    return placed.select(*[position.alias(c) if c == sort_by else F.col(c) for c in columns])
-
-
-def _numbered_copies(first: DataFrame) -> DataFrame:
-    """``_copies`` rows of each, numbered from ``_first``; chunks of copies are spread over tasks."""
-    tasks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = first.withColumn("_chunk", F.expr(f"explode(sequence(0L, (_copies - 1) div {COPIES_PER_CHUNK}))"))
-    copies = F.expr(
-        f"explode(sequence(_first + _chunk * {COPIES_PER_CHUNK},"
-        f" _first + least(_copies, (_chunk + 1) * {COPIES_PER_CHUNK}) - 1))"
-    )
-    return chunks.repartition(tasks, "_first", "_chunk").withColumn("_first", copies)
+    stored = cut_lineage(merged.withColumn("_number", F.monotonically_increasing_id()))
+    order = ["_part", "_last", sort_by, *tiebreak, "_look", "_number"]
+    keys = stored.select("_part", "_last", sort_by, *tiebreak, F.xxhash64(*columns).alias("_look"), "_number")
+    placed = with_position(keys, order, name="_place", tasks=tasks).select("_number", "_place")
+    found = with_position_of_key(stored, placed, ["_number"], 16, stored.count())
+    return found.select(*[F.col("_place").alias(c) if c == sort_by else F.col(c) for c in columns])
 
 
-def merge_reindexed(
-    datasets: Sequence[DataFrame],
-    tiebreak: Sequence[str] = (),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
+def merge_reindexed(datasets: Sequence[DataFrame], tiebreak: Sequence[str] = (), tasks: int | None = None) -> DataFrame:
     """Merge ``tokens, ner_tags, document_id`` datasets under one vocabulary, renumbered 0..n-1.
 
-    ``document_id`` is a 32-bit integer; more rows than that are an error of the cast.
+    ``document_id`` is a 64-bit integer.
     """
     names = merged_vocabulary([label_names(df, "ner_tags") for df in datasets])
     schema = token_tag_schema(names)
@@ -166,7 +137,7 @@ def merge_reindexed(
     if extra and not set(extra) <= set(tiebreak):
         raise ValueError(f"columns do not match: extra {extra}")
     moved = [remap_tags(df, names) for df in datasets]
-    merged = sorted_concat(moved, "document_id", tiebreak, rows_per_bucket)
+    merged = sorted_concat(moved, "document_id", tiebreak, tasks)
     return cast_to_schema(merged.select(*schema.names), schema)
 
 

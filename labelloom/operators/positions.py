@@ -1,30 +1,38 @@
 """Exact row positions (0, 1, 2, ...) without a single-task sort.
 
 ``row_number()`` over one unpartitioned window sorts the whole table in one task, and over
-``partitionBy(label)`` it sorts the largest label in one task. Here rows are first put into
-buckets that follow the order of the key, so a position is
+``partitionBy(label)`` it sorts the largest label in one task. Here the keys are range partitioned,
+sorted and written once, so that every task holds a stretch of the order. A position is
 
-    rows of the group in earlier buckets  +  row number inside (group, bucket)
+    rows of the group in earlier stretches  +  place in its own stretch
 
-The bucket is a pure function of the key: recomputing a lost task, or reading the input a second
-time, gives the same position. Hot groups are spread over all buckets.
+and what is before a stretch is a prefix sum over one row for each (group, stretch). A hot group
+is spread over as many stretches as its rows need. The written keys are read from then on: lost executors and repeated reads
+change nothing. There is one way for every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.draw import shuffle_hash
 from .lineage import cut_lineage
 
-ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 65_536
-SAMPLES_PER_BUCKET = 16
-EXACT_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+#: Bits of a row's place that count inside its stretch.
+PLACE_BITS = 33
+BROADCAST_BYTES = 128 * 1024 * 1024
+
+
+def small(df: DataFrame, byte_bound: int) -> DataFrame:
+    """Broadcast only under a proven bound; beyond it Spark shuffles both sides."""
+    return F.broadcast(df) if byte_bound <= BROADCAST_BYTES else df
+
+
+def shuffle_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def as_columns(cols: str | Column | Sequence[str | Column]) -> list[Column]:
@@ -33,88 +41,21 @@ def as_columns(cols: str | Column | Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def _range_bucket(df: DataFrame, key: Column, total: int, buckets: int) -> Column:
-    """Bucket number of a key, by quantiles of a sample of keys.
-
-    The boundaries decide balance only; any boundaries give the same positions.
-    """
-    wanted = buckets * SAMPLES_PER_BUCKET
-    sample = df.select(key.alias("k")).where(
-        F.pmod(F.xxhash64("k"), F.lit(max(1, total // wanted))) == 0
-    )
-    sampled = sample.agg(F.array_sort(F.collect_list("k")).alias("keys"))
-    step = F.greatest(F.lit(1), F.floor(F.size("keys") / F.lit(buckets)).cast("int"))
-    return _bucket_of(sampled.select(F.filter("keys", lambda k, i: (i > 0) & (i % step == 0)).alias("bounds")), key)
-
-
-def _bucket_of(bounds: DataFrame, key: Column) -> Column:
-    """Number of ``bounds`` (one row, a sorted array) not above a key.
-
-    Two levels of about sqrt(n) boundaries keep the per-row search short.
-    """
-    key_type = bounds.schema["bounds"].dataType
-    n = F.size("bounds")
-    width = F.greatest(F.lit(1), F.floor(F.sqrt(n)).cast("int"))
-    starts = F.filter(F.sequence(F.lit(0), n), lambda i: (i % width == 0) & (i < n))
-    row = bounds.select(
-        width.alias("width"),
-        F.to_json(F.filter("bounds", lambda _, i: i % width == 0), EXACT_JSON).alias("heads"),
-        F.to_json(F.transform(starts, lambda i: F.slice("bounds", i + 1, width)), EXACT_JSON).alias("blocks"),
-    ).first()
-    # JSON literals of a foldable expression: parsed once, by the optimizer.
-    heads = F.from_json(F.lit(row["heads"]), key_type, EXACT_JSON)
-    blocks = F.from_json(F.lit(row["blocks"]), T.ArrayType(key_type), EXACT_JSON)
-    block = F.size(F.filter(heads, lambda b: b <= key))
-    inside = F.size(F.filter(F.get(blocks, block - 1), lambda b: b <= key))
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * row["width"] + inside)
-
-
-def _from_buckets(
-    df: DataFrame,
-    bucket: Column,
-    order: list[Column],
-    group_by: Sequence[str],
-    name: str,
-    buckets: int,
-    weight: str | None = None,
-    unique: bool = False,
-) -> DataFrame:
-    keyed = df.withColumn("_bucket", bucket)
-    here = [*group_by, "_bucket"]
-    size = F.count("*") if weight is None else F.sum(weight)
-    sizes = keyed.groupBy(*here).agg(size.cast("long").alias("_n"))
-    # One row per (group, bucket), at most MAX_BUCKETS rows in any one group.
-    earlier = Window.partitionBy(*group_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *[F.col(c).alias(f"_o_{c}") for c in here],
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-    )
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if buckets > shuffle:
-        keyed = keyed.repartition(buckets, *here)
-    # Equal keys are in one bucket, so a repeated key follows its like.
-    inside = _before(Window.partitionBy(*here).orderBy(*order), weight, order if unique else ())
-    match = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in here]
-    return (
-        keyed.withColumn("_inside", inside)
-        .join(offsets, match)
-        .select(*df.columns, (F.col("_offset") + F.col("_inside")).alias(name))
-    )
-
-
-def _before(ordered: WindowSpec, weight: str | None, unique: Sequence[Column] = ()) -> Column:
-    """Rows, or their total weight, before the current row of a window; ``unique`` columns are checked."""
-    if weight is None:
-        number = F.row_number().over(ordered)
-        if unique:
-            key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(unique)])
-            wrong = F.coalesce(F.lag(key).over(ordered) == key, F.lit(False))
-            for c in unique:
-                wrong = wrong | c.isNull()
-            number = F.when(wrong, F.raise_error("keys must be unique and not null").cast("int")).otherwise(number)
-        return (number - 1).cast("long")
-    rows = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(weight).over(rows), F.lit(0)).cast("long")
+def _stretches(df: DataFrame, order: Sequence[Column], groups: Sequence[str], unique: bool, tasks: int | None) -> DataFrame:
+    """``df`` in stretches of its order, written once, with ``_at``: stretch number and place in it."""
+    keys = [f"_pos_k{i}" for i in range(len(order))]
+    sort = [*groups, *keys]
+    keyed = df.select("*", *[c.alias(k) for k, c in zip(keys, order)])
+    ranged = keyed.repartitionByRange(tasks or shuffle_tasks(df), *sort)
+    if unique:
+        # Equal keys are in one stretch, so this window needs no further exchange.
+        again = F.row_number().over(Window.partitionBy(*sort).orderBy(keys[0])) > 1
+        for k in keys:
+            again = again | F.col(k).isNull()
+        wrong = F.when(again, F.raise_error("keys must be unique and not null").cast("boolean")).otherwise(False)
+        ranged = ranged.withColumn("_pos_wrong", wrong).where(~F.col("_pos_wrong")).drop("_pos_wrong")
+    placed = ranged.sortWithinPartitions(*sort).withColumn("_pos_at", F.monotonically_increasing_id())
+    return cut_lineage(placed.drop(*keys))
 
 
 def with_position(
@@ -122,94 +63,79 @@ def with_position(
     order_by: str | Column | Sequence[str | Column],
     group_by: Sequence[str] = (),
     name: str = "idx",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    total: int | None = None,
     weight: str | None = None,
-    bucket_by: Sequence[str | Column] = (),
     unique: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row in its group, in the order of ``order_by``.
 
-    ``order_by`` must be unique inside a group and sorts ascending, nulls first. With a ``weight``
-    column the position is the total weight of the rows before. Counts the input when called,
-    unless ``total`` says how many rows it has; larger inputs also have their keys sampled.
-    ``bucket_by`` may give leading order columns, or something that rises with them, to make
-    buckets of, if the full key is costly and no value of the leading part has many rows.
-    With ``unique`` a null or repeated key is an error when the rows are read.
+    ``order_by`` sorts ascending, nulls first; equal keys take their positions in any order. With a
+    ``weight`` column the position is the total weight of the rows before. With ``unique`` a null or
+    repeated key in a group is an error. All columns of ``df`` are shuffled and written once, so give it the
+    key columns only. ``tasks`` is the number of stretches, as many as shuffle partitions if not given.
     """
-    order = as_columns(order_by)
-    total = df.count() if total is None else total
-    buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
-    if buckets <= 1:
-        return df.withColumn(name, _before(Window.partitionBy(*group_by).orderBy(*order), weight, order if unique else ()))
-    lead = as_columns(bucket_by) or order
-    key = lead[0] if len(lead) == 1 else F.struct(*[c.alias(f"k{i}") for i, c in enumerate(lead)])
-    bucket = _range_bucket(df, key, total, buckets)
-    return _from_buckets(df, bucket, order, group_by, name, buckets, weight, unique)
-
-
-def with_position_in_runs(
-    df: DataFrame, key: str, run: int, name: str = "idx", rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    """Positions in key order, with each ``run`` of consecutive rows in one partition.
+    groups = list(group_by)
+    stored = _stretches(df, as_columns(order_by), groups, unique, tasks).withColumn("_pos_stretch", F.shiftright("_pos_at", PLACE_BITS))
+    size = F.count("*") if weight is None else F.coalesce(F.sum(weight), F.lit(0))
+    # One row for each group of a stretch: as many as groups and stretches at most.
+    held = cut_lineage(stored.groupBy(*groups, "_pos_stretch").agg(F.min("_pos_at").alias("_pos_first"), size.cast("long").alias("_pos_n")))
+    if groups:
+        earlier = Window.partitionBy(*groups).orderBy("_pos_stretch").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = held.withColumn("_pos_offset", F.coalesce(F.sum("_pos_n").over(earlier), F.lit(0)))
+        strings = sum((F.coalesce(F.octet_length(F.col(g).cast("string")), F.lit(0)) for g in groups), F.lit(96))
+        bound = held.agg(F.coalesce(F.sum(strings.cast("long")), F.lit(0))).first()[0]
+    else:
+        offsets, bound = _running(held), 96 * held.count()
+    named = offsets.select(*[F.col(c).alias(f"_pos_o{c}") for c in [*groups, "_pos_stretch"]], "_pos_first", "_pos_offset")
+    match = [F.col(c).eqNullSafe(F.col(f"_pos_o{c}")) for c in [*groups, "_pos_stretch"]]
+    if weight is None:
+        inside = F.col("_pos_at") - F.col("_pos_first")
+    else:
+        before = Window.partitionBy(*groups, "_pos_stretch").orderBy("_pos_at").rowsBetween(Window.unboundedPreceding, -1)
+        stored = stored.withColumn("_pos_inside", F.coalesce(F.sum(weight).over(before), F.lit(0)).cast("long"))
+        inside = F.col("_pos_inside")
+    return stored.join(small(named, bound), match).select(*df.columns, (F.col("_pos_offset") + inside).alias(name))
+
+
+def _running(held: DataFrame) -> DataFrame:
+    """Totals before each stretch, by the driver: there is one row for each shuffle partition."""
+    found, before = [], 0
+    for r in sorted(held.select("_pos_stretch", "_pos_first", "_pos_n").collect()):
+        found.append((r["_pos_stretch"], r["_pos_first"], before))
+        before += r["_pos_n"]
+    return held.sparkSession.createDataFrame(found, "_pos_stretch long, _pos_first long, _pos_offset long")
+
 
-    Positions are first found on the keys alone, which are written once so that filters on the
-    wide columns are not repeated. The keys at multiples of a whole number of runs then bound the
-    buckets, so that the wide rows are read once more and shuffled once, straight to where their
-    run is put together.
+def with_position_of_key(df: DataFrame, positions: DataFrame, keys: Sequence[str], key_bytes: int, n: int) -> DataFrame:
+    """Wide rows with the positions found for their unique keys; small positions are broadcast, else both sides are shuffled."""
+    return df.join(small(positions, n * (key_bytes + 24)), list(keys))
+
+
+def with_position_in_runs(df: DataFrame, key: str, run: int, name: str = "idx", tasks: int | None = None) -> DataFrame:
+    """Positions in the order of a unique key, with each ``run`` of consecutive rows in one partition, in order.
+
+    Partitions follow the order: each holds a stretch of whole runs. Positions are found on the keys alone;
+    the wide rows get theirs by key and then move once to where their run is.
     """
+    # Written once: the filters on the wide columns are not worked out for every pass over the keys.
     keys = cut_lineage(df.select(key))
     total = keys.count()
-    if total <= rows_per_bucket:
-        return with_position(df, key, name=name, rows_per_bucket=rows_per_bucket, total=total)
-    stride = -(-max(rows_per_bucket, total // MAX_BUCKETS) // run) * run
-    narrow = with_position(keys, key, name="_pos", rows_per_bucket=rows_per_bucket, total=total)
-    starts = narrow.where((F.col("_pos") % stride == 0) & (F.col("_pos") > 0))
-    bounds = starts.agg(F.array_sort(F.collect_list(key)).alias("bounds"))
-    keyed = df.withColumn("_bucket", _bucket_of(bounds, F.col(key)).cast("long"))
-    spread = keyed.repartition(-(-total // stride), "_bucket")
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
-    return spread.select(*df.columns, (F.col("_bucket") * stride + rank).alias(name))
-
-
-def with_shuffled_position(
-    df: DataFrame,
-    key: str | Sequence[str],
-    seed: int,
-    name: str = "idx",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
-    """Add a position in a reproducible shuffle of the rows.
-
-    The leading hex digits of the shuffle hash are even buckets already, so nothing is sampled.
-    """
-    keys = as_columns(key)
-    total = df.count()
-    digits = 0
-    while 16**digits * rows_per_bucket < total and 16**digits < MAX_BUCKETS:
-        digits += 1
-    hashed = df.withColumn("_h", shuffle_hash(seed, *keys))
-    order = [F.col("_h"), *keys]
-    if digits == 0:
-        ranked = hashed.withColumn(name, _before(Window.partitionBy().orderBy(*order), None))
-    else:
-        ranked = _from_buckets(hashed, F.substring("_h", 1, digits), order, (), name, 16**digits)
-    return ranked.select(*df.columns, name)
+    placed = with_position(keys, key, name=name, unique=True, tasks=tasks)
+    widest = F.coalesce(F.max(F.octet_length(F.col(key).cast("string"))), F.lit(0)) + 48
+    met = with_position_of_key(df, placed, [key], keys.agg(widest).first()[0], total)
+    parts = tasks or shuffle_tasks(df)
+    stride = max(1, -(-total // (parts * run))) * run
+    spread = met.repartitionById(max(1, -(-total // stride)), (F.col(name) / stride).cast("int"))
+    return spread.sortWithinPartitions(name).select(*df.columns, name)
 
 
-def largest_group(df: DataFrame, by: Sequence[str], about: int) -> int:
-    """Estimated rows of the largest group, good enough to tell groups of ``about`` rows."""
-    fraction = min(1.0, 1000 / about)
-    found = df.select(*by).sample(fraction, seed=7).groupBy(*by).count().agg(F.max("count")).first()[0]
-    return int((found or 0) / fraction)
+def with_shuffled_position(df: DataFrame, key: str | Sequence[str], seed: int, name: str = "idx", tasks: int | None = None) -> DataFrame:
+    """Add a position in a reproducible shuffle of the rows to a table of unique keys."""
+    keys = as_columns(key)
+    hashed = df.withColumn("_pos_h", shuffle_hash(seed, *keys))
+    return with_position(hashed, [F.col("_pos_h"), *keys], name=name, unique=True, tasks=tasks).select(*df.columns, name)
 
 
-def first_in_order(
-    df: DataFrame, order_by: str | Column | Sequence[str | Column], n: int, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def first_in_order(df: DataFrame, order_by: str | Column | Sequence[str | Column], n: int, tasks: int | None = None) -> DataFrame:
     """The first ``n`` rows in the order of ``order_by``, without gathering them in one task."""
-    return (
-        with_position(df, order_by, name="_pos", rows_per_bucket=rows_per_bucket)
-        .where(F.col("_pos") < n)
-        .drop("_pos")
-    )
+    return with_position(df, order_by, name="_pos", tasks=tasks).where(F.col("_pos") < n).drop("_pos")

@@ -18,15 +18,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.draw import draw
 from ..functions.labels import OUTSIDE, entity_ids, entity_sentences, label_names, same_tag_at_same_position
 from ..functions.tokens import sentence
+from .disjoint_draws import disjoint_draws
 from .entity_pairs import NOT_SIMILAR, SIMILAR, similar_entity_pairs
 from .gather import USES_PER_SLOT, gather_pairs, row_bytes
 from .lineage import cut_lineage
-from .positions import ROWS_PER_BUCKET, first_in_order
-
-DRAWS_PER_PAIR = 64
+from .positions import shuffle_tasks, with_position, with_position_of_key
 
 
 def _anchor(q: int, n: int) -> tuple[int, int]:
@@ -47,7 +45,6 @@ def pair_page(
     first: int,
     count: int,
     payload: dict[str, Column],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Pairs ``first <= number < first + count`` as ``i, j, a, b`` with a struct per row."""
     if first < 0 or count < 0:
@@ -68,7 +65,6 @@ def pair_page(
     # Numbers below are relative to the first pair of row i0, so they stay within a page.
     d = F.col("id")
     begin = d * (n - 1 - i0) - F.expr("id * (id - 1) div 2")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = (
         anchors.select(
             (d + i0).alias("i"),
@@ -78,7 +74,7 @@ def pair_page(
         )
         .where("lo < hi")
         .withColumn("slot", F.expr(f"explode(sequence(lo div {USES_PER_SLOT}, (hi - 1) div {USES_PER_SLOT}))"))
-        .repartition(tasks, "i", "slot")
+        .repartition(shuffle_tasks(df), "i", "slot")
         .withColumn(
             "j",
             F.explode(
@@ -97,7 +93,7 @@ def pair_page(
         F.col("j").alias("b_idx"),
         F.col("block").alias("b_slot"),
     )
-    met = gather_pairs(df, placed, count, order_by, payload, ["a", "b"], (), rows_per_bucket, *measured)
+    met = gather_pairs(df, placed, count, order_by, payload, ["a", "b"], (), measured[1])
     return met.select("i", "j", "a", "b")
 
 
@@ -106,7 +102,6 @@ def next_pairs(
     order_by: str | Sequence[str],
     partners: int,
     payload: dict[str, Column],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Every row with its next ``partners`` rows, as ``i, j, a, b`` with a struct per row."""
     if partners < 1:
@@ -130,28 +125,28 @@ def next_pairs(
         slot.alias("b_slot"),
     )
     met = gather_pairs(
-        df, placed, total * min(partners, total), order_by, payload, ["a", "b"], (), rows_per_bucket, total, key_bytes
+        df, placed, total * min(partners, total), order_by, payload, ["a", "b"], (), key_bytes
     )
     return met.select("i", "j", "a", "b")
 
 
-def _met(df, order_by, first, count, partners, payload, rows_per_bucket) -> DataFrame:
+def _met(df, order_by, first, count, partners, payload) -> DataFrame:
     if partners is not None:
         if first is not None or count is not None:
             raise ValueError("give either partners or first and count")
-        return next_pairs(df, order_by, partners, payload, rows_per_bucket)
+        return next_pairs(df, order_by, partners, payload)
     if first is None or count is None:
         raise ValueError("give either partners or first and count")
-    return pair_page(df, order_by, first, count, payload, rows_per_bucket)
+    return pair_page(df, order_by, first, count, payload)
 
 
-def _tagged_rows(df, order_by, first, count, partners, names, tokens, tags, rows_per_bucket) -> DataFrame:
+def _tagged_rows(df, order_by, first, count, partners, names, tokens, tags) -> DataFrame:
     payload = {
         "tags": F.col(tags),
         "sentence": sentence(F.col(tokens)),
         "entities": entity_sentences(F.col(tags), names),
     }
-    return _met(df, order_by, first, count, partners, payload, rows_per_bucket)
+    return _met(df, order_by, first, count, partners, payload)
 
 
 def _positional_label(names: Sequence[str]) -> Column:
@@ -168,12 +163,11 @@ def row_pairs(
     names: Sequence[str] | None = None,
     tokens: str = "tokens",
     tags: str = "ner_tags",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
     partners: int | None = None,
 ) -> DataFrame:
     """Row pairs, similar if some position holds the same tag other than ``O``."""
     names = list(names) if names is not None else label_names(df, tags)
-    met = _tagged_rows(df, order_by, first, count, partners, names, tokens, tags, rows_per_bucket)
+    met = _tagged_rows(df, order_by, first, count, partners, names, tokens, tags)
     return met.select(
         F.col("a.sentence").alias("sentence1"),
         F.col("b.sentence").alias("sentence2"),
@@ -189,7 +183,6 @@ def row_pairs_with_entities(
     names: Sequence[str] | None = None,
     tokens: str = "tokens",
     tags: str = "ner_tags",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
     partners: int | None = None,
 ) -> DataFrame:
     """Row pairs, each followed by the entity pairs of both rows.
@@ -198,7 +191,7 @@ def row_pairs_with_entities(
     first and second row in name order.
     """
     names = list(names) if names is not None else label_names(df, tags)
-    met = _tagged_rows(df, order_by, first, count, partners, names, tokens, tags, rows_per_bucket)
+    met = _tagged_rows(df, order_by, first, count, partners, names, tokens, tags)
 
     def entities(side: str, block: int) -> Column:
         return F.transform(
@@ -251,7 +244,6 @@ def dissimilar_from_pairs(
     order_by: str | Sequence[str],
     first: int | None = None,
     count: int | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
     partners: int | None = None,
 ) -> DataFrame:
     """Pairs of pairs p, q (p before q): first sentence of p, second sentence of q.
@@ -259,7 +251,7 @@ def dissimilar_from_pairs(
     Partners and pair numbers count all (p, q); those whose two pairs are both similar give nothing.
     """
     payload = {c: F.col(c) for c in ("sentence1", "sentence2", "label")}
-    met = _met(pairs, order_by, first, count, partners, payload, rows_per_bucket)
+    met = _met(pairs, order_by, first, count, partners, payload)
     both_similar = F.coalesce((F.col("a.label") == SIMILAR) & (F.col("b.label") == SIMILAR), F.lit(False))
     return met.where(~both_similar).select(
         F.col("a.sentence1").alias("sentence1"),
@@ -276,7 +268,6 @@ def all_row_pairs(
     names: Sequence[str] | None = None,
     tokens: str = "tokens",
     tags: str = "ner_tags",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
     partners: int | None = None,
 ) -> DataFrame:
     """Row pairs, their entity pairs, and the dissimilar pairs made from that sequence.
@@ -285,13 +276,39 @@ def all_row_pairs(
     the two. The sequence is written once: it is counted, ordered and read twice.
     """
     made = cut_lineage(
-        row_pairs_with_entities(df, order_by, *row_page, names, tokens, tags, rows_per_bucket, partners)
+        row_pairs_with_entities(df, order_by, *row_page, names, tokens, tags, partners)
     )
     columns = ["sentence1", "sentence2", "label"]
-    more = dissimilar_from_pairs(made, ["i", "j", "block", "nth"], *pair_page, rows_per_bucket, partners)
+    more = dissimilar_from_pairs(made, ["i", "j", "block", "nth"], *pair_page, partners)
     return made.select(*columns).unionByName(more)
 
 
+def dissimilar_pair_counts(pairs: DataFrame, order_by: str | Sequence[str], tasks: int | None = None) -> DataFrame:
+    """What :func:`dissimilar_from_pairs` makes of *all* pairs of pairs, as ``side, sentence, n_pairs``.
+
+    How often a sentence stands first (or second) among the pairs made: for each pair the later (or
+    earlier) ones that it meets are counted by prefix sums, so the whole result takes space in proportion to the
+    pairs. Each side sums up to C(P, 2) - C(S, 2) for P pairs of which S are similar.
+    """
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    similar = F.coalesce((F.col("label") == SIMILAR).cast("long"), F.lit(0)).alias("_similar")
+    ranked = with_position(pairs.select(*keys, similar), keys, name="_at", unique=True, tasks=tasks)
+    placed = cut_lineage(with_position(ranked, keys, name="_before", weight="_similar", tasks=tasks))
+    n, n_similar, key_bytes = placed.agg(F.count("*"), F.coalesce(F.sum("_similar"), F.lit(0)), row_bytes(placed, keys)).first()
+    alike = F.col("_similar") == 1
+    earlier, later = F.col("_at"), n - 1 - F.col("_at")
+    first = later - F.when(alike, n_similar - F.col("_before") - 1).otherwise(0)
+    second = earlier - F.when(alike, F.col("_before")).otherwise(0)
+    counted = placed.select(*keys, first.alias("_first"), second.alias("_second"))
+    met = with_position_of_key(pairs.select(*keys, "sentence1", "sentence2"), counted, keys, key_bytes + 16, n)
+    sides = F.array(
+        F.struct(F.lit("first").alias("side"), F.col("sentence1").alias("sentence"), F.col("_first").alias("n")),
+        F.struct(F.lit("second").alias("side"), F.col("sentence2").alias("sentence"), F.col("_second").alias("n")),
+    )
+    told = met.select(F.explode(sides).alias("s")).select("s.*").where("n > 0")
+    return told.groupBy("side", "sentence").agg(F.sum("n").alias("n_pairs"))
+
+
 def random_dissimilar_pairs(
     df: DataFrame,
     num_pairs: int,
@@ -300,53 +317,25 @@ def random_dissimilar_pairs(
     tokens: str = "tokens",
     tags: str = "ner_tags",
     seed: int = 42,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``num_pairs`` random pairs of rows that share no tag other than ``O``.
 
-    Numbered draws pick two different rows each; the first ``num_pairs`` draws whose rows share
-    nothing are kept. More are drawn until there are enough. Running out of draws is an error, not
-    a short result.
+    Independent draws from all such ordered pairs, each as likely as any other. That there is none is an
+    error; see :mod:`disjoint_draws`. Rows without tags, and null tags, share nothing with any row.
     """
     names = list(names) if names is not None else label_names(df, tags)
-    n = df.count()
-    if num_pairs > 0 and n < 2:
-        raise ValueError("row pairs need at least two rows")
-    spark = df.sparkSession
-    draws = 2 * num_pairs
-    while True:
-        numbered = spark.range(draws).withColumnRenamed("id", "c")
-        drawn = _drawn_rows(numbered, n, seed)
-        met = _gather_drawn(df, n, drawn, draws, order_by, {"ids": entity_ids(F.col(tags), names)}, rows_per_bucket)
-        share = F.arrays_overlap(F.col("a.ids"), F.col("b.ids"))
-        # Draw numbers only; written once because they are counted, ordered and joined.
-        kept = cut_lineage(met.where(~F.coalesce(share, F.lit(False))).select("c"))
-        if kept.count() >= num_pairs:
-            break
-        if draws >= DRAWS_PER_PAIR * num_pairs:
-            raise ValueError(f"{draws} draws gave fewer than {num_pairs} dissimilar pairs")
-        draws *= 4
-    chosen = _drawn_rows(first_in_order(kept, "c", num_pairs, rows_per_bucket), n, seed)
-    out = _gather_drawn(df, n, chosen, num_pairs, order_by, {"sentence": sentence(F.col(tokens))}, rows_per_bucket)
+    ids = F.array_sort(F.array_compact(entity_ids(F.col(tags), names)))
+    rows = df.withColumn("set", F.coalesce(F.array_join(ids.cast("array<string>"), ","), F.lit("")))
+    positions = with_position(rows.select("set", order_by), order_by, ["set"], unique=True, tasks=tasks)
+    drawn = disjoint_draws(positions, num_pairs, seed, tasks)
+    # A row that is drawn very often is split over slots of draws.
+    slot = F.expr(f"c div {USES_PER_SLOT}")
+    placed = cut_lineage(drawn.select("c", "a_set", "a_idx", slot.alias("a_slot"), "b_set", "b_idx", slot.alias("b_slot")))
+    payload = {"sentence": sentence(F.col(tokens))}
+    out = gather_pairs(rows, placed, num_pairs, order_by, payload, ["a", "b"], ["set"], positions=positions)
     return out.select(
         F.col("a.sentence").alias("sentence1"),
         F.col("b.sentence").alias("sentence2"),
         F.lit(NOT_SIMILAR).alias("label"),
     )
-
-
-def _drawn_rows(numbered: DataFrame, n: int, seed: int) -> DataFrame:
-    """Two different positions per draw number."""
-    other = draw(seed, "b", F.col("c")) % max(1, n - 1)
-    return numbered.withColumn("i", draw(seed, "a", F.col("c")) % max(1, n)).withColumn(
-        "j", F.when(other >= F.col("i"), other + 1).otherwise(other)
-    )
-
-
-def _gather_drawn(df, n, drawn, pair_count, order_by, payload, rows_per_bucket) -> DataFrame:
-    """Draws spread evenly over the rows, so slots only matter if the rows are a handful."""
-    slot = F.expr(f"c div {USES_PER_SLOT} div {max(1, n)}")
-    placed = drawn.select(
-        "c", F.col("i").alias("a_idx"), slot.alias("a_slot"), F.col("j").alias("b_idx"), slot.alias("b_slot")
-    )
-    return gather_pairs(df, placed, pair_count, order_by, payload, ["a", "b"], (), rows_per_bucket)

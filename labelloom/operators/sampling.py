@@ -3,7 +3,7 @@
 Splits and samples need no shuffle of the data: the rank where a cut falls is turned into the
 (hash, key) value of the row at that rank, and every row is then compared with that value where it
 is read. Finding the value reads the key column a few times, so the input should be a stored table
-(or one whose keys are cheap), not the result of a long job.
+(or one whose keys are cheap), not the result of a long job. Small samples are taken in one read.
 """
 
 from __future__ import annotations
@@ -13,15 +13,19 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draw import shuffle_hash
-from .positions import ROWS_PER_BUCKET, as_columns, with_position, with_shuffled_position
+from .gather import row_bytes
+from .lineage import cut_lineage
+from .positions import as_columns, shuffle_tasks, small, with_position, with_position_of_key, with_shuffled_position
 
 PREFIX_DIGITS = 3  # 4,096 counters per level reach the driver
 ROWS_TO_SORT = 10_000
 HASH_DIGITS = 32
+#: Rows of a sample that a task can hold whole.
+SMALL_SAMPLE = 10_000
 
 SPLIT_70_15_15 = {"train": 0.70, "validation": 0.15, "test": 0.15}
 SPLIT_80_10_10 = {"train": 0.80, "validation": 0.10, "test": 0.10}
@@ -103,8 +107,36 @@ def assign_splits(
     )
 
 
+def _least(df: DataFrame, key: str | Sequence[str], n: int, seed: int) -> DataFrame:
+    """The ``n`` rows of least hash, from one read of ``df``, written once.
+
+    Every task keeps its ``n`` least rows, groups of tasks merge theirs, and the last task merges those of the groups.
+    """
+    keys = as_columns(key)
+    # Made beside the rows: the key may be a column of any name.
+    named = df.select("*", shuffle_hash(seed, *keys).alias("_h"), *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
+    order = ["_h", *[f"_k{i}" for i in range(len(keys))]]
+    null = reduce(or_, [F.col(k).isNull() for k in order[1:]])
+    checked = named.withColumn("_h", F.when(null, F.raise_error("sampling keys must not be null")).otherwise(F.col("_h")))
+    groups = math.isqrt(shuffle_tasks(df) - 1) + 1
+    grouped = checked.withColumn("_group", F.spark_partition_id() % groups)
+    kept = grouped.withColumn("_r", F.row_number().over(Window.partitionBy("_group").orderBy(*order))).where(F.col("_r") <= n)
+    sample = cut_lineage(kept.drop("_group", "_r").orderBy(*order).limit(n))
+    if sample.groupBy(*order[1:]).count().where("count > 1").take(1):
+        raise ValueError("sampling keys must be unique")
+    return sample.select(*df.columns)
+
+
 def sample_exactly(df: DataFrame, key: str | Sequence[str], n: int = 20, seed: int = 42) -> DataFrame:
-    """``n`` random rows without replacement; an error if there are fewer."""
+    """``n`` random rows without replacement; an error if there are fewer.
+
+    Up to ``SMALL_SAMPLE`` rows are found in one read of ``df``; for more, keys are counted first.
+    """
+    if 0 < n <= SMALL_SAMPLE:
+        sample = _least(df, key, n, seed)
+        if (found := sample.count()) < n:
+            raise ValueError(f"cannot sample {n} rows from {found}")
+        return sample
     order = _ShuffleOrder(df, key, seed)
     if order.total < n:
         raise ValueError(f"cannot sample {n} rows from {order.total}")
@@ -113,6 +145,8 @@ def sample_exactly(df: DataFrame, key: str | Sequence[str], n: int = 20, seed: i
 
 def sample_up_to(df: DataFrame, key: str | Sequence[str], n: int = 100_000, seed: int = 42) -> DataFrame:
     """The first ``n`` rows of the shuffle, or all rows if there are fewer."""
+    if 0 < n <= SMALL_SAMPLE:
+        return _least(df, key, n, seed)
     return df.where(_ShuffleOrder(df, key, seed).before(n))
 
 
@@ -121,12 +155,17 @@ def shuffled_batches(
     key: str | Sequence[str],
     batch_size: int = 32,
     seed: int = 42,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Add ``batch_id`` and ``batch_pos``: shuffled mini-batches, the last one possibly short."""
+    """Add ``batch_id`` and ``batch_pos``: shuffled mini-batches, the last one possibly short.
+
+    ``key`` names unique columns. Only keys are ranked; the rows get their place by key.
+    """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    placed = with_shuffled_position(df, key, seed, "_pos", rows_per_bucket)
+    keys = [key] if isinstance(key, str) else list(key)
+    positions = with_shuffled_position(df.select(*keys), keys, seed, "_pos", tasks)
+    placed = with_position_of_key(df, positions, keys, *_key_size(df, keys))
     return placed.select(
         *df.columns,
         F.floor(F.col("_pos") / batch_size).cast("long").alias("batch_id"),
@@ -140,10 +179,24 @@ def flag_every_kth(
     k: int,
     group_by: Sequence[str] = (),
     name: str = "flagged",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Flag rows 0, k, 2k, ... of each group."""
+    """Flag rows 0, k, 2k, ... of each group.
+
+    ``order_by`` names columns that are unique in a group. Only keys are ranked, and the one in k that is
+    flagged is joined back.
+    """
     if k <= 0:
         raise ValueError("k must be positive")
-    placed = with_position(df, order_by, group_by, "_pos", rows_per_bucket)
-    return placed.withColumn(name, F.col("_pos") % k == 0).drop("_pos")
+    keys, groups = [order_by] if isinstance(order_by, str) else list(order_by), list(group_by)
+    placed = with_position(df.select(*groups, *keys), keys, groups, "_pos", unique=True, tasks=tasks)
+    chosen = placed.where(F.col("_pos") % k == 0).select(*[F.col(c).alias(f"_f{c}") for c in (*groups, *keys)], F.lit(True).alias("_hit"))
+    match = [F.col(c).eqNullSafe(F.col(f"_f{c}")) for c in (*groups, *keys)]
+    key_bytes, n = _key_size(df, [*groups, *keys])
+    met = df.join(small(chosen, -(-n // k) * (key_bytes + 24)), match, "left")
+    return met.select(*df.columns, F.coalesce("_hit", F.lit(False)).alias(name))
+
+
+def _key_size(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Bytes that a key takes at most, and rows."""
+    return tuple(df.agg(row_bytes(df, keys), F.count("*")).first())

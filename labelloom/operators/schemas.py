@@ -134,7 +134,7 @@ def token_tag_schema(names: Sequence[str]) -> T.StructType:
         [
             T.StructField("tokens", T.ArrayType(T.StringType())),
             T.StructField("ner_tags", T.ArrayType(T.IntegerType()), metadata={NAMES: list(names)}),
-            T.StructField("document_id", T.IntegerType()),
+            T.StructField("document_id", T.LongType()),
         ]
     )
 

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draw import draw
-from .gather import USES_PER_SLOT, gather_pairs, row_bytes, small
+from .gather import USES_PER_SLOT, gather_pairs, row_bytes
 from .lineage import cut_lineage
-from .positions import ROWS_PER_BUCKET, with_position
+from .positions import small, with_position
 
 SIMILAR = "similar"
 DISSIMILAR = "dissimilar"
@@ -49,7 +49,6 @@ def text_pairs(
     partners: int = PARTNERS,
     seed: int = 42,
     kinds: Sequence[str] = (SIMILAR, DISSIMILAR),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
     pair_key: str | None = None,
 ) -> DataFrame:
     """``(split,) sentence1, sentence2, label`` pairs, ``partners`` of each kind for a row.
@@ -77,7 +76,9 @@ def text_pairs(
         "label_rank", (F.row_number().over(Window.partitionBy(*by).orderBy(label)) - 1).cast("long")
     )
     plan_bytes = facts["labels"] * (64 + facts["bytes"])
-    placed = with_position(rows.select(*by, label, order_by), order_by, [*by, label], "i", rows_per_bucket, facts["rows"])
+    # Found once, for the pairs and for the rows that they fetch.
+    positions = with_position(rows.select(*by, label, order_by), order_by, [*by, label], unique=True)
+    placed = positions.withColumnRenamed("idx", "i")
     reach = F.least(F.lit(partners).cast("long"), F.col("n_examples") - 1)
     pairs = (
         placed.drop(order_by)
@@ -114,9 +115,8 @@ def text_pairs(
         {"text": F.col(text)},
         sides,
         [*by, label],
-        rows_per_bucket,
-        facts["rows"],
         facts["bytes"],
+        positions,
     )
     made = []
     if SIMILAR in kinds:

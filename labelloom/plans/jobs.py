@@ -11,7 +11,7 @@ from ..operators.label_merge import merge_reindexed
 from ..operators.sampling import SPLIT_70_15_15, assign_splits
 from ..operators.text_pairs import PARTNERS, text_pairs
 from ..operators.training import training_examples
-from ..sources.tables import SPLIT, read_dataset, read_split, write_dataset, write_versioned
+from ..sources.tables import SPLIT, UNCITED, UNDESCRIBED, read_dataset, read_split, write_dataset, write_versioned
 from ..sources.text_files import LINES_PER_FILE, write_text_files
 
 
@@ -46,8 +46,8 @@ def build_entity_pairs(
 def merge_and_save(
     datasets: Sequence[DataFrame],
     output_dir: str,
-    description: str = "No description provided",
-    citation: str = "No citation provided",
+    description: str = UNDESCRIBED,
+    citation: str = UNCITED,
     tiebreak: Sequence[str] = (),
     fractions: dict[str, float] = SPLIT_70_15_15,
     seed: int = 42,

@@ -175,10 +175,20 @@ _ROW_PAIR_SEQUENCE = f"""
         union all select i, j, 1, s1, unnest(e1), 'similar' from rp
         union all select i, j, 2, s2, unnest(e2), 'similar' from rp)"""
 
+_FILES = """r as (select *, row_number() over (partition by dataset order by k)-1 as r from d),
+        f as (select dataset, r//{0} as file_index, string_agg(value||chr(10), '' order by r) as content from r group by dataset, r//{0})"""
+
+_ENTITY_PAIRS = f"""with g as (select *, row_number() over (partition by split order by document_id)-1 as r from ({_entities(_SPLIT_IOB)})),
+        a as (select split, ents, case when r%5=0 then array_to_string(list_transform(tokens, lambda t, i:
+            case when {_draw("'42|l|'||document_id||'|'||(i-1)")}%2=0 then lower(t) else t end), ' ') else sentence end as said from g),
+        v as (select distinct split, unnest(ents) as e from g)
+        select split, said as sentence1, unnest(ents) as sentence2, 'similar' as label from a
+        union all select g.split, sentence, e, 'not_similar' from g join v on v.split=g.split where not list_contains(ents, e)"""
+
 ORACLES: dict[str, str] = {
     "saved_dataset": f"""select doc_id, text, lang from ({_split("select doc_id, text, lang from documents", "doc_id")}) where split='validation'""",
     "merged_and_saved": f"""with m as (select row_number() over (order by part, document_id)-1 as id, len(tokens) as n
-            from ({_merged_ids(["user", "assistant"], ROLE_NAMES, _TWO)})),
+            from ({_merged_ids(_ROLES, ROLE_NAMES, _THREE)})),
         s as ({_split("select id, n as k from m", "id")})
         select split, count(*) as n_rows, sum(id) as sum_id, sum(k) as n_tokens, 'merged_dataset_1' as directory,
             'roles' as description from s group by split""",
@@ -187,11 +197,14 @@ ORACLES: dict[str, str] = {
     "text_chunks": """select (r//500) as file_index, r%500 as line, text as value from
         (select text, row_number() over (order by doc_id)-1 as r from documents where text is not null and text<>'')""",
     "text_files_written": f"""with d as (
-          select 'documents' as dataset, doc_id as k, replace(replace(text, chr(13), ' '), chr(10), ' ') as value from documents where text<>''
-          union all select 'conversations', document_id, replace(replace(array_to_string(tokens,' '), chr(13), ' '), chr(10), ' ') from ({PLAIN})
-            where array_to_string(tokens,' ')<>''),
-        r as (select *, row_number() over (partition by dataset order by k)-1 as r from d)
-        select dataset, r//100 as file_index, count(*) as n_lines, sum(length(value)) as n_chars from r group by all""",
+          select 'documents' as dataset, doc_id as k, text as value from documents where text<>''
+          union all select 'conversations', document_id, array_to_string(tokens,' ') from ({PLAIN}) where array_to_string(tokens,' ')<>''),
+        {_FILES.format(100)} select dataset, file_index, length(content) as n_chars, md5(content) as digest from f""",
+    "saved_text_files": f"""with d as (select 'docs' as dataset, doc_id as k, text as value
+          from ({_split("select doc_id, text from documents", "doc_id")}) where split='train' and text<>''),
+        {_FILES.format(50)} select dataset, file_index, md5(content) as digest from f""",
+    "saved_text_pairs": f"with {_TURN_PAIRS} select * from similar_pairs union all select * from dissimilar_pairs",
+    "saved_entity_pairs": _ENTITY_PAIRS,
     "split_text_class": f"""with c as ({_CLASS_IDS}) select 1 as part, doc_id, label from c where label in (0,1)
         union all select 2, doc_id, label from c where label in (1,2)""",
     "split_token_tags": f"""with c as ({PLAIN}) select 1 as part, document_id, {_text("ner_tags")} as tags from c where list_has_any(ner_tags,[1,2])
@@ -224,12 +237,7 @@ ORACLES: dict[str, str] = {
     "similar_entity_pairs": f"select sentence as sentence1, unnest(ents) as sentence2, 'similar' as label from ({_entities(IOB)})",
     "dissimilar_entity_pairs": f"""with g as ({_entities(IOB)}), v as (select distinct unnest(ents) as e from g)
         select sentence as sentence1, e as sentence2, 'not_similar' as label from g, v where not list_contains(ents, e)""",
-    "entity_pairs_by_split": f"""with g as (select *, row_number() over (partition by split order by document_id)-1 as r from ({_entities(_SPLIT_IOB)})),
-        a as (select split, ents, case when r%5=0 then array_to_string(list_transform(tokens, lambda t, i:
-            case when {_draw("'42|l|'||document_id||'|'||(i-1)")}%2=0 then lower(t) else t end), ' ') else sentence end as said from g),
-        v as (select distinct split, unnest(ents) as e from g)
-        select split, said as sentence1, unnest(ents) as sentence2, 'similar' as label from a
-        union all select g.split, sentence, e, 'not_similar' from g join v on v.split=g.split where not list_contains(ents, e)""",
+    "entity_pairs_by_split": _ENTITY_PAIRS,
     "row_pairs": f"""with g as (select *, row_number() over (order by document_id)-1 as idx from ({PLAIN})),
         f as (select *, idx + unnest(range(1, {PARTNERS}+1)) as other from g)
         select array_to_string(a.tokens,' ') as sentence1, array_to_string(b.tokens,' ') as sentence2,
@@ -251,14 +259,25 @@ ORACLES: dict[str, str] = {
         select sentence1, sentence2, label from seq
         union all select a.sentence1, b.sentence2, 'not_similar' from f a join o b on b.k=a.other
         where not (a.label='similar' and b.label='similar')""",
-    "random_dissimilar_pairs": f"""with g as (select *, row_number() over (order by document_id)-1 as idx from ({PLAIN})),
-        n as (select count(*) as n from g),
-        d as (select c, {_draw("'42|a|'||c")}%n as i, {_draw("'42|b|'||c")}%(n-1) as j0 from n, (select unnest(range(64000)) as c)),
-        e as (select c, i, case when j0>=i then j0+1 else j0 end as j from d),
-        k as (select e.c, array_to_string(a.tokens,' ') as sentence1, array_to_string(b.tokens,' ') as sentence2 from e
-            join g a on a.idx=e.i join g b on b.idx=e.j
-            where not list_has_any(list_filter(a.ner_tags, lambda t: t<>0), list_filter(b.ner_tags, lambda t: t<>0)))
-        select sentence1, sentence2, 'not_similar' as label from k order by c limit 1000""",
+    "dissimilar_pair_counts": f"""with p as (select *, row_number() over (order by pair_id)-1 as k from ({_NEXT})),
+        m as (select a.sentence1, b.sentence2 from p a join p b on b.k>a.k where not (a.label='similar' and b.label='similar'))
+        select 'first' as side, sentence1 as sentence, count(*) as n_pairs from m group by sentence1
+        union all select 'second', sentence2, count(*) from m group by sentence2""",
+    "random_dissimilar_pairs": f"""with g as (select *, array_to_string(list_sort(list_filter(list_distinct(ner_tags), lambda t: t<>0)), ',') as s,
+            list_filter(ner_tags, lambda t: t<>0) as ts from ({PLAIN})),
+        h as (select *, row_number() over (partition by s order by document_id)-1 as idx from g),
+        sets as (select s, any_value(ts) as ts, count(*) as n, row_number() over (order by s)-1 as rank from g group by s),
+        apart as (select a.rank as a, b.rank as b, a.n as na, b.n - (case when a.rank=b.rank then 1 else 0 end) as nb
+          from sets a join sets b on not list_has_any(a.ts, b.ts)),
+        apart2 as (select *, sum(nb) over (partition by a order by b) - nb as before from apart),
+        w as (select a, any_value(na) as na, any_value(na)*sum(nb) as w from apart group by a),
+        starts as (select *, sum(w) over (order by a) - w as start, sum(w) over () as total from w),
+        d as (select c, (cast({_draw("'42|p|'||c")} as hugeint)*(select max(total) from starts))//(cast(1 as hugeint)<<60) as x from (select unnest(range(1000)) as c)),
+        e as (select c, a, (x-start)//na as q, (x-start)%na as i from d join starts on x>=start and x<start+w),
+        f as (select c, e.a, e.i, b, q-before as j0 from e join apart2 t on t.a=e.a and q>=before and q<before+nb),
+        k as (select c, a, i, b, case when a=b and j0>=i then j0+1 else j0 end as j from f)
+        select array_to_string(l.tokens,' ') as sentence1, array_to_string(r.tokens,' ') as sentence2, 'not_similar' as label from k
+          join sets sa on sa.rank=k.a join h l on l.s=sa.s and l.idx=k.i join sets sb on sb.rank=k.b join h r on r.s=sb.s and r.idx=k.j""",
     "remapped_tags": f"""select {_list(_ROLES)}[part+1] as role, document_id, {_text("tags")} as tags from ({_merged_ids(_ROLES, ROLE_NAMES, _THREE)})""",
     "entity_vocabulary": f"select distinct role, unnest(ents) as entity from ({_entities(IOB)})",
     "common_labels": """select lang as name from documents where lang is not null group by lang
@@ -266,7 +285,8 @@ ORACLES: dict[str, str] = {
     "label_union": "select row_number() over (order by name)-1 as id, name from (select distinct lang as name from documents where lang is not null)",
     "distinct_sentences": f"select sentence1 as sentence from ({_NEXT}) union select sentence2 from ({_NEXT})",
     "row_counts": _counts(),
-    "label_inventory": """select count(distinct source||'-'||lang) as n_labels, string_agg(distinct source||'-'||lang, ',' order by source||'-'||lang) as labels from documents""",
+    "label_inventory": """select concat_ws('-', source, lang) as label, count(distinct source) as n_models, count(*) as n_ids,
+        (select count(distinct concat_ws('-', source, lang)) from documents) as n_labels from documents group by concat_ws('-', source, lang)""",
     "sorted_and_renumbered": f"""select row_number() over (order by part, document_id)-1 as document_id, array_to_string(tokens,' ') as sentence
         from ({_merged_ids(_ROLES, ROLE_NAMES, _THREE)})""",
     "split_70_15_15": _split("select doc_id, lang from documents", "doc_id"),
@@ -288,8 +308,7 @@ ORACLES: dict[str, str] = {
     "merged_strict": f"""select document_id, array_to_string(tokens,' ') as sentence, {_text("tags")} as tags
         from ({_merged_ids(_ROLES, ROLE_NAMES, _SORTED)})""",
     "merged_strict_keep_ids": f"""select document_id, array_to_string(tokens,' ') as sentence,
-        {_text("list_transform(ner_tags, lambda k: " + _list([n for n in _SORTED if n != "law"]) + "[k+1])")} as tags
-        from ({PLAIN}) where role in ('user','assistant')""",
+        {_text("list_transform(ner_tags, lambda k: " + _list(_SORTED) + "[k+1])")} as tags from ({PLAIN})""",
     "compatible_tables": f"""with catalog as ({_catalog()}), counts as ({_counts()}), {_FITS}
         select dataset_1, dataset_2, a.n_rows+b.n_rows as n_rows from fits
         join counts a on a.dataset=dataset_1 join counts b on b.dataset=dataset_2""",
@@ -310,8 +329,10 @@ ORACLES: dict[str, str] = {
         case when {_draw("'42|l|'||document_id||'|'||(i-1)")}%2=0 then lower(t) else t end), ' ') as sentence from ({PLAIN})""",
     "stripped_names": f"select dataset, name, replace(replace(name,'B-',''),'I-','') as entity from ({_TAG_CATALOG})",
     "iob_check": f"select dataset, bool_and(name like 'B-%' or name like 'I-%' or name='O') as is_iob from ({_TAG_CATALOG}) group by dataset",
-    "iob_names": f"""select row_number() over (order by name)-1 as id, case when name='O' then 'O' else 'B-'||name end as iob_name
-        from (select distinct name from ({_TAG_CATALOG}) where dataset<>'assistant')""",
+    "iob_names": f"""with t as ({_TAG_CATALOG}), a as (select row_number() over (order by name)-1 as id, name from (select distinct name from t)),
+        b as (select row_number() over (order by name)-1 as id, name from (select distinct name from t where dataset='assistant'))
+        select 'all' as of, id, case when name='O' then 'O' else 'B-'||name end as iob_name from a
+        union all select 'assistant', id, name from b""",
     "label_map": """select id, name, (select count(*) from documents where lang=name) as n_rows
         from (select unnest(range(4)) as id, unnest(['de','en','es','fr']) as name)""",
     "named_tags": f"select document_id, array_to_string(list_transform(ner_tags, lambda k: {_list(IOB_NAMES)}[k+1]), ' ') as tags from ({IOB})",
@@ -347,16 +368,10 @@ ORACLES: dict[str, str] = {
 _WIDTHS = {
     "merged_and_saved": {"sum_id": "bigint", "n_tokens": "bigint"},
     "text_chunks": {"line": "integer"},
-    "text_files_written": {"file_index": "integer", "n_chars": "bigint"},
+    "text_files_written": {"n_chars": "integer"},
     "text_columns": {"n_chars": "bigint"},
     "declared_schema": {"document_id": "integer"},
-    "remapped_tags": {"document_id": "integer"},
     "shuffled_batches": {"batch_pos": "integer"},
-    "concatenated": {"document_id": "integer"},
-    "merged_two": {"document_id": "integer"},
-    "merged_three": {"document_id": "integer"},
-    "merged_strict": {"document_id": "integer"},
-    "merged_strict_keep_ids": {"document_id": "integer"},
     "label_map": {"id": "integer"},
     "dimension_sweep_full": {"k": "integer"},
 }

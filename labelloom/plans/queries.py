@@ -26,7 +26,7 @@ from ..operators import sampling as S
 from ..operators import schemas as C
 from ..operators import text_pairs as TP
 from ..operators import training as TR
-from ..operators.lineage import cut_lineage, scratch_path
+from ..operators.lineage import scratch_path
 from ..sources import tables, text_files, tsv
 from . import jobs
 
@@ -96,7 +96,7 @@ def role_datasets(spark: SparkSession, sf_dir: str, roles: list[str]) -> list[Da
     rows = token_tags(spark, sf_dir)
     picked = []
     for role in roles:
-        part = rows.where(F.col("role") == role).select("tokens", "ner_tags", F.col("document_id").cast("int").alias("document_id"))
+        part = rows.where(F.col("role") == role).select("tokens", "ner_tags", "document_id")
         picked.append(with_label_names(part, "ner_tags", ROLE_NAMES[role]))
     return picked
 
@@ -157,7 +157,7 @@ def saved_dataset(spark, sf_dir):
 def merged_and_saved(spark, sf_dir):
     """Merge, attach info, split, save under the next free version, read back."""
     path = jobs.merge_and_save(
-        role_datasets(spark, sf_dir, ["user", "assistant"]), scratch_path(spark, "merged"), "roles", "none"
+        role_datasets(spark, sf_dir, list(ROLE_NAMES)), scratch_path(spark, "merged"), "roles", "none"
     )
     info = tables.read_info(spark, path)
     return (
@@ -188,16 +188,42 @@ def text_chunks(spark, sf_dir):
 
 
 def text_files_written(spark, sf_dir):
-    """Two datasets to text files; per file its lines, counted in the files."""
+    """Two datasets to text files, as they are; per file the length and digest of what it holds."""
     path = scratch_path(spark, "text")
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.translate("text", "\r\n", "  ").alias("text"))
-    turns = token_tags(spark, sf_dir).select("document_id", F.translate(F.array_join("tokens", " "), "\r\n", "  ").alias("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    turns = token_tags(spark, sf_dir).select("document_id", F.array_join("tokens", " ").alias("text"))
     text_files.write_text_files([("documents", docs, "doc_id"), ("conversations", turns, "document_id")], path, 100)
-    return spark.read.text(path).groupBy("dataset", "file_index").agg(
-        F.count("*").alias("n_lines"), F.sum(F.length("value")).alias("n_chars")
+    return text_files.read_text_files(spark, path).select(
+        "dataset", "file_index", F.length("content").alias("n_chars"), F.md5("content").alias("digest")
     )
 
 
+def saved_text_files(spark, sf_dir):
+    """The job from a saved dataset to text files: the training split of the documents."""
+    saved, path = scratch_path(spark, "docs"), scratch_path(spark, "files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    tables.write_dataset(S.assign_splits(docs, "doc_id"), saved)
+    jobs.convert_to_text_files(spark, {"docs": saved}, path, "doc_id", 50)
+    return text_files.read_text_files(spark, path).select("dataset", "file_index", F.md5("content").alias("digest"))
+
+
+def saved_text_pairs(spark, sf_dir):
+    """The job from a saved text-class dataset to saved sentence pairs."""
+    saved, path = scratch_path(spark, "turns"), scratch_path(spark, "pairs")
+    tables.write_dataset(S.assign_splits(turn_class(spark, sf_dir), "document_id"), saved)
+    jobs.build_text_pairs(spark, saved, path, "document_id", PARTNERS)
+    return tables.read_dataset(spark, path)
+
+
+def saved_entity_pairs(spark, sf_dir):
+    """The job from a saved token-tag dataset to saved sentence-entity pairs."""
+    saved, path = scratch_path(spark, "tags"), scratch_path(spark, "pairs")
+    rows = token_tags(spark, sf_dir, iob=True).select("document_id", "tokens", "ner_tags")
+    tables.write_dataset(S.assign_splits(rows, "document_id"), saved)
+    jobs.build_entity_pairs(spark, saved, path)
+    return tables.read_dataset(spark, path)
+
+
 # --- projections and filters -------------------------------------------------------------------
 
 
@@ -352,6 +378,11 @@ def dissimilar_from_pairs(spark, sf_dir):
     return R.dissimilar_from_pairs(pairs, "pair_id", partners=PARTNERS)
 
 
+def dissimilar_pair_counts(spark, sf_dir):
+    """The whole bag of pairs of pairs, counted by sentence."""
+    return R.dissimilar_pair_counts(next_turns(spark, sf_dir), "pair_id")
+
+
 def all_row_pairs(spark, sf_dir):
     return R.all_row_pairs(benchmark_tags(spark, sf_dir), "document_id", partners=PARTNERS)
 
@@ -401,7 +432,7 @@ def label_inventory(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select(
         F.col("source").alias("model"), F.col("doc_id").alias("id"), F.concat_ws("-", "source", "lang").alias("label")
     )
-    return M.label_inventory(rows).select("n_labels", _joined("labels").alias("labels"))
+    return M.label_inventory(rows)
 
 
 # --- order, splits, samples --------------------------------------------------------------------
@@ -430,8 +461,7 @@ def shuffled_sample(spark, sf_dir):
 
 def sampled_sentences(spark, sf_dir):
     """Distinct sentences of a pair table, then a random sample of them."""
-    # Sampling reads its input more than once.
-    return S.sample_up_to(cut_lineage(TR.distinct_sentences(next_turns(spark, sf_dir))), "sentence", 300)
+    return S.sample_up_to(TR.distinct_sentences(next_turns(spark, sf_dir)), "sentence", 300)
 
 
 def sampled_training_examples(spark, sf_dir):
@@ -480,7 +510,7 @@ def merged_strict(spark, sf_dir):
 
 
 def merged_strict_keep_ids(spark, sf_dir):
-    merged = M.merge_strict(role_datasets(spark, sf_dir, ["user", "assistant"]), keep_ids=True)
+    merged = M.merge_strict(role_datasets(spark, sf_dir, list(ROLE_NAMES)), keep_ids=True)
     named = merged.withColumn("ner_tags", L.ids_to_names(F.col("ner_tags"), L.label_names(merged, "ner_tags")))
     return _merged(named)
 
@@ -552,8 +582,10 @@ def iob_check(spark, sf_dir):
 
 
 def iob_names(spark, sf_dir):
-    names = M.label_catalog(_tag_catalog(spark, sf_dir), "role", "name").where("dataset <> 'assistant'")
-    return M.iob_names(M.label_union(names))
+    """Names of all roles, and of the assistants alone, whose names are IOB as they are."""
+    names = M.label_catalog(_tag_catalog(spark, sf_dir), "role", "name")
+    found = [("all", names), ("assistant", names.where("dataset = 'assistant'"))]
+    return C.concatenate([M.iob_names(M.label_union(n)).select(F.lit(of).alias("of"), "id", "iob_name") for of, n in found])
 
 
 def label_map(spark, sf_dir):
@@ -623,12 +655,14 @@ def _full_rank(spark, sf_dir):
 def _axis_model(spark, sf_dir, k):
     """Components of vectors whose axes are known.
 
-    Every embedding v gives v_c and -v_c on axis c, for each c. The mean is zero and the covariance diagonal,
-    so the components are the axes, ranked by their sum of squares.
+    Axis c has two vectors, at plus and minus the root of the sum of squares of all embeddings there. The mean is zero and the
+    covariance diagonal, so the components are the axes, ranked by their sum of squares.
     """
-    parts = table(spark, sf_dir, "embeddings").select(F.size("embedding").alias("n"), F.posexplode("embedding").alias("c", "x"))
-    signed = parts.select("n", "c", F.explode(F.array(F.col("x"), -F.col("x"))).alias("x"))
-    on_axis = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.when(i == F.col("c"), F.col("x").cast("double")).otherwise(0.0))
+    parts = table(spark, sf_dir, "embeddings").select(F.posexplode("embedding").alias("c", "x"))
+    axes = parts.groupBy("c").agg(F.sqrt(F.sum(F.col("x").cast("double") * F.col("x").cast("double"))).alias("r"))
+    wide = axes.withColumn("n", axes.agg(F.count("*")).scalar())
+    signed = wide.select("n", "c", F.explode(F.array(F.col("r"), -F.col("r"))).alias("r"))
+    on_axis = F.transform(F.sequence(F.lit(0), F.col("n").cast("int") - 1), lambda i: F.when(i == F.col("c"), F.col("r")).otherwise(0.0))
     return E.fit_reducer(signed.select(on_axis.alias("embedding")), k)
 
 
@@ -689,11 +723,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         saved_dataset, merged_and_saved, scored_tsv, text_chunks, text_files_written,
+        saved_text_files, saved_text_pairs, saved_entity_pairs,
         split_text_class, split_token_tags, split_token_tags_exclusive, task_detection, text_columns,
         non_empty_text, rows_per_label, training_examples, declared_schema, updated_tags,
         pair_plan, similar_pairs, dissimilar_pairs, text_pairs_by_split,
         similar_entity_pairs, dissimilar_entity_pairs, entity_pairs_by_split,
-        row_pairs, row_pair_entities, row_pairs_with_entities, dissimilar_from_pairs, all_row_pairs,
+        row_pairs, row_pair_entities, row_pairs_with_entities, dissimilar_from_pairs, dissimilar_pair_counts, all_row_pairs,
         random_dissimilar_pairs, remapped_tags,
         entity_vocabulary, common_labels, label_union, distinct_sentences, row_counts, label_inventory,
         sorted_and_renumbered, split_70_15_15, split_80_10_10, random_examples, shuffled_sample,

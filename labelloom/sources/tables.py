@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPLIT = "split"
+# What the info says if nothing is given.
+UNDESCRIBED, UNCITED = "No description provided", "No citation provided"
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
@@ -16,7 +21,7 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     try:
         df = spark.read.parquet(path)
     except PySparkException as e:
-        raise OSError(f"Error loading dataset from {path}: {e}") from e
+        raise OSError(f"{path} holds no dataset that can be read") from e
     return df.withColumn(SPLIT, F.col(SPLIT).cast("string")) if SPLIT in df.columns else df
 
 
@@ -31,15 +36,33 @@ def write_dataset(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     (writer.partitionBy(SPLIT) if SPLIT in df.columns else writer).parquet(path)
 
 
-def next_free_path(spark: SparkSession, parent: str, name: str) -> str:
-    """``parent/name_1``, or the first free number, on whatever file system ``parent`` is."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(parent)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    number = 1
-    while fs.exists(jvm.org.apache.hadoop.fs.Path(base, f"{name}_{number}")):
-        number += 1
-    return f"{parent.rstrip('/')}/{name}_{number}"
+def _file_system(spark: SparkSession, path: str):
+    """The file system that ``path`` is on, and how to make a path for it."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def claim_version(spark: SparkSession, parent: str, name: str) -> tuple[str, str]:
+    """The path of the lowest version of ``name`` that nobody has or writes, and the marker file that claims it.
+
+    The marker is created exclusively, so of two writers one gets the next number. Versions that were
+    claimed but never written keep their number.
+    """
+    fs, make = _file_system(spark, parent)
+    home = make(parent)
+    fs.mkdirs(home)
+    there = {status.getPath().getName() for status in fs.listStatus(home)}
+    for number in itertools.count(1):
+        version, marker = f"{name}_{number}", f"_{name}_{number}.claim"
+        if version in there or marker in there:
+            continue
+        try:
+            fs.create(make(home, marker), False).close()
+        except Py4JJavaError as e:
+            if not fs.exists(make(home, marker)):
+                raise OSError(f"cannot write to {parent}") from e
+            continue
+        return f"{parent.rstrip('/')}/{version}", f"{parent.rstrip('/')}/{marker}"
 
 
 def dataset_info(description: str, citation: str) -> dict:
@@ -68,12 +91,20 @@ def write_versioned(
     df: DataFrame,
     parent: str,
     name: str = "merged_dataset",
-    description: str = "No description provided",
-    citation: str = "No citation provided",
+    description: str = UNDESCRIBED,
+    citation: str = UNCITED,
 ) -> str:
-    """Save under the next free version of ``name`` with its info; returns the path."""
+    """Save under the next free version of ``name`` with its info; returns the path.
+
+    Data and info are written aside and get their name together, so there is no version without info.
+    """
     spark = df.sparkSession
-    path = next_free_path(spark, parent, name)
-    write_dataset(df, path)
-    write_info(spark, dataset_info(description, citation), path)
+    path, marker = claim_version(spark, parent, name)
+    fs, make = _file_system(spark, parent)
+    aside = f"{parent.rstrip('/')}/_{uuid.uuid4().hex}"
+    write_dataset(df, aside)
+    write_info(spark, dataset_info(description, citation), aside)
+    if fs.exists(make(path)) or not fs.rename(make(aside), make(path)):
+        raise OSError(f"{path} is taken; the data are in {aside}")
+    fs.delete(make(marker), False)
     return path

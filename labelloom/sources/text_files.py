@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.positions import ROWS_PER_BUCKET, with_position_in_runs
+from ..operators.positions import with_position, with_position_in_runs
 from ..operators.schemas import drop_empty_text, text_column, text_of
 
 LINES_PER_FILE = 500
@@ -18,11 +18,12 @@ def text_chunks(
     order_by: str,
     lines_per_file: int = LINES_PER_FILE,
     column: str | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``file_index, line, value``: non-empty texts in key order, ``lines_per_file`` to a file.
 
-    One row is one line, also if its text holds newlines. The rows of a file are in one partition.
+    One row is one line, also if its text holds newlines. The rows of a file are in one partition, in order.
+    ``order_by`` is unique and not null.
     """
     if lines_per_file <= 0:
         raise ValueError("lines_per_file must be positive")
@@ -30,7 +31,7 @@ def text_chunks(
     if column is None:
         raise ValueError(f"no text column among {df.columns}")
     lines = drop_empty_text(df.select(F.col(order_by).alias("_key"), text_of(df, column).alias("value")), "value")
-    placed = with_position_in_runs(lines, "_key", lines_per_file, "_pos", rows_per_bucket)
+    placed = with_position_in_runs(lines, "_key", lines_per_file, "_pos", tasks)
     return placed.select(
         F.floor(F.col("_pos") / lines_per_file).cast("long").alias("file_index"),
         (F.col("_pos") % lines_per_file).cast("int").alias("line"),
@@ -42,23 +43,27 @@ def write_text_files(
     datasets: Sequence[tuple[str, DataFrame, str]],
     path: str,
     lines_per_file: int = LINES_PER_FILE,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    tasks: int | None = None,
 ) -> None:
-    """Write ``(name, dataset, order_by)`` datasets as ``dataset=name/file_index=k/`` text files.
+    """Write ``(name, dataset, order_by)`` datasets as text files of ``lines_per_file`` rows in ``dataset=name/``.
 
-    Each directory holds one file, in order. Datasets are kept apart; empty files are not written.
+    Each task holds a stretch of whole files in order and begins a new file after so many rows, so file names sort like
+    their rows. Texts are written as they are, line feeds too, with one after each. Datasets are kept apart;
+    empty files are not written.
     """
-    parts = [
-        text_chunks(df, key, lines_per_file, rows_per_bucket=rows_per_bucket).withColumn("dataset", F.lit(name))
-        for name, df, key in datasets
-    ]
-    lines = parts[0]
-    for more in parts[1:]:
-        lines = lines.unionByName(more)
-    (
-        lines.sortWithinPartitions("dataset", "file_index", "line")
-        .select("dataset", "file_index", "value")
-        .write.mode("errorifexists")
-        .partitionBy("dataset", "file_index")
-        .text(path)
-    )
+    for name, df, key in datasets:
+        lines = text_chunks(df, key, lines_per_file, tasks=tasks).select("value")
+        writer = lines.write.mode("errorifexists").option("maxRecordsPerFile", lines_per_file)
+        writer.text(f"{path.rstrip('/')}/dataset={name}")
+
+
+def read_text_files(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
+    """``dataset, file_index, content`` of files that :func:`write_text_files` wrote."""
+    where = f"{path.rstrip('/')}/dataset=*"
+    # Names come from a listing that opens no file; contents are read once.
+    listed = spark.read.format("binaryFile").option("basePath", path).load(where)
+    names = listed.select("dataset", F.substring_index("path", "/", -1).alias("file"))
+    places = with_position(names, "file", ["dataset"], "file_index", tasks=tasks)
+    contents = spark.read.option("basePath", path).text(where, wholetext=True)
+    named = contents.select("dataset", F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))
+    return named.join(places, ["dataset", "file"]).select("dataset", "file_index", "content")

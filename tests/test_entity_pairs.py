@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.labels import with_label_names
 from labelloom.operators import entity_pairs as EP
-from labelloom.operators import gather
+from labelloom.operators import positions
 
 NAMES = ["O", "B-person", "I-person", "B-art", "B-SUB-CLASS"]
 ROWS = [
@@ -63,12 +63,12 @@ def test_stripping_is_anywhere_and_keeps_duplicates(rows):
 @pytest.mark.parametrize("k,partitions", [(1, 16), (2, 3), (5, 1)])
 def test_pairs_per_split_against_loops(rows, k, partitions):
     df = rows.repartition(partitions)
-    got = EP.entity_pairs(df, "document_id", split="split", augment_lower_case=k, names=NAMES, rows_per_bucket=2)
+    got = EP.entity_pairs(df, "document_id", split="split", augment_lower_case=k, names=NAMES)
     assert bag(got) == brute(ROWS, k)
 
 
 def test_vocabulary_join_without_broadcast(rows, monkeypatch):
-    monkeypatch.setattr(gather, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(positions, "BROADCAST_BYTES", -1)
     got = EP.dissimilar_entity_pairs(rows, by=["split"])
     assert bag(got) == Counter({p: n for p, n in brute(ROWS).items() if p[3] == "not_similar"})
 

@@ -41,19 +41,19 @@ def test_merge_sorts_renumbers_and_remaps(spark):
     one = dataset(spark, [(["a"], [0, 1], 5), (["b"], [2], 1), (["c"], [], None)], ["O", "per", "loc"])
     two = dataset(spark, [(["d"], [1], 9), (["e"], [0, 2], 2)], ["loc", "O", "org"])
     for parts in (1, 4):
-        for per_bucket in (2, 1000):
-            merged = M.merge_reindexed([one.repartition(parts), two.repartition(parts)], rows_per_bucket=per_bucket)
+        for tasks in (1, 5):
+            merged = M.merge_reindexed([one.repartition(parts), two.repartition(parts)], tasks=tasks)
             assert label_names(merged, "ner_tags") == ["O", "loc", "per", "org"]
             got = {(r.document_id, r.tokens[0]): list(r.ner_tags) for r in merged.collect()}
             assert got == {(0, "b"): [1], (1, "a"): [0, 2], (2, "c"): [], (3, "e"): [1, 3], (4, "d"): [0]}
-    assert merged.schema["document_id"].dataType.simpleString() == "int"
+    assert merged.schema["document_id"].dataType.simpleString() == "bigint"
 
 
 def test_tied_and_null_ids(spark):
     rows = [([f"t{i}"], [0], [1, 1, None, None, 2][i % 5]) for i in range(30)]
     df = dataset(spark, rows, ["O", "a"])
     runs = [
-        sorted((r.document_id, r.tokens[0]) for r in M.merge_reindexed([df.repartition(p)], rows_per_bucket=4).collect())
+        sorted((r.document_id, r.tokens[0]) for r in M.merge_reindexed([df.repartition(p)], tasks=5).collect())
         for p in (1, 3, 16)
     ]
     assert runs[0] == runs[1] == runs[2]
@@ -126,7 +126,9 @@ def test_catalog_queries(spark):
     assert [r.name for r in M.common_labels(catalog).collect()] == ["O"]
     assert {(r.id, r.name) for r in M.label_union(catalog).collect()} == {(0, "B-a"), (1, "O"), (2, "b")}
     assert {(r.dataset, r.is_iob) for r in M.iob_check(catalog).collect()} == {("m1", True), ("m2", False)}
-    assert tuple(M.label_inventory(rows).first()) == (3, ["B-a", "O", "b"])
+    inventory = {tuple(r) for r in M.label_inventory(rows).select("label", "n_models", "n_ids", "n_labels").collect()}
+    assert inventory == {("O", 2, 2, 3), ("B-a", 1, 1, 3), ("b", 1, 2, 3)}
+    assert M.label_inventory(rows.limit(0)).count() == 0
     iob = rows.where("model = 'm1'").select("id", F.col("label").alias("name"))
     assert {r.iob_name for r in M.iob_names(iob).collect()} == {"O", "B-a"}
     plain = rows.where("model = 'm2' and id < 2").select("id", F.col("label").alias("name"))
@@ -139,7 +141,7 @@ def test_many_copies_and_null_ids_are_counted_then_numbered(spark):
     df = dataset(spark, rows, ["O", "a"])
     small = {(r.document_id, r.tokens[0]) for r in M.merge_reindexed([df]).collect()}
     for parts in (1, 7):
-        got = {(r.document_id, r.tokens[0]) for r in M.merge_reindexed([df.repartition(parts)], rows_per_bucket=10).collect()}
+        got = {(r.document_id, r.tokens[0]) for r in M.merge_reindexed([df.repartition(parts)], tasks=5).collect()}
         assert got == small
     assert sorted(i for i, _ in small) == list(range(120))
     assert {t for i, t in small if i < 40} == {f"u{i}" for i in range(40)}
@@ -150,10 +152,25 @@ def test_tiebreak_and_string_ids(spark):
     df = with_label_names(
         spark.createDataFrame(rows, "tokens array<string>, ner_tags array<int>, document_id int, line int"), "ner_tags", ["O"]
     )
-    for per_bucket in (6, 1000):
-        got = M.sorted_concat([df, df], "document_id", ["line"], rows_per_bucket=per_bucket).collect()
+    for tasks in (1, 6):
+        got = M.sorted_concat([df, df], "document_id", ["line"], tasks=tasks).collect()
         want = [r[0][0] for r in sorted(rows, key=lambda r: (r[2] is None, r[3]))] * 2
         assert [r.tokens[0] for r in sorted(got, key=lambda r: r.document_id)] == want
     named = spark.createDataFrame([(f"k{i:02d}", i) for i in range(30)] + [(None, 99)], "name string, v int")
-    got = M.sorted_concat([named.repartition(4)], "name", rows_per_bucket=5).collect()
+    got = M.sorted_concat([named.repartition(4)], "name", tasks=5).collect()
     assert [r.v for r in sorted(got, key=lambda r: r.name)] == [*range(30), 99]
+
+
+def test_lookup_in_a_large_vocabulary(spark):
+    names = [f"né{i * 7919 % 50_000}" for i in range(50_000)]
+    df = spark.range(50_000).select("id", F.concat(F.lit("né"), F.col("id") * 7919 % 50_000).alias("name"))
+    looked = df.select("id", L.name_to_id(F.col("name"), names).alias("found"))
+    assert "array_position" not in looked._jdf.queryExecution().optimizedPlan().toString()
+    assert looked.where("found <> id OR found IS NULL").count() == 0
+    tags = df.where("id < 100").select("id", L.names_to_ids(F.array("name", F.lit("né0")), names).alias("found"))
+    assert all(r.found == [r.id, 0] for r in tags.collect())
+    for wrong in ("nobody", None):
+        with pytest.raises(Exception, match="unknown label"):
+            spark.createDataFrame([(wrong,)], "name string").select(L.name_to_id(F.col("name"), names)).collect()
+    with pytest.raises(Exception, match="unknown label"):
+        spark.createDataFrame([("a",)], "name string").select(L.name_to_id(F.col("name"), [])).collect()

@@ -1,11 +1,14 @@
 import hashlib
 import itertools
+import math
+import random
 from collections import Counter
 
 import pytest
 
 from labelloom.functions.labels import with_label_names
-from labelloom.operators import gather
+from labelloom.operators import positions
+from labelloom.operators import disjoint_draws as DD
 from labelloom.operators import row_pairs as R
 
 NAMES = ["O", "B-x", "I-x", "B-y", "z"]
@@ -59,7 +62,7 @@ def rows(spark):
 @pytest.fixture(params=["broadcast", "shuffled"])
 def path(request, monkeypatch):
     if request.param == "shuffled":
-        monkeypatch.setattr(gather, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(positions, "BROADCAST_BYTES", -1)
         monkeypatch.setattr(R, "USES_PER_SLOT", 2)
 
 
@@ -89,7 +92,7 @@ def test_whole_row_pairs(rows, path):
 def test_pages_make_up_the_whole(rows, path, size):
     total = Counter()
     for first in range(0, 15, size):
-        page = R.row_pairs(rows, "document_id", first, size, rows_per_bucket=2)
+        page = R.row_pairs(rows, "document_id", first, size)
         got = bag(page)
         assert sum(got.values()) == min(size, 15 - first)
         total += got
@@ -144,7 +147,7 @@ def test_next_rows(rows, path, k):
     made, ordered = [], sorted(ROWS)
     for i, j in near(len(ROWS), k):
         made += brute_rows([ordered[i], ordered[j]])
-    got = R.row_pairs_with_entities(rows, "document_id", partners=k, rows_per_bucket=2)
+    got = R.row_pairs_with_entities(rows, "document_id", partners=k)
     assert bag(got) == Counter(made)
     pairs = {(r.i, r.j) for r in got.collect()}
     # Every row takes part, and enough partners make the whole.
@@ -179,29 +182,104 @@ def test_next_rows_of_few_or_bad_rows(spark, rows):
         R.row_pairs(rows, "document_id", 0, 5, partners=2)
 
 
-def test_random_dissimilar_pairs(rows, path):
-    def at(key, n):
-        return int(hashlib.md5(f"42|{key}".encode()).hexdigest()[:15], 16) % n
+def drawn_pairs(rows, n, seed=42):
+    """The n draws by hand: rows are (key, sentence, set of tags)."""
+    sets = {}
+    for key, said, tags in sorted(rows):
+        sets.setdefault(",".join(str(t) for t in sorted(tags)), []).append(said)
+    names = sorted(sets)
+    pairs = []
+    for a in names:
+        block = []
+        for b in names:
+            if not set(filter(None, a.split(","))) & set(filter(None, b.split(","))):
+                block += [(j, b) for j in range(len(sets[b]) - (a == b))]
+        # By partner first, then by row.
+        for j, b in block:
+            pairs += [(sets[a][i], sets[b][j + (a == b and j >= i)]) for i in range(len(sets[a]))]
+    found = []
+    for c in range(n):
+        x = int(hashlib.md5(f"{seed}|p|{c}".encode()).hexdigest()[:15], 16) * len(pairs) >> 60
+        found.append((*pairs[x], "not_similar"))
+    return found, pairs
+
+
+def plain_rows(table):
+    return [(r[0], " ".join(r[1]), set(r[2]) - {0}) for r in table]
 
-    ordered = sorted(ROWS)
-    want = []
-    for c in itertools.count():
-        i, j = at(f"a|{c}", 6), at(f"b|{c}", 5)
-        j += j >= i
-        if not (set(ordered[i][2]) - {0}) & (set(ordered[j][2]) - {0}):
-            want.append((" ".join(ordered[i][1]), " ".join(ordered[j][1]), "not_similar"))
-        if len(want) == 25:
-            break
+
+def test_random_dissimilar_pairs(rows, path):
+    want, pairs = drawn_pairs(plain_rows(ROWS), 25)
+    # Every ordered pair of different rows without a common tag, once.
+    tagged = plain_rows(ROWS)
+    assert Counter(pairs) == Counter((a[1], b[1]) for a in tagged for b in tagged if a[0] != b[0] and not a[2] & b[2])
     for df in (rows, rows.repartition(5)):
         assert bag(R.random_dissimilar_pairs(df, 25, "document_id")) == Counter(want)
 
 
+def test_one_tag_on_almost_every_row(spark, rows):
+    """999 of 1,000 rows share a tag: each of 3,000 draws is found, and none is drawn in vain."""
+    table = [(i, [f"w{i}"], [2 if i == 500 else 1]) for i in range(1000)]
+    df = spark.createDataFrame(table, rows.schema).repartition(3)
+    got = R.random_dissimilar_pairs(df, 3000, "document_id", NAMES).collect()
+    assert len(got) == 3000 and all((r.sentence1 == "w500") != (r.sentence2 == "w500") for r in got)
+    firsts = sum(r.sentence1 == "w500" for r in got)
+    assert 1350 < firsts < 1650 and len({(r.sentence1, r.sentence2) for r in got}) > 1200
+    assert bag(spark.createDataFrame(got)) == Counter(drawn_pairs(plain_rows(table), 3000)[0])
+
+
+def test_draws_over_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(DD, "SETS_PER_BLOCK", 3)
+    monkeypatch.setattr(DD, "DRAWS_PER_GROUP", 100)
+    rng = random.Random(5)
+    sets = [",".join(map(str, sorted(rng.sample(range(1, 7), rng.randrange(0, 4))))) for _ in range(60)]
+    positions, seen = [], Counter()
+    for s in sets:
+        positions.append((s, seen[s]))
+        seen[s] += 1
+    assert len(seen) > 10
+    df = spark.createDataFrame(positions, "set string, idx long")
+    got = DD.disjoint_draws(df, 4000, 1).collect()
+    tags = {s: set(filter(None, s.split(","))) for s in seen}
+    allowed = {(a, b) for a in positions for b in positions if a != b and not tags[a[0]] & tags[b[0]]}
+    drawn = Counter(((r.a_set, r.a_idx), (r.b_set, r.b_idx)) for r in got)
+    assert sorted(r.c for r in got) == list(range(4000)) and set(drawn) <= allowed
+    # Evenly over the pairs: each comes about 4000 / n times.
+    assert len(drawn) > 0.8 * min(len(allowed), 4000) and max(drawn.values()) < 12 + 4 * 4000 / len(allowed)
+
+
 def test_random_dissimilar_pairs_fail_loudly(spark, rows):
     same = spark.createDataFrame([(i, ["a"], [1]) for i in range(4)], rows.schema)
-    with pytest.raises(ValueError, match="draws"):
+    with pytest.raises(ValueError, match="common tag"):
         R.random_dissimilar_pairs(same, 3, "document_id", NAMES)
-    with pytest.raises(ValueError, match="two rows"):
+    with pytest.raises(ValueError, match="common tag"):
         R.random_dissimilar_pairs(rows.where("document_id = 3"), 1, "document_id")
+    assert R.random_dissimilar_pairs(same, 0, "document_id", NAMES).count() == 0
+
+
+def test_rows_without_tags_share_nothing(spark, rows):
+    df = spark.createDataFrame([(1, ["a"], [1]), (2, ["b"], None), (3, ["c"], []), (4, ["d"], [0])], rows.schema)
+    got = {(r.sentence1, r.sentence2) for r in R.random_dissimilar_pairs(df, 400, "document_id", NAMES).collect()}
+    assert got == {(x, y) for x in "abcd" for y in "abcd" if x != y}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_counted_pairs_of_pairs(spark, seed):
+    """The whole bag, counted by sentence, against the loops; ten inputs for each seed in one table."""
+    rng = random.Random(seed)
+    for _ in range(2):
+        n = rng.randrange(0, 30)
+        table = [(i * 3, rng.choice("abcdef"), rng.choice("uvwxyz"), rng.choice(["similar", "similar", "not_similar", "dissimilar", None])) for i in range(n)]
+        df = spark.createDataFrame(table, "k int, sentence1 string, sentence2 string, label string").repartition(3)
+        want = Counter()
+        for p, q in itertools.combinations(table, 2):
+            if not (p[3] == q[3] == "similar"):
+                want["first", p[1]] += 1
+                want["second", q[2]] += 1
+        got = {(r.side, r.sentence): r.n_pairs for r in R.dissimilar_pair_counts(df, "k", tasks=4).collect()}
+        assert got == dict(want)
+        similar = sum(r[3] == "similar" for r in table)
+        assert sum(v for (side, _), v in got.items() if side == "first") == math.comb(n, 2) - math.comb(similar, 2)
 
 
 def test_no_cross_join(rows, path):

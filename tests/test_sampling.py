@@ -26,6 +26,7 @@ def test_exact_split(spark, n, fractions):
 def test_cuts_refine_crowded_prefixes(spark, monkeypatch):
     monkeypatch.setattr(S, "PREFIX_DIGITS", 1)
     monkeypatch.setattr(S, "ROWS_TO_SORT", 2)
+    monkeypatch.setattr(S, "SMALL_SAMPLE", 0)
     got = S.sample_exactly(spark.range(300), "id", 37).collect()
     assert {r.id for r in got} == set(shuffled(300)[:37])
 
@@ -41,7 +42,8 @@ def test_fractions_must_sum_to_one_within_rounding(spark):
         S.assign_splits(spark.range(10), "id", fractions={"train": 0.6, "validation": 0.3, "test": 0.2})
 
 
-def test_splits_and_samples_do_not_shuffle_rows(spark):
+def test_splits_and_samples_do_not_shuffle_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL_SAMPLE", 0)
     df = spark.range(1000).withColumn("text", F.col("id").cast("string"))
     for out in (S.assign_splits(df, "id"), S.sample_up_to(df, "id", 10)):
         assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
@@ -56,6 +58,30 @@ def test_samples(spark):
     assert S.sample_up_to(df, "id", 100).count() == 50
 
 
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_small_samples_read_their_input_once(spark, parts):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    df = spark.range(3000).repartition(parts).mapInPandas(counted, "id long").withColumn("text", F.repeat(F.lit("x"), 50))
+    assert {r.id for r in S.sample_exactly(df, "id", 20).collect()} == set(shuffled(3000)[:20])
+    assert reads.value == 3000
+    assert {r.id for r in S.sample_up_to(df, "id", 500).collect()} == set(shuffled(3000)[:500])
+    assert reads.value == 6000
+
+
+def test_small_samples_of_wrong_keys(spark):
+    twice = spark.createDataFrame([(i % 5, i) for i in range(10)], "k int, v int")
+    with pytest.raises(ValueError, match="unique"):
+        S.sample_exactly(twice, "k", 4)
+    with pytest.raises(Exception, match="must not be null"):
+        S.sample_up_to(spark.createDataFrame([(1,), (None,)], "k int"), "k", 1)
+
+
 def test_string_and_composite_keys(spark):
     df = spark.range(200).select(F.concat(F.lit("k"), "id").alias("a"), (F.col("id") % 3).alias("b"))
     assert S.sample_exactly(df, ["a", "b"], 33).count() == 33
@@ -63,8 +89,8 @@ def test_string_and_composite_keys(spark):
 
 def test_batches(spark):
     order = {k: p for p, k in enumerate(shuffled(100))}
-    for per_bucket in (8, 1000):
-        got = S.shuffled_batches(spark.range(100), "id", 32, rows_per_bucket=per_bucket).collect()
+    for tasks in (1, 8):
+        got = S.shuffled_batches(spark.range(100), "id", 32, tasks=tasks).collect()
         assert {(r.id, r.batch_id, r.batch_pos) for r in got} == {(k, p // 32, p % 32) for k, p in order.items()}
     with pytest.raises(ValueError):
         S.shuffled_batches(spark.range(3), "id", 0)
@@ -72,7 +98,7 @@ def test_batches(spark):
 
 def test_every_kth(spark):
     df = spark.range(20).withColumn("g", F.col("id") % 2)
-    got = S.flag_every_kth(df, "id", 3, ["g"], rows_per_bucket=4).collect()
+    got = S.flag_every_kth(df, "id", 3, ["g"], tasks=5).collect()
     assert {r.id for r in got if r.flagged} == {i for i in range(20) if (i // 2) % 3 == 0}
     with pytest.raises(ValueError):
         S.flag_every_kth(df, "id", 0)

@@ -42,6 +42,52 @@ def test_versions_and_info(spark, tmp_path):
     assert tables.read_dataset(spark, paths[1]).columns == ["id", "split"]
 
 
+def test_two_writers_get_two_versions(spark, tmp_path):
+    df = spark.range(3)
+    path, marker = tables.claim_version(spark, str(tmp_path), "set")
+    other, _ = tables.claim_version(spark, str(tmp_path), "set")
+    assert [p.rsplit("/", 1)[1] for p in (path, other)] == ["set_1", "set_2"]
+    # Claimed by others, not written: the next writer leaves them alone.
+    assert tables.write_versioned(df, str(tmp_path), "set").endswith("set_3")
+    Path(marker).unlink()
+    assert tables.write_versioned(df, str(tmp_path), "set").endswith("set_1")
+    assert tables.write_versioned(df, str(tmp_path), "other").endswith("other_1")
+
+
+def test_writers_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(i):
+        return tables.write_versioned(spark.range(i + 1), str(tmp_path), "set", f"d{i}")
+
+    with ThreadPoolExecutor(4) as pool:
+        paths = list(pool.map(write, range(4)))
+    assert sorted(p.rsplit("/", 1)[1] for p in paths) == ["set_1", "set_2", "set_3", "set_4"]
+    for i, p in enumerate(paths):
+        assert tables.read_info(spark, p)["description"] == f"d{i}" and tables.read_dataset(spark, p).count() == i + 1
+    assert not [p.name for p in tmp_path.iterdir() if p.name.startswith("_")]
+
+
+def test_a_crash_leaves_no_version_without_info(spark, tmp_path, monkeypatch):
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(tables, "write_info", crash)
+    with pytest.raises(RuntimeError):
+        tables.write_versioned(spark.range(3), str(tmp_path), "set")
+    assert not (tmp_path / "set_1").exists()
+
+
+def test_a_large_packed_file_is_spread(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "s.tsv.gz")
+    with gzip.open(path, "wt", encoding="utf8") as f:
+        f.write("a\tb\n" + "".join(f"{i}\t{i * 7919 % 10007}\n" for i in range(5000)))
+    assert tsv.read_tsv(spark, path).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(tsv, "BYTES_PER_TASK", 5000)
+    rows = tsv.read_tsv(spark, path)
+    assert rows.rdd.getNumPartitions() > 2 and rows.count() == 5000
+
+
 def test_tsv_without_quoting(spark, tmp_path):
     path = str(tmp_path / "s.tsv.gz")
     lines = ["split\tscore\tsentence1\tsentence2", 'test\t2.5\t"open\tback\\slash', "train\t5\ta\tb", 'test\t5.0\tit"s "x"\té', "test\t1.0\tshort"]
@@ -53,25 +99,39 @@ def test_tsv_without_quoting(spark, tmp_path):
     assert got == {('"open', "back\\slash", 0.5), ('it"s "x"', "é", 1.0), ("short", None, 0.2)}
 
 
-def read_files(path: Path) -> dict[str, str]:
+def read_files(path: Path) -> dict[str, list[str]]:
+    """Texts of the files of each directory, in the order of their names."""
     found = {}
-    for directory in sorted(p for p in path.rglob("file_index=*") if p.is_dir()):
-        parts = [p for p in directory.iterdir() if p.name.startswith("part-")]
-        assert len(parts) == 1
-        found[f"{directory.parent.name}/{directory.name}"] = parts[0].read_text(encoding="utf8")
+    for directory in sorted(p for p in path.rglob("*") if p.is_dir()):
+        parts = sorted(p for p in directory.iterdir() if p.name.startswith("part-"))
+        found[directory.name] = [p.read_bytes().decode("utf8") for p in parts]
     return found
 
 
-def test_text_files(spark, tmp_path):
-    texts = [f"line {i}\nmore é" if i % 3 else f"l{i}" for i in range(23)]
+@pytest.mark.parametrize("tasks", [1, 2, 7])
+def test_text_files(spark, tmp_path, tasks):
+    texts = [f"line {i}\nmore\r é" if i % 3 else f"l{i}" for i in range(23)]
     rows = [(i, t) for i, t in enumerate(texts)] + [(100, ""), (101, None)]
     one = spark.createDataFrame(rows, "k int, text string").repartition(5)
     two = spark.createDataFrame([(i, [f"w{i}", "x"]) for i in range(4)], "k int, words array<string>")
     path = tmp_path / "out"
-    text_files.write_text_files([("one", one, "k"), ("two", two, "k")], str(path), 10, rows_per_bucket=4)
-    want = {f"dataset=one/file_index={f}": "".join(t + "\n" for t in texts[10 * f : 10 * f + 10]) for f in range(3)}
-    want["dataset=two/file_index=0"] = "".join(f"w{i} x\n" for i in range(4))
+    text_files.write_text_files([("one", one, "k"), ("two", two, "k")], str(path), 10, tasks=tasks)
+    # A directory for each dataset, none for a file.
+    want = {
+        "dataset=one": ["".join(t + "\n" for t in texts[10 * f : 10 * f + 10]) for f in range(3)],
+        "dataset=two": ["".join(f"w{i} x\n" for i in range(4))],
+    }
     assert read_files(path) == want
+    back = {(r.dataset, r.file_index): r.content for r in text_files.read_text_files(spark, str(path)).collect()}
+    assert back == {(d.removeprefix("dataset="), i): c for d, files in want.items() for i, c in enumerate(files)}
+    with pytest.raises(Exception, match="(?i)exist"):
+        text_files.write_text_files([("one", one, "k")], str(path), 10)
+
+
+def test_text_files_of_wrong_keys(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, text string")
+    with pytest.raises(Exception, match="unique and not null"):
+        text_files.write_text_files([("one", df, "k")], str(tmp_path / "out"))
 
 
 def test_full_last_file_leaves_no_empty_one(spark):
@@ -137,6 +197,4 @@ def test_text_file_job(spark, tmp_path):
     df = spark.createDataFrame([(i, f"t{i}", "train" if i < 5 else "test") for i in range(7)], "k int, text string, split string")
     tables.write_dataset(df, str(tmp_path / "in"))
     jobs.convert_to_text_files(spark, {"d": str(tmp_path / "in")}, str(tmp_path / "out"), "k", 3)
-    assert read_files(tmp_path / "out") == {
-        "dataset=d/file_index=0": "t0\nt1\nt2\n", "dataset=d/file_index=1": "t3\nt4\n"
-    }
+    assert read_files(tmp_path / "out") == {"dataset=d": ["t0\nt1\nt2\n", "t3\nt4\n"]}

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from labelloom.operators import gather
+from labelloom.operators import positions
 from labelloom.operators import text_pairs as TP
 
 
@@ -52,7 +52,7 @@ CASES = [
 def path(request, monkeypatch):
     """Rows wanted broadcast, and without any broadcast and with tiny slots."""
     if request.param == "shuffled":
-        monkeypatch.setattr(gather, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(positions, "BROADCAST_BYTES", -1)
         monkeypatch.setattr(TP, "USES_PER_SLOT", 5)
     return request.param
 
@@ -80,7 +80,7 @@ def test_partitions_and_buckets_do_not_matter(spark, path):
     df = spark.createDataFrame(rows, "key long, text string, label string")
     want = brute(rows, 3)
     for parts in (1, 3, 16):
-        assert pairs(df.repartition(parts), partners=3, rows_per_bucket=3) == want
+        assert pairs(df.repartition(parts), partners=3) == want
 
 
 def test_splits_are_separate(spark, path):
