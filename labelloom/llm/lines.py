@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,14 +139,17 @@ def _candidate_lines(shared):
     return read
 
 
-def variant_hashes(hashes: np.ndarray) -> tuple[int, np.ndarray]:
-    """Hash of a line from those of its words, and of the line without each of its words."""
-    n = len(hashes)
-    terms = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(hashes * powers(BASE, n), out=terms[1:])
+def variant_hashes(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For all lines and their words: which line, the place left out (-1: none), and the hash of what is left."""
+    sums, base, end = lines.sums[0], lines.sums[0][lines.at], lines.sums[0][lines.at + lines.n]
+    line = np.repeat(np.arange(len(lines.at)), lines.n)
+    word = np.arange(len(line))
     # What stands behind the word left out moves one place to the front.
-    without = terms[:-1] + (terms[-1] - terms[1:]) * U(pow(BASE, -1, 1 << 64))
-    return int(mixed(terms[-1:] + U(n))[0]), mixed(without + U(n - 1))
+    kept = (sums[word] - base[line]) + (end[line] - sums[word + 1]) * U(pow(BASE, -1, 1 << 64))
+    without = mixed(kept * lines.down[lines.at[line]] + (lines.n[line] - 1).astype(np.uint64))
+    whole = lines.stretch(lines.at, lines.n)
+    places = np.concatenate([np.full(len(whole), -1), word - lines.at[line]])
+    return np.concatenate([np.arange(len(whole)), line]), places, np.concatenate([whole, without])
 
 
 def _variants(bits):
@@ -158,21 +160,15 @@ def _variants(bits):
     schema = pa.schema([("variant", pa.int64()), ("place", pa.int32()), ("rank", pa.int64())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for rank, text in zip(*(c.to_pylist() for c in batch.columns)):
-                words = text.encode("utf-8", "surrogatepass").split(b" ")
-                hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
-                whole, without = variant_hashes(hashes)
-                # All places, also in a run of one word: a neighbour may differ in any of them.
-                variants = np.concatenate([np.array([whole], np.uint64), without]).view(np.int64)
-                places = np.arange(-1, len(words), dtype=np.int32)
-                if bits is not None:
-                    hit = holds(bits.value, variants)
-                    variants, places = variants[hit], places[hit]
-                found.append((variants, places, np.full(len(places), rank, np.int64)))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], schema=schema)
+        for batch, row, _, lines in _line_batches(batches, 1):
+            ranks = batch.column(0).to_numpy()[row + lines.text]
+            # All places, also in a run of one word: a neighbour may differ in any of them.
+            line, places, variants = variant_hashes(lines)
+            if bits is not None:
+                hit = holds(bits.value, variants)
+                line, places, variants = line[hit], places[hit], variants[hit]
+            if len(line):
+                yield pa.RecordBatch.from_arrays([pa.array(variants.view(np.int64)), pa.array(places.astype(np.int32)), pa.array(ranks[line])], schema=schema)
 
     return read
 
@@ -263,11 +259,11 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     ``emptied`` is true if there was a line with a word and every such line has gone.
     """
     lost = cut(removed_lines(docs, key, text))
-    held = F.coalesce(F.size("lines"), F.lit(0)) + F.coalesce(F.size("judged"), F.lit(0))
-    size, repeated = lost.agg(F.coalesce(F.sum(held * 4 + 64), F.lit(0)), F.count("judged")).first()
+    repeated = lost.agg(F.count("judged")).first()[0]
     rows = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"))
     same = F.col("d.key").eqNullSafe(F.col("l.key")) & (F.col("d.text_hash") == F.col("l.text_hash"))
-    met = rows.alias("d").join(small(lost, size).alias("l"), same, "left").select("d.*", "l.lines", "l.judged")
+    # Nearly every document has a line to lose: one way for every size.
+    met = rows.alias("d").join(lost.hint("merge").alias("l"), same, "left").select("d.*", "l.lines", "l.judged")
     if repeated:
         copies = numbered(met.where("judged IS NOT NULL"), "_row")
         first = first_copies(copies, ["key", "text_hash"]).withColumn("_is_first", F.lit(True))
