@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -20,15 +23,40 @@ HOT_SHARES = 1000
 
 
 def encode(
-    df: DataFrame, sentence: str, encoder: Callable[[list[str]], np.ndarray], name: str = "embedding"
+    df: DataFrame,
+    sentence: str,
+    encoder: Callable[[list[str]], np.ndarray] | None = None,
+    name: str = "embedding",
+    factory: Callable[[], Callable[[list[str]], np.ndarray]] | None = None,
+    batch_size: int = 256,
 ) -> DataFrame:
-    """Add embeddings from a user-supplied ``encoder(sentences) -> matrix``, one Arrow batch at a time."""
+    """Add embeddings from a user-supplied ``encoder(sentences) -> matrix``.
+
+    A ``factory`` makes the encoder (loads the model) once in each Python worker, for all tasks that the worker runs.
+    Sentences of a batch are encoded in groups of similar length, ``batch_size`` at a time, so that padding stays small.
+    """
+    if (encoder is None) == (factory is None):
+        raise ValueError("give either an encoder or a factory")
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.FloatType()))])
+    token = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        use = encoder
+        if use is None:
+            # What is kept beside the modules outlives a task.
+            held = sys.modules.setdefault("_encoders_of_this_worker", types.ModuleType("_encoders_of_this_worker"))
+            if not hasattr(held, token):
+                setattr(held, token, factory())
+            use = getattr(held, token)
         for batch in batches:
-            matrix = np.asarray(encoder(batch[sentence].tolist()), dtype="float32")
-            yield batch.assign(**{name: list(matrix)})
+            texts = batch[sentence].tolist()
+            order = sorted(range(len(texts)), key=lambda i: len(texts[i] or ""))
+            found: list[np.ndarray | None] = [None] * len(texts)
+            for at in range(0, len(order), batch_size):
+                part = order[at : at + batch_size]
+                for i, row in zip(part, np.asarray(use([texts[i] for i in part]), dtype="float32")):
+                    found[i] = row
+            yield batch.assign(**{name: found})
 
     return df.mapInPandas(run, schema)
 

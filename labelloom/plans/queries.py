@@ -710,12 +710,13 @@ def dimension_sweep_full(spark, sf_dir):
 
 
 def encoded_sentences(spark, sf_dir):
-    """A user's encoder over whole texts; here three letter counts stand for a model."""
+    """A user's encoder over whole texts, made once in each worker; here three letter counts stand for a model."""
 
-    def encoder(texts: list[str]) -> np.ndarray:
-        return np.array([[t.count("a"), t.count("e"), t.count(" ")] for t in texts], dtype="float32").reshape(-1, 3)
+    def load():
+        letters = ("a", "e", " ")
+        return lambda texts: np.array([[t.count(x) for x in letters] for t in texts], dtype="float32").reshape(-1, 3)
 
-    encoded = E.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", encoder)
+    encoded = E.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", factory=load)
     return encoded.select("doc_id", *[F.col("embedding")[i].cast("long").alias(f"e{i}") for i in range(3)])
 
 

@@ -97,3 +97,28 @@ def test_encoder_hook(spark):
     df = spark.createDataFrame([(i, "a" * i) for i in range(5)], "id int, s string").repartition(3)
     got = {r.id: list(r.embedding) for r in E.encode(df, "s", encoder).collect()}
     assert got == {i: [i, i] for i in range(5)}
+
+
+def test_an_encoder_is_made_once_in_a_worker(spark):
+    made, lengths = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def factory():
+        made.add(1)
+
+        def encoder(texts):
+            # Groups hold texts of similar length, the shortest first.
+            assert len(texts) <= 10 and [len(t or "") for t in texts] == sorted(len(t or "") for t in texts)
+            lengths.add(len(texts))
+            return np.array([[len(t or ""), 1] for t in texts], dtype="float32").reshape(-1, 2)
+
+        return encoder
+
+    rows = [(i, None if i == 7 else "x" * (i * 7919 % 101)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, s string").repartition(40)
+    for _ in range(2):
+        got = {r.id: list(r.embedding) for r in E.encode(df, "s", factory=factory, batch_size=10).collect()}
+        assert got == {i: [len(t or ""), 1] for i, t in rows}
+    # Far fewer than tasks: one for each worker process and call.
+    assert 2 <= made.value <= 2 * 2 * 8 < 80 and lengths.value == 800
+    with pytest.raises(ValueError, match="either"):
+        E.encode(df, "s")
