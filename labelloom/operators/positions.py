@@ -78,14 +78,14 @@ def with_position(
     stored = _stretches(df, as_columns(order_by), groups, unique, tasks).withColumn("_pos_stretch", F.shiftright("_pos_at", PLACE_BITS))
     size = F.count("*") if weight is None else F.coalesce(F.sum(weight), F.lit(0))
     # One row for each group of a stretch: as many as groups and stretches at most.
-    held = cut_lineage(stored.groupBy(*groups, "_pos_stretch").agg(F.min("_pos_at").alias("_pos_first"), size.cast("long").alias("_pos_n")))
+    held = stored.groupBy(*groups, "_pos_stretch").agg(F.min("_pos_at").alias("_pos_first"), size.cast("long").alias("_pos_n"))
     if groups:
         earlier = Window.partitionBy(*groups).orderBy("_pos_stretch").rowsBetween(Window.unboundedPreceding, -1)
         offsets = held.withColumn("_pos_offset", F.coalesce(F.sum("_pos_n").over(earlier), F.lit(0)))
         strings = sum((F.coalesce(F.octet_length(F.col(g).cast("string")), F.lit(0)) for g in groups), F.lit(96))
         bound = held.agg(F.coalesce(F.sum(strings.cast("long")), F.lit(0))).first()[0]
     else:
-        offsets, bound = _running(held), 96 * held.count()
+        offsets, bound = _running(held)
     named = offsets.select(*[F.col(c).alias(f"_pos_o{c}") for c in [*groups, "_pos_stretch"]], "_pos_first", "_pos_offset")
     match = [F.col(c).eqNullSafe(F.col(f"_pos_o{c}")) for c in [*groups, "_pos_stretch"]]
     if weight is None:
@@ -97,13 +97,14 @@ def with_position(
     return stored.join(small(named, bound), match).select(*df.columns, (F.col("_pos_offset") + inside).alias(name))
 
 
-def _running(held: DataFrame) -> DataFrame:
-    """Totals before each stretch, by the driver: there is one row for each shuffle partition."""
+def _running(held: DataFrame) -> tuple[DataFrame, int]:
+    """Totals before each stretch, and their bytes, by the driver: there is one row for each shuffle partition."""
     found, before = [], 0
     for r in sorted(held.select("_pos_stretch", "_pos_first", "_pos_n").collect()):
         found.append((r["_pos_stretch"], r["_pos_first"], before))
         before += r["_pos_n"]
-    return held.sparkSession.createDataFrame(found, "_pos_stretch long, _pos_first long, _pos_offset long")
+    schema = "_pos_stretch long, _pos_first long, _pos_offset long"
+    return held.sparkSession.createDataFrame(found, schema), 96 * len(found)
 
 
 def with_position_of_key(df: DataFrame, positions: DataFrame, keys: Sequence[str], key_bytes: int, n: int) -> DataFrame:
