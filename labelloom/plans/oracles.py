@@ -364,6 +364,8 @@ ORACLES: dict[str, str] = {
         length(text)-length(replace(text,' ','')) as e2 from documents""",
 }
 
+ORACLES["wide_pca_fit"] = ORACLES["pca_fit"]
+
 # Integer widths as the queries return them.
 _WIDTHS = {
     "merged_and_saved": {"sum_id": "bigint", "n_tokens": "bigint"},

@@ -26,6 +26,7 @@ from ..operators import sampling as S
 from ..operators import schemas as C
 from ..operators import text_pairs as TP
 from ..operators import training as TR
+from ..operators import wide_pca as W
 from ..operators.lineage import scratch_path
 from ..sources import tables, text_files, tsv
 from . import jobs
@@ -680,6 +681,18 @@ def pca_fit(spark, sf_dir):
     )
 
 
+def wide_pca_fit(spark, sf_dir):
+    """The same variances, found without a covariance matrix."""
+    vectors = table(spark, sf_dir, "embeddings")
+    dim = vectors.select(F.max(F.size("embedding"))).first()[0]
+    model = W.fit_wide_reducer(vectors, dim)
+    reduced = W.reduce_wide_embeddings(vectors.select("vec_id", "embedding"), model)
+    variance = reduced.select(F.posexplode("reduced").alias("component", "x")).groupBy("component").agg(F.var_samp("x").alias("v"))
+    return variance.agg(
+        F.count("*").alias("n_components"), F.round(F.sum("v"), 4).alias("total_variance"), F.round(F.sum(F.col("v") * F.col("v")), 5).alias("squared_variances")
+    )
+
+
 def pca_projection(spark, sf_dir):
     """Projection on the leading axes, as lengths: components have no sign."""
     model = _axis_model(spark, sf_dir, max(DIMS))
@@ -740,7 +753,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sentences, lowercased_tokens, stripped_names, iob_check, iob_names, label_map, named_tags,
         label_ids, distinct_tags, same_position_tags, rescaled_scores,
         cosine_of_pairs, similarity_pearson, similarity_spearman, cosine_loss,
-        pca_fit, pca_projection, pca_projection_norms, dimension_sweep, dimension_sweep_full,
+        pca_fit, wide_pca_fit, pca_projection, pca_projection_norms, dimension_sweep, dimension_sweep_full,
         encoded_sentences,
     )
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.vectors import cosine
 from labelloom.operators import embedding as E
+from labelloom.operators import wide_pca as W
 
 
 @pytest.fixture(scope="module")
@@ -121,3 +122,29 @@ def test_an_encoder_is_made_once_in_a_worker(spark):
     assert 2 <= made.value <= 2 * 2 * 8 < 80
     with pytest.raises(ValueError, match="either"):
         E.encode(df, "s")
+
+
+def test_wide_components_are_those_of_the_covariance(spark):
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(400, 64)) * np.linspace(3, 0.2, 64) + 1.5
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)] + [(400, None)], "id int, embedding array<double>").repartition(5)
+    values, vectors = np.linalg.eigh(np.cov(rows.T))
+    for k in (64, 8):
+        model = W.fit_wide_reducer(df, k)
+        assert np.abs(model.variances - values[::-1][:k]).max() < 1e-6
+        assert np.abs(np.abs((model.components * vectors[:, ::-1][:, :k]).sum(0)) - 1).max() < 1e-5
+    got = {r.id: r.reduced for r in W.reduce_wide_embeddings(df, model, k=3).collect()}
+    assert got[400] is None and np.allclose(got[7], rows[7] @ model.components[:, :3])
+
+
+def test_wide_components_of_very_many_dimensions(spark):
+    """Twenty thousand dimensions: their covariance would take 3.2 GB."""
+    rng = np.random.default_rng(4)
+    axes = np.linalg.qr(rng.normal(size=(20_000, 3)))[0]
+    rows = (rng.normal(size=(60, 3)) * [30, 20, 10]) @ axes.T + rng.normal(size=(60, 20_000)) * 1e-3
+    df = spark.createDataFrame([(r.tolist(),) for r in rows], "embedding array<double>").repartition(4)
+    model = W.fit_wide_reducer(df, 3, extra=2)
+    exact = np.linalg.svd(rows - rows.mean(0), compute_uv=False)[:3] ** 2 / 59
+    assert np.abs(model.variances / exact - 1).max() < 1e-6
+    with pytest.raises(ValueError, match="cannot reduce"):
+        W.fit_wide_reducer(df.limit(0), 1)
