@@ -15,18 +15,18 @@ def empty(spark, ddl, **names):
 @pytest.fixture
 def four(spark):
     return [
-        ("mixed", empty(spark, "text array<string>, labels array<int>, id int", labels=["label1", "label2"])),
-        ("same", empty(spark, "text array<string>, category array<int>, index int", category=["cat1", "cat2", "dog"])),
-        ("single", empty(spark, "text string, id int")),
-        ("different", empty(spark, "sentence string, category int, index int", category=["cat1", "cat2"])),
+        ("turns", empty(spark, "words array<string>, parts array<int>, turn int", parts=["noun", "verb"])),
+        ("titles", empty(spark, "heading array<string>, topics array<int>, page int", topics=["law", "art", "sport"])),
+        ("notes", empty(spark, "note string, page int")),
+        ("reviews", empty(spark, "review string, stars int, page int", stars=["few", "many"])),
     ]
 
 
 def test_groups(spark, four):
-    assert C.group_mergeable(spark, four) == [["mixed", "same"], ["single"], ["different"]]
-    assert C.group_mergeable(spark, four, strict=True) == [["mixed", "same"], ["single"], ["different"]]
+    assert C.group_mergeable(spark, four) == [["turns", "titles"], ["notes"], ["reviews"]]
+    assert C.group_mergeable(spark, four, strict=True) == [["turns", "titles"], ["notes"], ["reviews"]]
     table = {(r.group_id, r.position, r.dataset) for r in C.merge_groups(spark, four).collect()}
-    assert table == {(1, 0, "mixed"), (1, 1, "same"), (2, 0, "single"), (3, 0, "different")}
+    assert table == {(1, 0, "turns"), (1, 1, "titles"), (2, 0, "notes"), (3, 0, "reviews")}
 
 
 def test_the_earlier_dataset_decides(spark):
@@ -87,7 +87,7 @@ def test_concatenate_compares_types_first(spark):
 
 def test_row_counts_include_empty_datasets(spark, four):
     assert {r.dataset: r.n_rows for r in C.row_counts([*four, ("five", spark.range(5))]).collect()} == {
-        "mixed": 0, "same": 0, "single": 0, "different": 0, "five": 5
+        "turns": 0, "titles": 0, "notes": 0, "reviews": 0, "five": 5
     }
 
 
