@@ -47,13 +47,6 @@ def bytes_of(df: DataFrame, strings: Sequence[str] = (), fixed: int = 64) -> int
     return int(df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()[0])
 
 
-def replace_columns(df: DataFrame, **new: Column) -> DataFrame:
-    """``df`` with the ``new`` columns at the end; input columns of the same names give way."""
-    taken = {n.lower() for n in new}
-    kept = [df[c] for c in df.columns if c.lower() not in taken]
-    return df.select(*kept, *[c.alias(n) for n, c in new.items()])
-
-
 def numbered(df: DataFrame, row: str) -> DataFrame:
     """``df``, stored with ``_look``, a hash of the struct ``row``, and ``_number``, another for each row.
 
