@@ -17,7 +17,9 @@ are its level in this order.
 What keeps hot groups linear: equal sets are one class. In a prefix element every class is first
 compared with one of them, the one with the least share of shingles of its own, so that the elements of a group agree on it;
 what that links is one component. Pairs are made only across components, and only if lengths and places of the shared element allow a link:
-in front of it stands what the other set has not. Trees are built for groups of bounded size.
+in front of it stands what the other set has not. For them the sets are ordered anew, by exact counts among the classes that are left:
+what only one component has comes first. While these make many more pairs than members, classes are compared with a few centres
+of their groups and the components joined; pairs are made of what then is left. Trees are built for groups of bounded size.
 
 Elements are 60 bits of a hash and 4 bits of level. Equal sets are told by two 64-bit sums.
 
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitmaps import bitmap, fitting_bits, holds
@@ -57,6 +59,10 @@ REGION = int(0.35 * (1 << 60))
 ALONE, UNCOUNTED, SHARED = range(3)
 #: Set elements in a group of a tree.
 TREE_ELEMENTS = 1 << 20
+#: Pairs for a member of a group that are made at once; with more, members are first compared with centres.
+PAIRS_AT_ONCE = 16
+#: Centres that an element has in the first turn, and how many times more in each further one.
+CENTRES = 8
 
 
 def least_overlap(n: int, m: int) -> int:
@@ -236,6 +242,18 @@ def _whole_sets(seed: int, levels: Broadcast, shared: Broadcast, wanted: Broadca
     return read
 
 
+def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each element of a class."""
+    for batch in batches:
+        for row, packed in enumerate(batch.column(3)):
+            elements = np.frombuffer(packed.as_py(), dtype=np.int64)
+            for at in range(0, len(elements), 1 << 16):
+                part = pa.array(elements[at : at + (1 << 16)])
+                place = pa.array(np.full(len(part), row))
+                columns = [batch.column(c).take(place) for c in range(3)]
+                yield pa.RecordBatch.from_arrays([*columns, part], names=["cid", "n", "label", "element"])
+
+
 class Node:
     """A stretch of elements that all sets below share."""
 
@@ -365,12 +383,14 @@ class _Corpus:
                 return
             seed += 1
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The links ``(a, b)`` among stored ``pairs``, through prefix trees."""
-        wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """The whole sets of the ``wanted`` classes, from one pass over the texts."""
         read = self.texts.mapInArrow(_whole_sets(self.seed, self.levels, self.shared, bitmap(wanted, "cid", fitting_bits(wanted.count()))), "cid long, elements binary")
         # Copies of a text give its set once.
-        sets = cut(read.join(wanted, "cid", "left_semi").dropDuplicates(["cid"]))
+        return cut(read.join(wanted, "cid", "left_semi").dropDuplicates(["cid"]))
+
+    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The links ``(a, b)`` among stored ``pairs``, through prefix trees."""
         known = self.classes.select("cid", "n", "first")
         sized = pairs.join(known.select(F.col("cid").alias("b"), F.col("first").alias("tree"), F.col("n").alias("nb")), "b").join(
             known.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a"
@@ -397,25 +417,96 @@ class _Corpus:
         members = cut(held.drop("apart").join(many, "element"))
         star = members.where((F.col("cid") != F.col("one.cid")) & _may_link("n", "at", "one.n", "one.at"))
         near = cut(star.select(F.col("cid").alias("a"), F.col("one.cid").alias("b")).distinct())
-        first = cut(self.verified(near))
-        labels = components(first)
-        # Of an element with two classes nothing is left to compare, nor of one whose classes are one component.
-        larger = members.where("m > 2").select("element", "cid", "n", "at", "m", F.col("one.cid").alias("centre"))
-        named = labels.withColumnRenamed("node", "cid")
-        told = larger.join(named, "cid").groupBy("element", "m").agg(F.count("*").alias("labelled"), F.min("label").alias("low"), F.max("label").alias("high"))
-        done = told.where("labelled = m AND low = high").select("element")
-        rest = cut(larger.join(done, "element", "left_anti"))
-        if not rest.take(1):
+        first = cut(self.verified(near, self.sets(_classes_of(near))))
+        named = components(first).withColumnRenamed("node", "cid")
+        # Of an element with two classes nothing is left to compare.
+        larger = members.where("m > 2").select("element", "cid", "n", "at").join(named, "cid", "left")
+        left, n_members, n_pairs = _open_members(larger.select("cid", "n", F.coalesce("label", "cid").alias("label"), "element", "at"))
+        if not n_members:
             return first
-        classes = rest.select("cid").distinct().join(named, "cid", "left").select("cid", F.coalesce("label", "cid").alias("label"))
-        open_members = cut(rest.join(classes, "cid").select("element", "cid", "n", "at", "label", "centre"))
-        a, b = open_members.alias("x"), open_members.alias("y")
-        across = (F.col("x.element") == F.col("y.element")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.label") != F.col("y.label"))
-        # What was compared with the centre is known.
-        fresh = (F.col("x.cid") != F.col("x.centre")) & (F.col("y.cid") != F.col("y.centre"))
-        met = a.join(b, across & fresh & _may_link("x.n", "x.at", "y.n", "y.at"))
-        pairs = cut(met.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct().join(near, ["a", "b"], "left_anti"))
-        return cut(first.unionByName(self.verified(pairs)))
+        if n_pairs <= PAIRS_AT_ONCE * n_members:
+            pairs = _pairs_across(left, left, F.col("x.cid") < F.col("y.cid"), _either_way(near))
+            return cut(first.unionByName(self.verified(pairs, self.sets(_classes_of(pairs)))))
+        classes = cut(left.select("cid", "n", "label").distinct())
+        sets = self.sets(classes.select("cid"))
+        return self._across(_ordered_anew(classes, sets), sets, _either_way(near), first)
+
+    def _across(self, members: DataFrame, sets: DataFrame, compared: DataFrame, links: DataFrame) -> DataFrame:
+        """``links``, with what connects the components of ``members`` further."""
+        centres = CENTRES
+        while True:
+            members, n_members, n_pairs = _open_members(members)
+            if not n_members:
+                return links
+            if n_pairs <= max(PAIRS_AT_ONCE, centres) * n_members:
+                pairs = _pairs_across(members, members, F.col("x.cid") < F.col("y.cid"), compared)
+                return cut(links.unionByName(self.verified(pairs, sets)))
+            # Of those with least before the element, that can link with most; a few for the elements of one group.
+            look = F.struct(F.floor(F.col("at") * 40 / F.col("n")).alias("step"), F.xxhash64("cid", F.pmod(F.xxhash64("element"), F.lit(4))).alias("h"))
+            seat = F.pmod(F.xxhash64("cid", F.lit(centres)), F.lit(centres)).alias("seat")
+            centre = F.min(F.struct(look.alias("look"), "cid", "n", "at", "label")).alias("one")
+            chosen = cut(members.where("able").groupBy("element", seat).agg(centre).select("element", "one.*"))
+            pairs = _pairs_across(members, chosen, F.lit(True), compared)
+            links = cut(links.unionByName(self.verified(pairs, sets)))
+            compared = cut(compared.unionByName(pairs))
+            named = components(links).select(F.col("node").alias("cid"), F.col("label").alias("known"))
+            # A centre has met all others of the element.
+            left = members.join(chosen, ["element", "cid"], "left_anti").join(named, "cid", "left")
+            members = left.select("cid", "n", F.coalesce("known", "label").alias("label"), "element", "at")
+            centres *= CENTRES
+
+
+def _classes_of(pairs: DataFrame) -> DataFrame:
+    return cut(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
+
+
+def _either_way(pairs: DataFrame) -> DataFrame:
+    """Stored ``pairs``, the lesser class first."""
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _open_members(members: DataFrame) -> tuple[DataFrame, int, int]:
+    """The members of groups that may link with one of another component, how many these groups have, and a bound of the pairs.
+
+    The smaller one of a linking pair is ``able`` to link with its like; without such a one a group has no pairs.
+    """
+    told = cut(members.withColumn("able", _may_link("n", "at", "n", "at")))
+    alike = told.groupBy("element", "label").agg(F.count("*").alias("m"), F.count_if("able").alias("c"), F.min(F.when(F.col("able"), F.col("n"))).alias("least"))
+    pairs = F.sum("m") * F.sum("c") - F.sum(F.col("m") * F.col("c"))
+    groups = cut(alike.groupBy("element").agg(F.sum("m").alias("m"), pairs.alias("pairs"), F.min("least").alias("least")).where("pairs > 0"))
+    n_members, n_pairs = groups.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first()
+    met = told.join(groups.select("element", "least"), "element").where(F.col("able") | _left_for("n", "at", "least"))
+    return cut(met.drop("least")), n_members, n_pairs
+
+
+def _pairs_across(members: DataFrame, others: DataFrame, which: Column, compared: DataFrame) -> DataFrame:
+    """Pairs of ``members`` and ``others`` that may link components and are not ``compared`` yet, the lesser class first."""
+    across = (F.col("x.element") == F.col("y.element")) & (F.col("x.label") != F.col("y.label")) & which
+    met = members.alias("x").join(others.alias("y"), across & _may_link("x.n", "x.at", "y.n", "y.at"))
+    pairs = met.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
+    return cut(pairs.join(compared, ["a", "b"], "left_anti"))
+
+
+def _ordered_anew(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``cid``, ``n``, ``label``, ``element``, ``at`` of the prefixes of ``classes``, in an order for these alone.
+
+    No two components share what only one has: it comes first, then what the fewest classes have.
+    """
+    spread = cut(sets.join(classes, "cid").select("cid", "n", "label", "elements").mapInArrow(_spelled, "cid long, n int, label long, element long"))
+    met = spread.groupBy("element").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    common = spread.join(met.select("element", "m"), "element").groupBy("cid", "n", "label").agg(F.sort_array(F.collect_list(F.struct("m", "element"))).alias("common"))
+    top, bottom = LINK
+    own = F.col("n") - F.size("common")
+    length = F.col("n") - F.ceil(F.col("n") * top / bottom).cast("int") + 1
+    fronts = common.select("cid", "n", "label", own.alias("own"), F.slice("common", F.lit(1), F.greatest(length - own, F.lit(0))).alias("front"))
+    places = fronts.select("cid", "n", "label", "own", F.posexplode("front").alias("i", "one"))
+    return cut(places.select("cid", "n", "label", F.col("one.element").alias("element"), (F.col("own") + F.col("i")).alias("at")))
+
+
+def _left_for(n: str, i: str, m: str):
+    """Whether a set of ``n`` elements has enough from place ``i`` on to link with one of ``m``."""
+    top, bottom = LINK
+    return (F.col(n) - F.col(i)) * (top + bottom) >= (F.col(n) + F.col(m)) * top
 
 
 def _may_link(n: str, i: str, m: str, j: str):
@@ -424,9 +515,8 @@ def _may_link(n: str, i: str, m: str, j: str):
     What is before it is not common; so a linking pair passes at its first common element, if nowhere else.
     """
     top, bottom = LINK
-    left = F.least(F.col(n) - F.col(i), F.col(m) - F.col(j))
     lengths = F.least(n, m) * bottom >= F.greatest(n, m) * top
-    return lengths & (left * (top + bottom) >= (F.col(n) + F.col(m)) * top)
+    return lengths & _left_for(n, i, m) & _left_for(m, j, n)
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
