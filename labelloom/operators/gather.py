@@ -49,6 +49,24 @@ def gather_pairs(
     (:func:`row_bytes` of the group and key columns) is measured if not given, and ``positions`` (group
     columns, key columns, ``idx``) are worked out.
     """
+    return gather_branches(df, pairs, pair_count, order_by, payload, [sides], group_by, key_bytes, positions)[0]
+
+
+def gather_branches(
+    df: DataFrame,
+    pairs: DataFrame,
+    pair_count: int,
+    order_by: str | Sequence[str],
+    payload: dict[str, Column],
+    branches: Sequence[Sequence[str]],
+    group_by: Sequence[str] = (),
+    key_bytes: int | None = None,
+    positions: DataFrame | None = None,
+) -> list[DataFrame]:
+    """What :func:`gather_pairs` gives for each list of sides in ``branches``.
+
+    Every join moves the rows of the sides before it, so sides that need not stand together are kept apart.
+    """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     groups = list(group_by)
     if key_bytes is None:
@@ -58,14 +76,18 @@ def gather_pairs(
     columns = df.select(*groups, *keys, *[c.alias(f"_p_{k}") for k, c in payload.items()])
     row = F.struct(*[F.col(f"_p_{k}").alias(k) for k in payload]).alias("_row")
     at = [*groups, "idx", "slot"]
-    rows = _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, positions, key_bytes)
-    met = pairs
-    for s in sides:
-        met = met.join(
-            rows.alias(f"{s}_side"),
-            reduce(and_, [F.col(f"{s}_{c}") == F.col(f"{s}_side._{c}") for c in at]),
-        ).select(*met.columns, F.col(f"{s}_side._row").alias(s))
-    return met
+    every_side = list(dict.fromkeys(s for sides in branches for s in sides))
+    rows = _wanted_rows(columns, row, pairs, pair_count, keys, every_side, groups, positions, key_bytes)
+    found = []
+    for sides in branches:
+        met = pairs
+        for s in sides:
+            met = met.join(
+                rows.alias(f"{s}_side"),
+                reduce(and_, [F.col(f"{s}_{c}") == F.col(f"{s}_side._{c}") for c in at]),
+            ).select(*met.columns, F.col(f"{s}_side._row").alias(s))
+        found.append(met)
+    return found
 
 
 def _wanted_rows(columns, row, pairs, pair_count, keys, sides, groups, positions, key_bytes) -> DataFrame:

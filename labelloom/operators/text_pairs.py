@@ -10,12 +10,13 @@ a random row of a random other label.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draw import draw
-from .gather import USES_PER_SLOT, gather_pairs, row_bytes
+from .gather import USES_PER_SLOT, gather_branches, row_bytes
 from .lineage import cut_lineage
 from .positions import small, with_position
 
@@ -107,29 +108,24 @@ def text_pairs(
             for name, column in [*[(c, F.col(c)) for c in by], *zip((label, "idx", "slot"), place[s])]
         ],
     )
-    met = gather_pairs(
+    seconds = [(kind, s) for kind, s in ((SIMILAR, "b"), (DISSIMILAR, "c")) if s in sides]
+    met = gather_branches(
         rows,
         wanted,
         facts["rows"] * partners,
         order_by,
         {"text": F.col(text)},
-        sides,
+        [["a", s] for _, s in seconds],
         [*by, label],
         facts["bytes"],
         positions,
     )
     made = []
-    if SIMILAR in kinds:
-        made.append(F.struct(F.col("b.text").alias("sentence2"), F.lit(SIMILAR).alias("label")))
-    if DISSIMILAR in kinds:
-        made.append(F.struct(F.col("c.text").alias("sentence2"), F.lit(DISSIMILAR).alias("label")))
-    keyed = [F.concat_ws("-", "_number", "_pair.label").alias(pair_key)] if pair_key else []
-    return met.select(
-        *by,
-        "_number",
-        F.col("a.text").alias("sentence1"),
-        F.explode(F.array(*made)).alias("_pair"),
-    ).select(*by, *keyed, "sentence1", "_pair.*")
+    for (kind, s), pair in zip(seconds, met):
+        keyed = [F.concat_ws("-", "_number", F.lit(kind)).alias(pair_key)] if pair_key else []
+        texts = [F.col("a.text").alias("sentence1"), F.col(f"{s}.text").alias("sentence2")]
+        made.append(pair.select(*by, *keyed, *texts, F.lit(kind).alias("label")))
+    return reduce(DataFrame.unionByName, made)
 
 
 def _draw_other_label(

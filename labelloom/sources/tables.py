@@ -32,7 +32,7 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 def write_dataset(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Save a dataset, one directory per split."""
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("compression", "zstd")
     (writer.partitionBy(SPLIT) if SPLIT in df.columns else writer).parquet(path)
 
 
