@@ -93,6 +93,7 @@ def _line_batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tu
             yield batch, row, data, Lines(hasher, data, ends)
 
 
+PLACE = "h1 long, h2 long, none boolean, key long, text_hash long, line int"
 OCCURRENCE = "key long, text_hash long, line int, head boolean, h1 long, h2 long, parts array<long>"
 
 
@@ -115,6 +116,22 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
+def _candidates(shared):
+    """Of distinct lines those that may have a part in common with another one; ``parts`` are the last column."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.columns[-1]
+            offsets = parts.offsets.to_numpy()
+            line = np.repeat(np.arange(len(parts)), np.diff(offsets))
+            hit = np.zeros(len(parts), dtype=bool)
+            hit[line[holds(shared.value, parts.values.to_numpy()[offsets[0] : offsets[-1]])]] = True
+            if hit.any():
+                yield batch.select(batch.schema.names[:-1]).filter(pa.array(hit))
+
+    return read
+
+
 def _candidate_lines(shared):
     """Words of the lines that may have a part in common with another one."""
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("words", pa.string())])
@@ -173,6 +190,18 @@ def _variants(bits):
     return read
 
 
+def _met_lines(bits):
+    """Of numbered lines, the number first, those that may be in the bitmap."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = holds(bits.value, batch.column(0).to_numpy())
+            if hit.any():
+                yield batch.filter(pa.array(hit))
+
+    return read
+
+
 def within_one(a: list[str], b: list[str]) -> bool:
     """Whether one word less, more or other turns ``a`` into ``b``."""
     if abs(len(a) - len(b)) > 1:
@@ -227,11 +256,13 @@ def _near_lines(bare: DataFrame, distinct: DataFrame) -> DataFrame:
     parts = distinct.select(F.explode(F.array_distinct("parts")).alias("part")).groupBy("part").count()
     twice = cut(parts.where("count > 1").select("part"))
     shared = bitmap(twice, "part", fitting_bits(twice.count()))
+    # A line's number in the order of first places: it stands for the line, and tells which is earlier. It is found without words.
+    places = distinct.select("h1", "h2", "first.*", "parts").mapInArrow(_candidates(shared), PLACE)
+    order = [F.col(c) for c in ("none", "key", "text_hash", "line")]
+    numbers = prefix_sums(places, order, F.lit(1)).select("h1", "h2", F.col("_rows_before").alias("rank"))
     hits = bare.select("text").mapInArrow(_candidate_lines(shared), "h1 long, h2 long, words string")
     worded = hits.groupBy("h1", "h2").agg(F.first("words").alias("words"))
-    known = worded.join(distinct.select("h1", "h2", "first"), ["h1", "h2"])
-    # A line's number in the order of first places: it stands for the line, and tells which is earlier.
-    ranked = cut(prefix_sums(known, [F.col("first")], F.lit(1)).select(F.col("_rows_before").alias("rank"), "h1", "h2", "words"))
+    ranked = cut(worded.join(numbers, ["h1", "h2"]).select("rank", "h1", "h2", "words"))
     emitted = "variant long, place int, rank long"
     texts = ranked.select("rank", "words")
     twice = texts.mapInArrow(_variants(None), emitted).groupBy("variant").count().where("count > 1")
@@ -246,9 +277,12 @@ def _near_lines(bare: DataFrame, distinct: DataFrame) -> DataFrame:
     longer = variants.where("place >= 0").join(whole, "variant")
     first_longer = longer.groupBy("whole").agg(F.min("rank").alias("other"))
     links = swapped.unionAll(longer.select("rank", F.col("whole").alias("other"))).unionAll(first_longer.select("whole", "other"))
-    nearest = links.where("other < rank").groupBy("rank").agg(F.min("other").alias("other"))
-    pairs = nearest.join(ranked.withColumnRenamed("words", "own"), "rank").join(
-        ranked.select(F.col("rank").alias("other"), F.col("words").alias("others")), "other"
+    nearest = cut(links.where("other < rank").groupBy("rank").agg(F.min("other").alias("other")))
+    # Only words of lines that are in a pair are shuffled.
+    paired = cut(nearest.select(F.explode(F.array("rank", "other")).alias("rank")).distinct())
+    spelled = cut(ranked.mapInArrow(_met_lines(bitmap(paired, "rank", fitting_bits(paired.count()))), "rank long, h1 long, h2 long, words string"))
+    pairs = nearest.join(spelled.withColumnRenamed("words", "own"), "rank").join(
+        spelled.select(F.col("rank").alias("other"), F.col("words").alias("others")), "other"
     )
     return pairs.select("h1", "h2", "own", "others").mapInArrow(_verified, "h1 long, h2 long")
 
