@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitmaps import bitmap, fitting_bits, holds
-from .components import components
+from .components import components, joined
 from .shared import cut, first_copies, numbered, small
 from .shingles import Hasher, U, text_sets
 
@@ -407,8 +407,8 @@ class _Corpus:
         met = routes.join(sets, "cid")
         return met.groupBy("tree", "part", "turn").applyInArrow(_tree_group, "a long, b long")
 
-    def links(self) -> DataFrame:
-        """Links between classes that connect every component."""
+    def labels(self) -> DataFrame:
+        """``node`` and ``label`` of all classes that have a link."""
         spread = self.profiles.select("cid", "n", "own", F.posexplode("shared").alias("i", "element")).distinct()
         held = cut(spread.select("cid", "n", "element", (F.col("own") + F.col("i")).alias("at"), (F.col("own") / F.col("n")).alias("apart")))
         # The same centre for all elements of a group, as far as they have it: the class that has least of its own.
@@ -418,38 +418,39 @@ class _Corpus:
         star = members.where((F.col("cid") != F.col("one.cid")) & _may_link("n", "at", "one.n", "one.at"))
         near = cut(star.select(F.col("cid").alias("a"), F.col("one.cid").alias("b")).distinct())
         first = cut(self.verified(near, self.sets(_classes_of(near))))
-        named = components(first).withColumnRenamed("node", "cid")
+        known = components(first)
+        named = known.withColumnRenamed("node", "cid")
         # Of an element with two classes nothing is left to compare.
         larger = members.where("m > 2").select("element", "cid", "n", "at").join(named, "cid", "left")
         left, n_members, n_pairs = _open_members(larger.select("cid", "n", F.coalesce("label", "cid").alias("label"), "element", "at"))
         if not n_members:
-            return first
+            return known
         if n_pairs <= PAIRS_AT_ONCE * n_members:
             pairs = _pairs_across(left, left, F.col("x.cid") < F.col("y.cid"), _either_way(near))
-            return cut(first.unionByName(self.verified(pairs, self.sets(_classes_of(pairs)))))
+            return joined(known, cut(self.verified(pairs, self.sets(_classes_of(pairs)))))
         classes = cut(left.select("cid", "n", "label").distinct())
         sets = self.sets(classes.select("cid"))
-        return self._across(_ordered_anew(classes, sets), sets, _either_way(near), first)
+        return self._across(_ordered_anew(classes, sets), sets, _either_way(near), known)
 
-    def _across(self, members: DataFrame, sets: DataFrame, compared: DataFrame, links: DataFrame) -> DataFrame:
-        """``links``, with what connects the components of ``members`` further."""
+    def _across(self, members: DataFrame, sets: DataFrame, compared: DataFrame, known: DataFrame) -> DataFrame:
+        """The components ``known``, with what connects those of ``members`` further."""
         centres = CENTRES
         while True:
             members, n_members, n_pairs = _open_members(members)
             if not n_members:
-                return links
+                return known
             if n_pairs <= max(PAIRS_AT_ONCE, centres) * n_members:
                 pairs = _pairs_across(members, members, F.col("x.cid") < F.col("y.cid"), compared)
-                return cut(links.unionByName(self.verified(pairs, sets)))
+                return joined(known, cut(self.verified(pairs, sets)))
             # Of those with least before the element, that can link with most; a few for the elements of one group.
             look = F.struct(F.floor(F.col("at") * 40 / F.col("n")).alias("step"), F.xxhash64("cid", F.pmod(F.xxhash64("element"), F.lit(4))).alias("h"))
             seat = F.pmod(F.xxhash64("cid", F.lit(centres)), F.lit(centres)).alias("seat")
             centre = F.min(F.struct(look.alias("look"), "cid", "n", "at", "label")).alias("one")
             chosen = cut(members.where("able").groupBy("element", seat).agg(centre).select("element", "one.*"))
             pairs = _pairs_across(members, chosen, F.lit(True), compared)
-            links = cut(links.unionByName(self.verified(pairs, sets)))
+            known = joined(known, cut(self.verified(pairs, sets)))
             compared = cut(compared.unionByName(pairs))
-            named = components(links).select(F.col("node").alias("cid"), F.col("label").alias("known"))
+            named = known.select(F.col("node").alias("cid"), F.col("label").alias("known"))
             # A centre has met all others of the element.
             left = members.join(chosen, ["element", "cid"], "left_anti").join(named, "cid", "left")
             members = left.select("cid", "n", F.coalesce("known", "label").alias("label"), "element", "at")
@@ -527,7 +528,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     corpus = _Corpus(rows)
-    labels = components(corpus.links())
+    labels = corpus.labels()
     named = corpus.classes.select("cid", "doc").join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
         "cid", "doc", F.coalesce("label", "cid").alias("label")
     )
