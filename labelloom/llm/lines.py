@@ -11,7 +11,8 @@ within one word share a variant, or one is a variant of the other; equal variant
 the same word every line needs only the earliest, so a set of any size costs one aggregation and
 yields one pair for each line. Variants are emitted only for lines that can have a neighbour: one
 edit leaves the first or the last part of a line as it is, so a line of which no other line shares
-such a part has none. Parts are looked up in a bitmap; what it lets pass wrongly meets nothing later.
+such a part has none, and an edit is outside of the part. Parts are looked up in a bitmap; what it lets pass wrongly meets nothing
+later. Words of lines are needed only for those that pass: a second reading of the texts finds them by row and line number.
 
 Defined cases: a null text has no lines and stays null; lines without a word stay; a text of any length is
 treated whole; null keys come last; of rows equal in key and text one is the first, and the others
@@ -30,15 +31,17 @@ from pyspark.sql import functions as F
 from .bitmaps import bitmap, fitting_bits, holds
 from .sharding import prefix_sums
 from .shared import cut, first_copies, numbered, only, small
-from .shingles import BASE, SPACE, Hasher, U, mixed, powers
-from .text_bytes import LOWERED, chunks, runs
+from .shingles import BASE, SPACE, Hasher, U, mixed
+from .text_bytes import LOWERED, chunks
 
 #: A line may differ in one word of at least this many.
 WORDS_FOR_AN_EDIT = 3
 #: Lengths that first and last parts may have: steps small enough that a part is a third of its line.
 PART_LENGTHS = np.array([1, *(w * 2**e for e in range(40) for w in (2, 3))])
-#: Text bytes that are worked on together.
-CHUNK = 1 << 20
+#: Text bytes that are worked on together: what is made of them fits a core's cache.
+CHUNK = 1 << 17
+#: Bitmaps that far more hashes are looked up in than they hold have this many times the bits, up to the same bound.
+SPARSITY = 16
 #: Makes a second, independent hash of a line's words.
 SECOND = U(0xC2B2AE3D27D4EB4F)
 
@@ -52,23 +55,38 @@ def part_length(n: np.ndarray) -> np.ndarray:
     return PART_LENGTHS[np.maximum(np.searchsorted(PART_LENGTHS, n // 2, side="right") - 1, 0)]
 
 
+class Places:
+    """All lines of texts laid end to end, with a word or not: where each ends, its text, and its number there."""
+
+    def __init__(self, data: np.ndarray, ends: np.ndarray):
+        feeds = np.flatnonzero(data == 0x0A)
+        upto = np.searchsorted(feeds, ends)
+        self.closes = np.zeros(len(ends) + len(feeds), dtype=bool)
+        self.closes[upto + np.arange(len(ends))] = True
+        #: The line feed behind each line, or the end of its text.
+        self.end = np.empty(len(self.closes), dtype=np.int64)
+        self.end[self.closes], self.end[~self.closes] = ends, feeds
+        self.text = np.cumsum(self.closes) - self.closes
+        began = np.concatenate([[0], upto[:-1]]) + np.arange(len(ends))
+        self.number = np.arange(len(self.end)) - began[self.text]
+
+    def begins(self) -> np.ndarray:
+        """First byte of each line."""
+        return np.concatenate([[0], (self.end + ~self.closes)[:-1]])
+
+
 class Lines:
     """The lines with a word of texts laid end to end, and hashes of any stretch of their words."""
 
     def __init__(self, hasher: Hasher, data: np.ndarray, ends: np.ndarray):
-        hashes, upto = hasher.words(data, ends)
-        self.first_byte, self.last_byte = runs(~SPACE[data], ends)
-        text = np.searchsorted(upto, np.arange(len(hashes)), side="right")
-        feeds = np.concatenate([[0], np.cumsum(data == 0x0A)])
-        number = feeds[self.first_byte] - feeds[np.concatenate([[0], ends[:-1]])][text] if len(hashes) else np.zeros(0, np.int64)
-        fresh = np.ones(len(hashes), dtype=bool)
-        fresh[1:] = (number[1:] != number[:-1]) | (text[1:] != text[:-1])
+        self.first_byte, self.last_byte, hashes = hasher.spans(data, ends)
+        places = Places(data, ends)
+        upto = np.searchsorted(self.first_byte, places.end)
+        n = np.diff(upto, prepend=0)
+        worded = np.flatnonzero(n)
         #: Of each line: its first word, how many it has, its text, and its number there.
-        self.at = np.flatnonzero(fresh)
-        self.n = np.diff(np.concatenate([self.at, [len(hashes)]]))
-        self.text, self.number = text[self.at], number[self.at]
-        if len(hasher.up) < len(hashes) + 1:
-            hasher.up, hasher.down = powers(BASE, len(hashes) + 1), powers(pow(BASE, -1, 1 << 64), len(hashes) + 1)
+        self.at, self.n = (upto - n)[worded], n[worded]
+        self.text, self.number = places.text[worded], places.number[worded]
         self.down = hasher.down
         self.sums = [np.concatenate([[U(0)], np.cumsum(values * hasher.up[: len(hashes)])]) for values in (hashes, mixed(hashes ^ SECOND))]
 
@@ -85,6 +103,23 @@ class Lines:
             found.append(mixed(self.stretch(self.at + self.n - n, n) ^ U(2)))
         return np.stack(found)
 
+    def edits(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each line the places where an edit leaves a shared part whole: those before the first, or from the second on."""
+        (first, last, shorter_first, shorter_last), n, p, q = holds(shared, self.parts()), self.n, part_length(self.n), part_length(self.n - 1)
+        before = np.maximum(np.where(last, n - p, 0), np.where(shorter_last, n - q, 0))
+        return before, np.minimum(np.where(first, p, n), np.where(shorter_first, q, n))
+
+    def spelled(self, data: np.ndarray) -> pa.Array:
+        """The lines as lower-cased words with a space between them."""
+        final = self.at + self.n - 1
+        # The byte behind a word stands for the space, but not behind the last one of a line.
+        gaps = np.delete(self.last_byte, final)
+        kept, low = ~SPACE[data], LOWERED[data]
+        kept[gaps], low[gaps] = True, 0x20
+        offsets = np.zeros(len(self.at) + 1, dtype=np.int64)
+        np.cumsum(np.add.reduceat(self.last_byte - self.first_byte, self.at) + self.n - 1, out=offsets[1:])
+        return pa.Array.from_buffers(pa.large_string(), len(self.at), [None, pa.py_buffer(offsets), pa.py_buffer(low[kept])]).cast(pa.string())
+
 
 def _line_batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, Lines]]:
     hasher = Hasher()
@@ -93,7 +128,7 @@ def _line_batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tu
             yield batch, row, data, Lines(hasher, data, ends)
 
 
-PLACE = "h1 long, h2 long, none boolean, key long, text_hash long, line int"
+PLACE = "h1 long, h2 long, none boolean, key long, text_hash long, line int, spot long"
 OCCURRENCE = "key long, text_hash long, line int, head boolean, h1 long, h2 long, parts array<long>"
 
 
@@ -116,71 +151,88 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
+def spots(key: pa.Array, text_hash: pa.Array, row: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """A hash of where each line stands: in the row ``row`` of the columns, as its line ``line``."""
+    of_row = mixed(key.fill_null(0).to_numpy().view(np.uint64)) ^ text_hash.to_numpy().view(np.uint64)
+    return mixed(mixed(of_row[row]) ^ line.astype(np.uint64))
+
+
 def _candidates(shared):
-    """Of distinct lines those that may have a part in common with another one; ``parts`` are the last column."""
+    """Of distinct lines, their first places and parts, those that may have a part in common with another one, with their spots."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = batch.columns[-1]
+            parts = batch.column("parts")
             offsets = parts.offsets.to_numpy()
             line = np.repeat(np.arange(len(parts)), np.diff(offsets))
             hit = np.zeros(len(parts), dtype=bool)
             hit[line[holds(shared.value, parts.values.to_numpy()[offsets[0] : offsets[-1]])]] = True
             if hit.any():
-                yield batch.select(batch.schema.names[:-1]).filter(pa.array(hit))
+                found = batch.drop_columns(["parts"]).filter(pa.array(hit))
+                spot = spots(found.column("key"), found.column("text_hash"), np.arange(len(found)), found.column("line").to_numpy())
+                yield found.append_column("spot", pa.array(spot.view(np.int64)))
 
     return read
 
 
-def _candidate_lines(shared):
-    """Words of the lines that may have a part in common with another one."""
+def _first_lines(bits):
+    """Words of the lines whose spots may be in the bitmap; only these lines are cut into words."""
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("words", pa.string())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, data, lines in _line_batches(batches, 0):
-            hit = np.zeros(len(lines.at), dtype=bool)
-            for part in lines.parts() if len(lines.at) else ():
-                hit |= holds(shared.value, part)
-            hit &= lines.n >= WORDS_FOR_AN_EDIT
-            if not hit.any():
-                continue
-            low = LOWERED[data]
-            h1, h2 = (lines.stretch(lines.at[hit], lines.n[hit], which).view(np.int64) for which in (0, 1))
-            # Equal lines of a stretch of texts are spelled once.
-            once = np.unique(h1, return_index=True)[1]
-            spelled = []
-            for at, n in zip(lines.at[hit][once].tolist(), lines.n[hit][once].tolist()):
-                spelled.append(b" ".join(low[a:b].tobytes() for a, b in zip(lines.first_byte[at : at + n].tolist(), lines.last_byte[at : at + n].tolist())))
-            yield pa.RecordBatch.from_arrays([pa.array(h1[once]), pa.array(h2[once]), pa.array(spelled).cast(pa.string())], schema=schema)
+        hasher = Hasher()
+        for batch in batches:
+            for row, data, ends in chunks(batch.column(2), CHUNK):
+                places = Places(data, ends)
+                hit = holds(bits.value, spots(batch.column(0), batch.column(1), row + places.text, places.number))
+                if not hit.any():
+                    continue
+                begins, stops = places.begins()[hit], places.end[hit]
+                own = np.concatenate([data[a:b] for a, b in zip(begins.tolist(), stops.tolist())])
+                lines = Lines(hasher, own, np.cumsum(stops - begins))
+                if not len(lines.at):
+                    continue
+                h1, h2 = (lines.stretch(lines.at, lines.n, which).view(np.int64) for which in (0, 1))
+                # Equal lines of a stretch of texts are handed on once.
+                once = pa.array(np.unique(h1, return_index=True)[1])
+                yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), lines.spelled(own)], schema=schema).take(once)
 
     return read
 
 
-def variant_hashes(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all lines and their words: which line, the place left out (-1: none), and the hash of what is left."""
+def variant_hashes(lines: Lines, before: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For all lines: which line, the place left out (-1: none), and the hash of what is left.
+
+    Places are left out that stand before ``before``, or at ``behind`` or later.
+    """
     sums, base, end = lines.sums[0], lines.sums[0][lines.at], lines.sums[0][lines.at + lines.n]
     line = np.repeat(np.arange(len(lines.at)), lines.n)
     word = np.arange(len(line))
+    place = word - lines.at[line]
+    edited = (place < before[line]) | (place >= behind[line])
+    line, word, place = line[edited], word[edited], place[edited]
     # What stands behind the word left out moves one place to the front.
     kept = (sums[word] - base[line]) + (end[line] - sums[word + 1]) * U(pow(BASE, -1, 1 << 64))
     without = mixed(kept * lines.down[lines.at[line]] + (lines.n[line] - 1).astype(np.uint64))
     whole = lines.stretch(lines.at, lines.n)
-    places = np.concatenate([np.full(len(whole), -1), word - lines.at[line]])
+    places = np.concatenate([np.full(len(whole), -1), place])
     return np.concatenate([np.arange(len(whole)), line]), places, np.concatenate([whole, without])
 
 
-def _variants(bits):
-    """``(variant, place, rank)``: the line itself with place -1, and without the word at each place.
+def _variants(shared, bits):
+    """``(variant, place, rank)``: the line itself with place -1, and without the word at each place where it may differ.
 
-    With ``bits`` only variants that may be in that bitmap.
+    A neighbour has a part in common, so an edit is outside of one that is in the bitmap ``shared``. With ``bits``
+    only variants that may be in that bitmap.
     """
     schema = pa.schema([("variant", pa.int64()), ("place", pa.int32()), ("rank", pa.int64())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, row, _, lines in _line_batches(batches, 1):
             ranks = batch.column(0).to_numpy()[row + lines.text]
-            # All places, also in a run of one word: a neighbour may differ in any of them.
-            line, places, variants = variant_hashes(lines)
+            # All places outside of the part: a neighbour may differ in any of them. A word more that is inside of it repeats up
+            # to the part's end, and the word behind that is equal: left out there, the same is left.
+            line, places, variants = variant_hashes(lines, *lines.edits(shared.value))
             if bits is not None:
                 hit = holds(bits.value, variants)
                 line, places, variants = line[hit], places[hit], variants[hit]
@@ -255,20 +307,22 @@ def _near_lines(bare: DataFrame, distinct: DataFrame) -> DataFrame:
     """``h1``, ``h2`` of the lines that have an earlier neighbour."""
     parts = distinct.select(F.explode(F.array_distinct("parts")).alias("part")).groupBy("part").count()
     twice = cut(parts.where("count > 1").select("part"))
-    shared = bitmap(twice, "part", fitting_bits(twice.count()))
+    shared = bitmap(twice, "part", fitting_bits(twice.count() * SPARSITY))
     # A line's number in the order of first places: it stands for the line, and tells which is earlier. It is found without words.
-    places = distinct.select("h1", "h2", "first.*", "parts").mapInArrow(_candidates(shared), PLACE)
+    placed = cut(distinct.select("h1", "h2", "first.*", "parts").mapInArrow(_candidates(shared), PLACE))
+    spot = bitmap(placed, "spot", fitting_bits(placed.count() * SPARSITY))
+    places = placed.drop("spot")
     order = [F.col(c) for c in ("none", "key", "text_hash", "line")]
     numbers = prefix_sums(places, order, F.lit(1)).select("h1", "h2", F.col("_rows_before").alias("rank"))
-    hits = bare.select("text").mapInArrow(_candidate_lines(shared), "h1 long, h2 long, words string")
+    hits = bare.mapInArrow(_first_lines(spot), "h1 long, h2 long, words string")
     worded = hits.groupBy("h1", "h2").agg(F.first("words").alias("words"))
     ranked = cut(worded.join(numbers, ["h1", "h2"]).select("rank", "h1", "h2", "words"))
     emitted = "variant long, place int, rank long"
     texts = ranked.select("rank", "words")
-    twice = texts.mapInArrow(_variants(None), emitted).groupBy("variant").count().where("count > 1")
+    twice = texts.mapInArrow(_variants(shared, None), emitted).groupBy("variant").count().where("count > 1")
     # Variants that a single line makes meet nothing; they are not shuffled as rows.
     met_twice = cut(twice.select("variant"))
-    variants = cut(texts.mapInArrow(_variants(bitmap(met_twice, "variant", fitting_bits(met_twice.count()))), emitted))
+    variants = cut(texts.mapInArrow(_variants(shared, bitmap(met_twice, "variant", fitting_bits(met_twice.count() * SPARSITY))), emitted))
     # Another word at the same place: the earliest line of the set is a neighbour of all others.
     several = variants.where("place >= 0").groupBy("variant", "place").agg(F.min("rank").alias("other"), F.count("*").alias("n"))
     swapped = variants.join(several.where("n > 1"), ["variant", "place"]).select("rank", "other")

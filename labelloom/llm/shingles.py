@@ -44,26 +44,34 @@ class Hasher:
     """Hashes of the words of many texts; keeps its tables between calls."""
 
     def __init__(self, seed: int = 0, separators: np.ndarray = SPACE):
-        self.separators = separators
-        self.values = mixed((np.arange(256, dtype=np.uint64) + U(1 + 256 * seed)) * U(0xD1342543DE82EF95))
+        self.inside = ~separators
+        self.values = mixed((np.arange(256, dtype=np.uint64) + U(1 + 256 * seed)) * U(0xD1342543DE82EF95))[LOWERED]
         self.seed = U(seed)
         self.up = self.down = np.zeros(0, dtype=np.uint64)
+        self.sums = np.zeros(1, dtype=np.uint64)
 
-    def words(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all words of texts laid end to end, and for each text the number of words up to its end."""
+    def spans(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First byte of each word of texts laid end to end, the byte behind it, and its hash."""
         n = len(data)
         if len(self.up) < n + 1:
             self.up, self.down = powers(BASE, n + 1), powers(pow(BASE, -1, 1 << 64), n + 1)
-        word = ~self.separators[data]
+            self.sums = np.zeros(n + 1, dtype=np.uint64)
+        word = np.take(self.inside, data, mode="clip")
         # A word begins behind white space and at the start of a text.
-        fresh = np.zeros(n + 1, dtype=bool)
-        fresh[np.concatenate([[0], ends])] = True
-        begins = word & (fresh[:-1] | np.concatenate([[True], ~word[:-1]]))
-        stops = word & (fresh[1:] | np.concatenate([~word[1:], [True]]))
-        first, last = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self.values[LOWERED[data]] * self.up[:n], out=sums[1:])
-        hashes = mixed((sums[last] - sums[first]) * self.down[first] + (last - first).astype(np.uint64))
+        before, behind = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+        before[1:], behind[:-1] = word[:-1], word[1:]
+        before[ends[ends < n]] = False
+        behind[ends[ends > 0] - 1] = False
+        first, last = np.flatnonzero(word > before), np.flatnonzero(word > behind) + 1
+        sums = self.sums[: n + 1]
+        np.take(self.values, data, out=sums[1:], mode="clip")
+        sums[1:] *= self.up[:n]
+        np.cumsum(sums[1:], out=sums[1:])
+        return first, last, mixed((sums[last] - sums[first]) * self.down[first] + (last - first).astype(np.uint64))
+
+    def words(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all words of texts laid end to end, and for each text the number of words up to its end."""
+        first, _, hashes = self.spans(data, ends)
         return hashes, np.searchsorted(first, ends)
 
     def shingles(self, hashes: np.ndarray, size: int) -> np.ndarray:
